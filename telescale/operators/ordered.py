@@ -6,6 +6,9 @@ consecutive blocks of its order. Rows are shuffled by (key, block), every block
 own, and one summary row per block carries totals and values across the block borders. Keys below
 the limit keep a null block: for them this is the ordinary window, and the carry branch is empty.
 
+The rows are written to the shared folder first: counting, carrying and windowing then read a narrow
+table instead of deriving it three times, and chains of such steps keep short plans.
+
 ``has_hot_keys`` asks the data once whether any key is over the limit. Where none is, the operators
 take ``hot=False`` and plan plain windows, with one shuffle per key and no second branch.
 
@@ -21,6 +24,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from telescale.session import shared_dir
+
 ROWS_KEY = "spark.telescale.rowsPerBlock"
 ROWS_DEFAULT = 2_000_000
 BLOCK = "_block"
@@ -40,11 +45,19 @@ def has_hot_keys(df: DataFrame, keys: Sequence[str], fanout: int = 1) -> bool:
     return not counts.filter(F.col("_n") > limit).isEmpty()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as a table in the shared folder, so that no branch derives them again."""
+    path = shared_dir(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def blocked(df: DataFrame, keys: Sequence[str], coordinate: str, hot: bool = True) -> DataFrame:
     """Add the block number of each row: null for ordinary keys, rising with the coordinate for hot ones."""
     if not hot:
         return df
     limit = rows_per_block(df)
+    df = written(df)
     n, low, high = F.col("_n"), F.col("_low"), F.col("_high")
     # Four times as many pieces as needed on average leaves room for uneven density.
     even = F.ceil((high - low + 1) * F.lit(float(limit)) / (n * F.lit(4.0)))
