@@ -9,7 +9,7 @@ from telescale.functions import expr
 from telescale.operators import decisions, messages, rescaling, scaleout, specs, stages
 from telescale.plans import bindings as b
 from telescale.session import shared_dir
-from telescale.sources import message_sink, recommendations
+from telescale.sources import event_log, message_sink, recommendations
 
 QUERIES = {}
 
@@ -441,6 +441,57 @@ def environment_versions(spark, sf):
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
+_LOGS: dict[tuple[str, str], str] = {}
+
+
+def _parsed(spark, sf):
+    """Lines of the log written from the events table, once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LOGS:
+        ev, hot = _events(spark, sf)
+        path = shared_dir(spark, "logs")
+        b.write_log(ev, path, hot)
+        _LOGS[key] = path
+    return event_log.parse_lines(event_log.read_lines(spark, _LOGS[key]))
+
+
+@query
+def scan_app_events(spark, sf):
+    return event_log.scan_app_events(_parsed(spark, sf))
+
+
+@query
+def scan_job_events(spark, sf):
+    rows = event_log.scan_job_events(_parsed(spark, sf))
+    return rows.withColumn("stage_ids", F.array_join("stage_ids", ","))
+
+
+@query
+def scan_stage_events(spark, sf):
+    rows = event_log.scan_stage_events(_parsed(spark, sf))
+    return rows.withColumn("parent_stage_ids", F.array_join("parent_stage_ids", ","))
+
+
+@query
+def scan_executor_events(spark, sf):
+    return event_log.scan_executor_events(_parsed(spark, sf))
+
+
+@query
+def scan_task_metrics(spark, sf):
+    return event_log.scan_task_metrics(_parsed(spark, sf))
+
+
+@query
+def scan_task_totals(spark, sf):
+    return event_log.task_totals(_parsed(spark, sf))
+
+
+@query
+def scan_app_config(spark, sf):
+    return event_log.scan_app_config(_parsed(spark, sf))
+
+
 @query
 def scan_recommendations(spark, sf):
     path = shared_dir(spark, "answers")

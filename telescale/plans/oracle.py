@@ -160,6 +160,19 @@ _CTES = {
                  when 'signup' then 'APPLICATION_START' when 'error' then 'APPLICATION_END'
                  else 'CLICK' end as event_type
         from fx_events""",
+    "fx_lines": """
+        select *, row_number() over (partition by app_id order by seq0, sub) - 1 as seq from (
+          select app_id, seq as seq0, 0 as sub, et as what, null::int as job_id, t_ms, k, value
+          from fx_events where et <> 'purchase'
+          union all select app_id, seq, 1, 'completed', null, t_ms, k, value from fx_events where et = 'view'
+          union all select j.app_id, j.start_seq, 1, 'job_start', j.job_id, j.start_ms, e.k, null
+                    from fx_jobs j join fx_events e on e.seq = j.start_seq
+          union all select app_id, end_seq, 0, 'job_end', job_id, end_ms, null, null from fx_jobs
+                    where end_seq is not null
+          union all select app_id, start_seq, -3, 'log_start', null, null, null, null from fx_app
+          union all select app_id, start_seq, -2, 'environment', null, null, null, null from fx_app
+          union all select app_id, start_seq, -1, 'app_start', null, app_start_ms, null, null from fx_app
+          union all select app_id, end_seq, 9, 'app_end', null, app_end_ms, null, null from fx_app) x""",
     "fx_numbered": """
         select app_id, job_id, k % 10 as stage_id, submit_seq as seq,
                cast(row_number() over (partition by app_id, job_id order by k % 10, submit_seq) as int) as position
@@ -302,6 +315,10 @@ _CTES["fx_job_ends"] = f"""
     from fx_messages m join fx_job_ratio r on r.app_id = m.app_id and r.id = m.job_id
     where m.event_type = 'JOB_END'"""
 
+LOG_TASK = """k % 10 as stage_id, 0 as attempt_id, seq0 as cpu_ns, k as run_ms, k % 5 as gc_ms,
+    k % 4 + k % 6 as shuffle_read, 0 as shuffle_write, k % 8 as input_bytes, 0 as output_bytes,
+    0 as disk_spill, 0 as peak_mem"""
+
 MESSAGE = "app_id, event_type, job_id, t_ms, seq, num_executors, last_known"
 
 _BODIES = {
@@ -440,6 +457,40 @@ _BODIES = {
         from fx_events where et = 'view'""",
     "stage_id_text": "select app_id, cast(seq as varchar) as stage_id from fx_events where et = 'view'",
     "environment_versions": f"select a.app_id, {VERSIONS} from fx_apps a",
+    "scan_app_events": """
+        select cast(app_id as varchar) as app_id, seq, what as kind, t_ms,
+               case when what = 'app_start' then concat('app ', app_id) end as app_name
+        from fx_lines where what in ('app_start', 'app_end')""",
+    "scan_job_events": """
+        select cast(app_id as varchar) as app_id, seq, what as kind, job_id, t_ms,
+               case when what = 'job_start' then concat(k % 10, ',', (k + 1) % 10) end as stage_ids,
+               case when what = 'job_end' then 'JobSucceeded' end as result
+        from fx_lines where what in ('job_start', 'job_end')""",
+    "scan_stage_events": """
+        select cast(app_id as varchar) as app_id, seq,
+               case when what = 'view' then 'stage_submit' else 'stage_complete' end as kind,
+               seq0 as stage_id, 0 as attempt_id, concat('view at ', seq0) as stage_name, k as num_tasks,
+               cast(seq0 - 1 as varchar) as parent_stage_ids, t_ms as submit_ms,
+               case when what = 'completed' then t_ms + cast(floor(value * 3600000) as bigint) end as complete_ms,
+               case when what = 'completed' and k % 13 = 0 then 'lost executor' end as failure_reason,
+               case when what = 'completed' then k else 0 end as rdd_num_partitions,
+               case when what = 'completed' then k % 3 else 0 end as rdd_num_cached_partitions,
+               case when what = 'completed' then k * 10 else 0 end as rdd_mem_size,
+               case when what = 'completed' then k * 20 else 0 end as rdd_disk_size
+        from fx_lines where what in ('view', 'completed')""",
+    "scan_executor_events": """
+        select cast(app_id as varchar) as app_id, seq, t_ms, cast(k as varchar) as executor_id,
+               case when what = 'signup' then concat('host-', k % 10) end as host,
+               case when what = 'signup' then 1 else -1 end as delta
+        from fx_lines where what in ('signup', 'error')""",
+    "scan_task_metrics": f"select cast(app_id as varchar) as app_id, seq, {LOG_TASK} from fx_lines where what = 'click'",
+    "scan_task_totals": f"""
+        select cast(app_id as varchar) as app_id, stage_id, attempt_id,
+               {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in COUNTERS)}
+        from (select app_id, {LOG_TASK} from fx_lines where what = 'click') t group by all""",
+    "scan_app_config": """
+        select cast(app_id as varchar) as app_id, 'spark.app.name' as key, concat('app ', app_id) as value from fx_app
+        union all select cast(app_id as varchar), 'spark.executor.cores', cast(app_id % 8 + 1 as varchar) from fx_app""",
     "scan_recommendations": """
         select cast(app_id as varchar) as app_event_id, k % 10 + 1 as recommended_scale_out
         from fx_events where et = 'click' and k % 10 not in (3, 4, 5)""",
