@@ -323,88 +323,97 @@ def answer_lines(ev: DataFrame) -> DataFrame:
 
 # Event log lines derived from the events table.
 
-LINE_ORDER = ("seq", "sub")
+# Places of the lines that share a millisecond.
+PLACE = {
+    "LogStart": -5, "EnvironmentUpdate": -4, "ApplicationStart": -3, "StageCompleted": -1, "JobEnd": 1,
+    "JobStart": 2, "ApplicationEnd": 9,
+}
 
 
-def _line(event: str, **fields):
+def _line(event: str, at, **fields):
     named = [value.alias(name.replace("_", " ")) for name, value in fields.items()]
-    return F.to_json(F.struct(F.lit("SparkListener" + event).alias("Event"), *named))
-
-
-def _numbers(*values):
-    return F.array(*[F.struct(v.alias("Stage ID")) for v in values])
+    value = F.to_json(F.struct(F.lit("SparkListener" + event).alias("Event"), *named))
+    return F.struct(
+        at.alias("at_ms"), F.lit(PLACE.get(event, 0)).alias("place"), F.col("seq"), value.alias("value")
+    )
 
 
 def log_lines(ev: DataFrame, hot: bool = True) -> DataFrame:
-    """Every event as the lines a Spark event log holds for it: app_id, seq, sub, value."""
-    app, t, k, seq = F.col("app_id").cast("string"), F.col("t_ms"), F.col("k"), F.col("seq")
-    text = k.cast("string")
-    added = _line("ExecutorAdded", Timestamp=t, Executor_ID=text,
-                  Executor_Info=F.struct(F.concat(F.lit("host-"), (k % 10).cast("string")).alias("Host")))
-    removed = _line("ExecutorRemoved", Timestamp=t, Executor_ID=text, Removed_Reason=F.lit("lost"))
-    submitted = F.struct(
-        seq.alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"),
-        F.concat(F.lit("view at "), seq.cast("string")).alias("Stage Name"), k.alias("Number of Tasks"),
-        F.array((seq - 1)).alias("Parent IDs"), t.alias("Submission Time"),
-    )
-    completed = F.struct(
+    """The lines a Spark event log would hold for the events: app_id, at_ms, place, seq, value."""
+    app, t, k, seq, et = F.col("app_id").cast("string"), F.col("t_ms"), F.col("k"), F.col("seq"), F.col("et")
+    done = t + F.floor(F.col("value") * 3600000)
+    stage = [
         seq.alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"),
         F.concat(F.lit("view at "), seq.cast("string")).alias("Stage Name"), k.alias("Number of Tasks"),
-        F.array((seq - 1)).alias("Parent IDs"), t.alias("Submission Time"),
-        (t + F.floor(F.col("value") * 3600000)).alias("Completion Time"),
-        F.when(k % 13 == 0, "lost executor").alias("Failure Reason"),
+        F.array(seq - 1).alias("Parent IDs"), t.alias("Submission Time"),
+    ]
+    outcome = [
+        done.alias("Completion Time"), F.when(k % 13 == 0, "lost executor").alias("Failure Reason"),
         F.array(F.struct(k.alias("Number of Partitions"), (k % 3).alias("Number of Cached Partitions"),
                          (k * 10).alias("Memory Size"), (k * 20).alias("Disk Size"))).alias("RDD Info"),
-    )
+    ]
+    host = F.struct(F.concat(F.lit("host-"), (k % 10).cast("string")).alias("Host"))
     metrics = F.struct(
         k.alias("Executor Run Time"), seq.alias("Executor CPU Time"), (k % 5).alias("JVM GC Time"),
         F.struct((k % 4).alias("Remote Bytes Read"), (k % 6).alias("Local Bytes Read"))
         .alias("Shuffle Read Metrics"),
         F.struct((k % 8).alias("Bytes Read")).alias("Input Metrics"),
     )
-    task = _line("TaskEnd", Stage_ID=k % 10, Stage_Attempt_ID=F.lit(0), Task_Metrics=metrics)
-    et = F.col("et")
-    own = ev.filter(et != "purchase").select("app_id", "seq", F.inline(F.array_compact(F.array(
-        F.struct(F.lit(0).alias("sub"), F.when(et == "signup", added).when(et == "error", removed)
-                 .when(et == "view", _line("StageSubmitted", Stage_Info=submitted)).otherwise(task)
-                 .alias("value")),
-        F.when(et == "view", F.struct(
-            F.lit(1).alias("sub"), _line("StageCompleted", Stage_Info=completed).alias("value"))),
-    ))))
-    purchases = ev.filter(et == "purchase").select("app_id", "seq", "k")
-    job = jobs(ev, hot)
-    started = job.withColumnRenamed("start_seq", "seq").join(purchases, ["app_id", "seq"]).select(
-        "app_id", "seq", F.lit(1).alias("sub"),
-        _line("JobStart", Job_ID=F.col("job_id"), Submission_Time=F.col("start_ms"),
-              Stage_Infos=_numbers(k % 10, (k + 1) % 10)).alias("value"),
-    )
-    ended = job.filter("end_seq is not null").select(
-        "app_id", F.col("end_seq").alias("seq"), F.lit(0).alias("sub"),
-        _line("JobEnd", Job_ID=F.col("job_id"), Completion_Time=F.col("end_ms"),
-              Job_Result=F.struct(F.lit("JobSucceeded").alias("Result"))).alias("value"),
+    name = k.cast("string")
+    lines = F.array(
+        F.when(et == "signup", _line("ExecutorAdded", t, Timestamp=t, Executor_ID=name, Executor_Info=host)),
+        F.when(et == "error", _line("ExecutorRemoved", t, Timestamp=t, Executor_ID=name)),
+        F.when(et == "view", _line("StageSubmitted", t, Stage_Info=F.struct(*stage))),
+        F.when(et == "view", _line("StageCompleted", done, Stage_Info=F.struct(*stage, *outcome))),
+        F.when(et == "click", _line("TaskEnd", t, Stage_ID=k % 10, Stage_Attempt_ID=F.lit(0), Task_Metrics=metrics)),
+    )
+    own = ev.filter(et != "purchase").select("app_id", F.inline(F.array_compact(lines)))
+
+    # The format itself puts all stages of a job into the line of its start.
+    listed = stages(ev, hot).filter("job_id >= 0").groupBy("app_id", "job_id").agg(
+        F.sort_array(F.collect_list("stage_id")).alias("ids")
+    )
+    infos = F.transform(
+        F.coalesce("ids", F.array().cast("array<bigint>")), lambda i: F.struct(i.alias("Stage ID"))
     )
+    job, start, end = F.col("job_id"), F.col("start_ms"), F.col("end_ms")
+    job_lines = F.array(
+        _line("JobStart", start, Job_ID=job, Submission_Time=start, Stage_Infos=infos),
+        F.when(end.isNotNull(), _line("JobEnd", end, Job_ID=job, Completion_Time=end,
+                                      Job_Result=F.struct(F.lit("JobSucceeded").alias("Result")))),
+    )
+    of_jobs = jobs(ev, hot).withColumnRenamed("start_seq", "seq").join(
+        listed, ["app_id", "job_id"], "left"
+    ).select("app_id", F.inline(F.array_compact(job_lines)))
+
     properties = F.create_map(
         F.lit("spark.app.name"), F.concat(F.lit("app "), app),
         F.lit("spark.executor.cores"), (F.col("app_id") % 8 + 1).cast("string"),
     )
-    bounds = app_bounds(ev).select("app_id", F.inline(F.array(
-        F.struct(F.col("start_seq").alias("seq"), F.lit(-3).alias("sub"),
-                 _line("LogStart", Spark_Version=F.lit("4.1.2")).alias("value")),
-        F.struct(F.col("start_seq").alias("seq"), F.lit(-2).alias("sub"),
-                 _line("EnvironmentUpdate", Spark_Properties=properties).alias("value")),
-        F.struct(F.col("start_seq").alias("seq"), F.lit(-1).alias("sub"),
-                 _line("ApplicationStart", App_ID=app, App_Name=F.concat(F.lit("app "), app),
-                       Timestamp=F.col("app_start_ms")).alias("value")),
-        F.struct(F.col("end_seq").alias("seq"), F.lit(9).alias("sub"),
-                 _line("ApplicationEnd", Timestamp=F.col("app_end_ms")).alias("value")),
-    )))
-    return own.unionByName(started).unionByName(ended).unionByName(bounds)
-
-
-def write_log(ev: DataFrame, path: str, hot: bool = True) -> None:
-    """Write the lines as one log folder per application; a large one spans several ordered files."""
-    lines = log_lines(ev, hot).withColumn("log", F.col("app_id"))
-    order = ["log", "seq", "sub"]
-    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("log", "value").write.partitionBy(
-        "log"
-    ).text(path)
+    first, last = F.col("app_start_ms"), F.col("app_end_ms")
+    app_lines = F.array(
+        _line("LogStart", first, Spark_Version=F.lit("4.1.2")),
+        _line("EnvironmentUpdate", first, Spark_Properties=properties),
+        _line("ApplicationStart", first, App_ID=app, App_Name=F.concat(F.lit("app "), app), Timestamp=first),
+        _line("ApplicationEnd", F.col("quiet_ms"), Timestamp=last),
+    )
+    quiet = ev.groupBy("app_id").agg(F.max(F.when(et == "view", done).otherwise(t)).alias("quiet_ms"))
+    bounds = app_bounds(ev).withColumnRenamed("start_seq", "seq").join(quiet, "app_id")
+    return own.unionByName(of_jobs).unionByName(bounds.select("app_id", F.inline(app_lines)))
+
+
+def write_log(ev: DataFrame, path: str, hot: bool = True, segments: int = 1, segment: int = 0) -> None:
+    """Write one segment in time of every application's log, below a folder per application.
+
+    A segment of a large application spans several files, in the order of their names.
+    """
+    lines = log_lines(ev, hot).withColumn("log", F.col("app_id")).withColumn("roll", F.lit(segment))
+    if segments > 1:
+        low, high = ev.agg(F.min("t_ms"), F.max("t_ms")).first()
+        width = (high - low) // segments + 1
+        place = F.least(F.floor((F.col("at_ms") - low) / width), F.lit(segments - 1))
+        lines = lines.filter(place == segment)
+    order = ["log", "roll", "at_ms", "place", "seq"]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("log", "roll", "value").write.partitionBy(
+        "log", "roll"
+    ).mode("append").text(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telescale.functions import expr
 from telescale.operators import decisions, messages, rescaling, scaleout, specs, stages
 from telescale.plans import bindings as b
+from telescale.plans import live
 from telescale.session import shared_dir
 from telescale.sources import event_log, message_sink, recommendations
 
@@ -522,3 +523,54 @@ def sink_messages(spark, sf):
         "m.payload.job_id", "m.payload.num_executors", "m.payload.rescaling_time_ratio",
         F.when(F.col("m.payload.stages").isNotNull(), F.size("m.payload.stages")).alias("n_stages"),
     )
+
+
+# --- streaming ------------------------------------------------------------------------------------
+
+
+@query
+def stream_events(spark, sf):
+    parsed = live.chain(spark, sf).parsed()
+    rows = event_log.with_app(parsed.drop("log_id", "e"), event_log.log_splits(parsed))
+    return rows.select("app_id", "seq", "event")
+
+
+@query
+def stream_app_state(spark, sf):
+    rows = live.chain(spark, sf).read("tracked").filter(~F.col("kind").isin("environment", "app_end"))
+    return rows.select("app_id", "kind", "t_ms", "job_id", "num_executors", "last_known")
+
+
+@query
+def stream_stage_pairs(spark, sf):
+    return live.chain(spark, sf).read("pairs")
+
+
+@query
+def stream_job_end(spark, sf):
+    return live.chain(spark, sf).read("job_ends").select(
+        "app_id", "job_id", "app_time", "num_executors", "rescaling_time_ratio", "stage_id", "stage_name",
+        "num_tasks", F.array_join("parent_stage_ids", ",").alias("parent_stage_ids"), "attempt_id",
+        "failure_reason", "submit_ms", "complete_ms", "start_scale_out", "end_scale_out",
+        "stage_rescaling_time_ratio", "rdd_num_partitions", "rdd_disk_size",
+    )
+
+
+@query
+def stream_response_timeout(spark, sf):
+    return live.chain(spark, sf).read("effective").drop("seq", "recommended_scale_out")
+
+
+@query
+def stream_scale_decisions(spark, sf):
+    return live.chain(spark, sf).read("decisions").drop("seq")
+
+
+@query
+def stream_messages(spark, sf):
+    read = live.chain(spark, sf).messages().filter(F.col("event_type") == "JOB_START")
+    payload = "app_event_id string, app_time long, job_id int, num_executors int"
+    m = F.from_json("value", f"event_type string, payload struct<{payload}>")
+    return read.select("event_type", m.alias("m")).select(
+        "event_type", F.col("m.event_type").alias("tag"), "m.payload.*"
+    )

@@ -161,18 +161,31 @@ _CTES = {
                  else 'CLICK' end as event_type
         from fx_events""",
     "fx_lines": """
-        select *, row_number() over (partition by app_id order by seq0, sub) - 1 as seq from (
-          select app_id, seq as seq0, 0 as sub, et as what, null::int as job_id, t_ms, k, value
+        select *, row_number() over (partition by app_id order by at_ms, place, seq0) - 1 as seq from (
+          select app_id, seq as seq0, t_ms as at_ms, 0 as place, et as what, null::int as job_id, t_ms, k, value
           from fx_events where et <> 'purchase'
-          union all select app_id, seq, 1, 'completed', null, t_ms, k, value from fx_events where et = 'view'
-          union all select j.app_id, j.start_seq, 1, 'job_start', j.job_id, j.start_ms, e.k, null
-                    from fx_jobs j join fx_events e on e.seq = j.start_seq
-          union all select app_id, end_seq, 0, 'job_end', job_id, end_ms, null, null from fx_jobs
+          union all select app_id, stage_id, complete_ms, -1, 'completed', null, submit_ms, k, complete_ms
+                    from fx_stages
+          union all select app_id, start_seq, start_ms, 2, 'job_start', job_id, start_ms, null, null from fx_jobs
+          union all select app_id, start_seq, end_ms, 1, 'job_end', job_id, end_ms, null, null from fx_jobs
                     where end_seq is not null
-          union all select app_id, start_seq, -3, 'log_start', null, null, null, null from fx_app
-          union all select app_id, start_seq, -2, 'environment', null, null, null, null from fx_app
-          union all select app_id, start_seq, -1, 'app_start', null, app_start_ms, null, null from fx_app
-          union all select app_id, end_seq, 9, 'app_end', null, app_end_ms, null, null from fx_app) x""",
+          union all select app_id, start_seq, app_start_ms, -5, 'log_start', null, null, null, null from fx_app
+          union all select app_id, start_seq, app_start_ms, -4, 'environment', null, null, null, null from fx_app
+          union all select app_id, start_seq, app_start_ms, -3, 'app_start', null, app_start_ms, null, null
+                    from fx_app
+          union all select a.app_id, a.start_seq, greatest(a.app_end_ms, max(s.complete_ms)), 9, 'app_end', null,
+                    a.app_end_ms, null, null
+                    from fx_app a left join fx_stages s on a.app_id = s.app_id
+                    group by a.app_id, a.start_seq, a.app_end_ms) x""",
+    "fx_timed": """
+        select cast(app_id as varchar) as app_id, event_type, job_id, t_ms, num_executors, last_known,
+               case when delay > 30000 then num_executors else job_id % 10 + 1 end as effective_scale_out,
+               case when delay > 30000 then 'timeout' else 'answered' end as status
+        from (select *, job_id * 7 % 45 * 1000 as delay from fx_messages
+              where event_type in ('JOB_START', 'JOB_END')) x
+        union all
+        select cast(app_id as varchar), event_type, null, t_ms, num_executors, last_known, 5, 'answered'
+        from fx_messages where event_type = 'APPLICATION_START'""",
     "fx_numbered": """
         select app_id, job_id, k % 10 as stage_id, submit_seq as seq,
                cast(row_number() over (partition by app_id, job_id order by k % 10, submit_seq) as int) as position
@@ -463,15 +476,17 @@ _BODIES = {
         from fx_lines where what in ('app_start', 'app_end')""",
     "scan_job_events": """
         select cast(app_id as varchar) as app_id, seq, what as kind, job_id, t_ms,
-               case when what = 'job_start' then concat(k % 10, ',', (k + 1) % 10) end as stage_ids,
+               case when what = 'job_start' then coalesce((
+                 select string_agg(cast(s.stage_id as varchar), ',' order by s.stage_id) from fx_stages s
+                 where s.app_id = l.app_id and s.job_id = l.job_id), '') end as stage_ids,
                case when what = 'job_end' then 'JobSucceeded' end as result
-        from fx_lines where what in ('job_start', 'job_end')""",
+        from fx_lines l where what in ('job_start', 'job_end')""",
     "scan_stage_events": """
         select cast(app_id as varchar) as app_id, seq,
                case when what = 'view' then 'stage_submit' else 'stage_complete' end as kind,
                seq0 as stage_id, 0 as attempt_id, concat('view at ', seq0) as stage_name, k as num_tasks,
                cast(seq0 - 1 as varchar) as parent_stage_ids, t_ms as submit_ms,
-               case when what = 'completed' then t_ms + cast(floor(value * 3600000) as bigint) end as complete_ms,
+               case when what = 'completed' then cast(value as bigint) end as complete_ms,
                case when what = 'completed' and k % 13 = 0 then 'lost executor' end as failure_reason,
                case when what = 'completed' then k else 0 end as rdd_num_partitions,
                case when what = 'completed' then k % 3 else 0 end as rdd_num_cached_partitions,
@@ -491,6 +506,47 @@ _BODIES = {
     "scan_app_config": """
         select cast(app_id as varchar) as app_id, 'spark.app.name' as key, concat('app ', app_id) as value from fx_app
         union all select cast(app_id as varchar), 'spark.executor.cores', cast(app_id % 8 + 1 as varchar) from fx_app""",
+    "stream_events": """
+        select cast(app_id as varchar) as app_id, seq, case what when 'job_start' then 'JobStart'
+                 when 'job_end' then 'JobEnd' when 'app_start' then 'ApplicationStart'
+                 when 'app_end' then 'ApplicationEnd' when 'view' then 'StageSubmitted'
+                 when 'completed' then 'StageCompleted' when 'signup' then 'ExecutorAdded'
+                 when 'error' then 'ExecutorRemoved' when 'click' then 'TaskEnd'
+                 when 'log_start' then 'LogStart' else 'EnvironmentUpdate' end as event
+        from fx_lines""",
+    "stream_app_state": """
+        select cast(app_id as varchar) as app_id, kind, t_ms, job_id, num_executors, last_known from (
+          select app_id, kind, t_ms, job_id, last_known,
+                 case when kind = 'job_start' and job_id = 0 then 5 when kind = 'app_end' then last_known
+                      else alive end as num_executors
+          from fx_tracked where kind in ('app_start', 'job_start', 'job_end')) x
+        union all
+        select cast(t.app_id as varchar), t.kind, t.t_ms, null, t.alive, t.last_known
+        from fx_tracked t where t.kind in ('executor', 'stage_submit', 'stage_complete')""",
+    "stream_stage_pairs": """
+        select cast(app_id as varchar) as app_id, stage_id, 0 as attempt_id, submit_ms, complete_ms
+        from fx_stages""",
+    "stream_job_end": """
+        select cast(j.app_id as varchar) as app_id, j.job_id, j.app_time, j.num_executors,
+               j.rescaling_time_ratio, cast(f.stage_id as int) as stage_id, f.stage_name, f.num_tasks,
+               f.parent_stage_ids, f.attempt_id, f.failure_reason, f.start_time as submit_ms,
+               f.end_time as complete_ms, f.start_scale_out, f.end_scale_out,
+               f.stage_ratio as stage_rescaling_time_ratio, f.num_tasks as rdd_num_partitions,
+               f.num_tasks * 20 as rdd_disk_size
+        from fx_job_ends j join fx_features f on f.app_id = j.app_id and f.job_id = j.job_id""",
+    "stream_response_timeout": "select * from fx_timed",
+    "stream_scale_decisions": """
+        select app_id, event_type, job_id, t_ms, effective_scale_out, waited_ms,
+               case when waited_ms < 15000 then 'suppressed' else 'requested' end as decision
+        from (select c.app_id, c.event_type, c.job_id, c.t_ms, c.effective_scale_out,
+                     c.t_ms - coalesce(lag(c.t_ms) over (
+                       partition by c.app_id order by c.t_ms, c.event_type, c.job_id), a.app_start_ms) as waited_ms
+              from fx_timed c join fx_app a on cast(a.app_id as varchar) = c.app_id
+              where c.event_type in ('JOB_START', 'JOB_END') and c.effective_scale_out <> c.last_known) x""",
+    "stream_messages": """
+        select event_type, event_type as tag, cast(app_id as varchar) as app_event_id, t_ms as app_time, job_id,
+               num_executors
+        from fx_messages where event_type = 'JOB_START'""",
     "scan_recommendations": """
         select cast(app_id as varchar) as app_event_id, k % 10 + 1 as recommended_scale_out
         from fx_events where et = 'click' and k % 10 not in (3, 4, 5)""",

@@ -78,7 +78,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         value.startswith(_HEAD), F.substring_index(F.substr(value, F.lit(len(_HEAD) + 1)), '"', 1)
     ).otherwise(F.get_json_object(value, "$.Event"))
     folder = F.regexp_extract(file, r"^(.*/(?:eventlog_v2_|log=)[^/]*)/", 1)
-    roll = F.regexp_extract(file, r"/(?:events_|part-)([0-9]+)[^/]*$", 1).try_cast("long")
+    roll = F.regexp_extract(file, r"/(?:events_|roll=)([0-9]+)", 1).try_cast("long")
     rolled = folder != ""
     return (
         lines.withColumn("_name", name)
@@ -122,7 +122,8 @@ def log_splits(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _of_app(rows: DataFrame, splits: DataFrame) -> DataFrame:
+def with_app(rows: DataFrame, splits: DataFrame) -> DataFrame:
+    """Add app_id and seq to rows that still have their origin."""
     seq = F.col("lines_before") + F.col("line_id") - F.col("first_line")
     return rows.join(splits, _SPLIT).withColumn("seq", seq)
 
@@ -137,7 +138,7 @@ def scan_app_events(parsed: DataFrame, splits: DataFrame | None = None) -> DataF
     rows = rows.select(
         *_SPLIT, "line_id", "kind", F.col("e.`App Name`").alias("app_name"), F.col("e.Timestamp").alias("t_ms")
     )
-    return _of_app(rows, splits or log_splits(parsed)).select("app_id", "seq", "kind", "app_name", "t_ms")
+    return with_app(rows, splits or log_splits(parsed)).select("app_id", "seq", "kind", "app_name", "t_ms")
 
 
 def scan_job_events(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
@@ -146,7 +147,7 @@ def scan_job_events(parsed: DataFrame, splits: DataFrame | None = None) -> DataF
         F.coalesce("e.`Submission Time`", "e.`Completion Time`").alias("t_ms"),
         F.col("e.`Stage Infos`.`Stage ID`").alias("stage_ids"), F.col("e.`Job Result`.Result").alias("result"),
     )
-    return _of_app(rows, splits or log_splits(parsed)).select(
+    return with_app(rows, splits or log_splits(parsed)).select(
         "app_id", "seq", "kind", "job_id", "t_ms", "stage_ids", "result"
     )
 
@@ -176,7 +177,7 @@ STAGE_KINDS = {"StageSubmitted": SUBMIT, "StageCompleted": COMPLETE}
 
 def scan_stage_events(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
     rows = _pick(parsed, STAGE_KINDS).select(*_SPLIT, "line_id", "kind", *stage_columns())
-    return _of_app(rows, splits or log_splits(parsed)).drop(*_SPLIT, "line_id", "first_line", "lines_before")
+    return with_app(rows, splits or log_splits(parsed)).drop(*_SPLIT, "line_id", "first_line", "lines_before")
 
 
 def scan_executor_events(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
@@ -185,7 +186,7 @@ def scan_executor_events(parsed: DataFrame, splits: DataFrame | None = None) ->
         F.col("e.`Executor Info`.Host").alias("host"),
         F.when(F.col("event") == "ExecutorAdded", 1).otherwise(-1).alias("delta"),
     )
-    return _of_app(rows, splits or log_splits(parsed)).select(
+    return with_app(rows, splits or log_splits(parsed)).select(
         "app_id", "seq", "t_ms", "executor_id", "host", "delta"
     )
 
@@ -216,7 +217,7 @@ def _task_rows(parsed: DataFrame) -> DataFrame:
 
 def scan_task_metrics(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
     """Counters of each task. For sums per stage use ``task_totals``."""
-    return _of_app(_task_rows(parsed), splits or log_splits(parsed)).select(
+    return with_app(_task_rows(parsed), splits or log_splits(parsed)).select(
         "app_id", "seq", "stage_id", "attempt_id", *COUNTERS
     )
 
@@ -255,7 +256,7 @@ def scan_stage_accumulables(parsed: DataFrame, splits: DataFrame | None = None)
         *_SPLIT, "line_id", F.col("e.`Stage Info`.`Stage ID`").alias("stage_id"),
         F.col("e.`Stage Info`.`Stage Attempt ID`").alias("attempt_id"), *accumulable_totals(),
     )
-    return _of_app(rows, splits or log_splits(parsed)).select("app_id", "stage_id", "attempt_id", *COUNTERS)
+    return with_app(rows, splits or log_splits(parsed)).select("app_id", "stage_id", "attempt_id", *COUNTERS)
 
 
 def scan_app_config(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
@@ -263,7 +264,7 @@ def scan_app_config(parsed: DataFrame, splits: DataFrame | None = None) -> DataF
     rows = parsed.filter(F.col("event") == "EnvironmentUpdate").select(
         *_SPLIT, "line_id", F.explode("e.`Spark Properties`").alias("key", "value")
     )
-    return _of_app(rows, splits or log_splits(parsed)).select("app_id", "key", "value")
+    return with_app(rows, splits or log_splits(parsed)).select("app_id", "key", "value")
 
 
 def scan_versions(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
@@ -273,7 +274,7 @@ def scan_versions(parsed: DataFrame, splits: DataFrame | None = None) -> DataFra
         F.try_element_at("e.`JVM Information`", F.lit("Java Version")).alias("java_version"),
         F.try_element_at("e.`JVM Information`", F.lit("Scala Version")).alias("scala_version"),
     )
-    named = _of_app(rows, splits or log_splits(parsed))
+    named = with_app(rows, splits or log_splits(parsed))
     return named.groupBy("app_id").agg(
         *[F.max(c).alias(c) for c in ("spark_version", "java_version", "scala_version")]
     )

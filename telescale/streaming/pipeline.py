@@ -1,0 +1,198 @@
+"""The same tables kept up to date from log segments as they arrive.
+
+Segments are closed files. Each stage of the chain is one streaming query with its own checkpoint,
+and the files it writes are the next one's source:
+
+    log segments -> parsed lines -> tracked events -> stage pairs, job ends, messages
+    messages + answers -> effective recommendations -> decisions
+
+State is kept per log. A micro-batch of one log is sorted inside the processor, so its size is set
+by ``maxFilesPerTrigger``; file order within an application decides, late rows are not merged.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from telescale.operators import decisions, messages
+from telescale.operators.scaleout import (
+    APP_END, APP_START, COMPLETE, EXECUTOR, JOB_END, JOB_START, SUBMIT,
+)
+from telescale.operators.stages import metric_ratios
+from telescale.settings import MIN_REQUEST_GAP_MS, RESPONSE_TIMEOUT_MS
+from telescale.sources import event_log
+from telescale.streaming.processors import DecisionClock, JobEndCollector, ScaleOutTracker
+
+KINDS = {
+    "EnvironmentUpdate": "environment", "ApplicationStart": APP_START, "ApplicationEnd": APP_END,
+    "JobStart": JOB_START, "JobEnd": JOB_END, "StageSubmitted": SUBMIT, "StageCompleted": COMPLETE,
+    "ExecutorAdded": EXECUTOR, "ExecutorRemoved": EXECUTOR,
+}
+STAGE_FIELDS = (
+    "stage_id int, attempt_id int, stage_name string, num_tasks int, parent_stage_ids array<int>, "
+    "submit_ms bigint, complete_ms bigint, failure_reason string, rdd_num_partitions bigint, "
+    "rdd_num_cached_partitions bigint, rdd_mem_size bigint, rdd_disk_size bigint, cpu_utilization double, "
+    "gc_time_ratio double, shuffle_read_write_ratio double, input_output_ratio double, "
+    "memory_spill_ratio double"
+)
+EVENT_FIELDS = f"kind string, t_ms bigint, job_id int, stage_ids array<int>, {STAGE_FIELDS}"
+TRACKED = f"log_id string, app_id string, seq bigint, num_executors int, last_known int, {EVENT_FIELDS}"
+MESSAGE = (
+    "app_id string, event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, last_known int"
+)
+RESPONSE = "app_id string, event_type string, job_id int, answered_ms bigint, recommended_scale_out int"
+STAGE_OUT = (
+    f"job_id int, app_time bigint, num_executors int, rescaling_time_ratio double, {STAGE_FIELDS}, "
+    "start_scale_out int, end_scale_out int, stage_rescaling_time_ratio double"
+)
+
+
+def stream_events(
+    spark: SparkSession, logs: str, out: str, checkpoint: str, files_per_trigger: int = 1000
+):
+    """Parse new log segments and append them; a batch that is retried replaces its own folder."""
+    raw = (
+        spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger)
+        .text(logs)
+    )
+    lines = raw.select("value", *event_log.line_origin())
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("line_id", F.monotonically_increasing_id())
+        event_log.write_parsed(event_log.parse_lines(numbered), f"{out}/batch={batch_id}", "overwrite")
+
+    return lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+
+
+def parsed_stream(spark: SparkSession, parsed: str) -> DataFrame:
+    schema = spark.read.parquet(parsed).drop("batch", "is_task").schema
+    return spark.readStream.schema(schema).parquet(f"{parsed}/batch=*/is_task=false")
+
+
+def _stage_ratios(rows: DataFrame) -> DataFrame:
+    with_totals = rows.select("*", *event_log.accumulable_totals())
+    return with_totals.select("*", *metric_ratios())
+
+
+def app_events(parsed: DataFrame, initial: Column) -> DataFrame:
+    """Parsed lines as the rows the tracker needs; task lines are left out."""
+    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    rows = parsed.filter(F.col("event").isin(*KINDS)).withColumn("kind", names[F.col("event")])
+    start = F.col("kind") == APP_START
+    rows = _stage_ratios(rows.select("*", *event_log.stage_columns()))
+    return rows.select(
+        "log_id", "roll", "file_path", "split_start", "line_id",
+        F.when(start, F.col("e.`App ID`")).alias("app_id"),
+        F.when(start, initial).cast("int").alias("initial"),
+        F.try_element_at("e.`Spark Properties`", F.lit("spark.driver.host")).alias("driver_host"),
+        F.col("e.`Executor ID`").alias("executor_id"), F.col("e.`Executor Info`.Host").alias("host"),
+        F.when(F.col("event") == "ExecutorAdded", 1).when(F.col("event") == "ExecutorRemoved", -1)
+        .otherwise(0).alias("delta"),
+        "kind",
+        F.coalesce(
+            "e.Timestamp", "e.`Submission Time`", "e.`Completion Time`", "complete_ms", "submit_ms"
+        ).alias("t_ms"),
+        F.col("e.`Job ID`").alias("job_id"), F.col("e.`Stage Infos`.`Stage ID`").alias("stage_ids"),
+        *[f.split()[0] for f in STAGE_FIELDS.split(", ")],
+    )
+
+
+def stream_app_state(events: DataFrame, base: int = 0) -> DataFrame:
+    """Each event with its number in the log, the live count and the last known scale-out."""
+    return events.groupBy("log_id").transformWithStateInPandas(
+        ScaleOutTracker(base), outputStructType=TRACKED, outputMode="Append", timeMode="None"
+    )
+
+
+def stream_job_end(tracked: DataFrame) -> DataFrame:
+    """Rows of ended jobs, one per stage, emitted at the job's end; its state is dropped then."""
+    return tracked.groupBy("app_id").transformWithStateInPandas(
+        JobEndCollector(), outputStructType=f"app_id string, {STAGE_OUT}", outputMode="Append", timeMode="None"
+    )
+
+
+def _event_time(ms: str) -> Column:
+    return F.timestamp_millis(F.col(ms))
+
+
+def stream_stage_pairs(
+    submits: DataFrame, completes: DataFrame, late: str = "1 hour", longest_stage: str = "30 days"
+) -> DataFrame:
+    """Submit and completion of each stage attempt. Both sides must come from streams of their own."""
+    s = submits.filter(F.col("kind") == SUBMIT).select(
+        "app_id", "stage_id", "attempt_id", "submit_ms", _event_time("submit_ms").alias("submitted")
+    ).withWatermark("submitted", late)
+    c = completes.filter(F.col("kind") == COMPLETE).select(
+        F.col("app_id").alias("c_app"), F.col("stage_id").alias("c_stage"),
+        F.col("attempt_id").alias("c_attempt"), "complete_ms", _event_time("complete_ms").alias("completed"),
+    ).withWatermark("completed", late)
+    same = (
+        (F.col("app_id") == F.col("c_app")) & (F.col("stage_id") == F.col("c_stage"))
+        & (F.col("attempt_id") == F.col("c_attempt"))
+        & (F.col("completed") >= F.col("submitted"))
+        & (F.col("completed") <= F.col("submitted") + F.expr(f"interval {longest_stage}"))
+    )
+    return s.join(c, same).select("app_id", "stage_id", "attempt_id", "submit_ms", "complete_ms")
+
+
+def message_rows(tracked: DataFrame) -> DataFrame:
+    types = {APP_START: "APPLICATION_START", APP_END: "APPLICATION_END", JOB_START: "JOB_START", JOB_END: "JOB_END"}
+    names = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
+    return tracked.filter(F.col("kind").isin(*types)).select(
+        "app_id", names[F.col("kind")].alias("event_type"), "job_id", "t_ms", "seq", "num_executors", "last_known"
+    )
+
+
+def stream_message_lines(tracked: DataFrame) -> DataFrame:
+    """Envelopes of job starts and application ends; job ends follow from ``stream_job_end``."""
+    app = F.col("app_id")
+    starts = messages.message_lines(messages.job_start_records(tracked), "JOB_START", app)
+    return starts.unionByName(messages.message_lines(messages.app_end_records(tracked), "APPLICATION_END", app))
+
+
+def stream_response_timeout(
+    sent: DataFrame, responses: DataFrame, timeout_ms: int = RESPONSE_TIMEOUT_MS, late: str = "1 hour"
+) -> DataFrame:
+    """Messages with their answer if it came in time, else with the fallback."""
+    m = sent.withColumn("sent_at", _event_time("t_ms")).withColumn(
+        "_job", F.coalesce("job_id", F.lit(-1))
+    ).withWatermark("sent_at", late)
+    r = responses.select(
+        F.col("app_id").alias("r_app"), F.col("event_type").alias("r_type"),
+        F.coalesce("job_id", F.lit(-1)).alias("r_job"), "recommended_scale_out",
+        _event_time("answered_ms").alias("answered_at"),
+    ).withWatermark("answered_at", late)
+    same = (
+        (F.col("app_id") == F.col("r_app")) & (F.col("event_type") == F.col("r_type"))
+        & (F.col("_job") == F.col("r_job"))
+        & (F.col("answered_at") >= F.col("sent_at"))
+        & (F.col("answered_at") <= F.col("sent_at") + F.expr(f"interval {timeout_ms} milliseconds"))
+    )
+    joined = m.join(r, same, "leftOuter").select(*sent.columns, "recommended_scale_out")
+    return decisions.effective_recommendation(joined)
+
+
+def stream_scale_decisions(effective: DataFrame, min_gap_ms: int = MIN_REQUEST_GAP_MS) -> DataFrame:
+    """Decision on each candidate, from the time of the one before it kept in state."""
+    wanted = decisions.scale_change_candidates(effective)
+    starts = effective.filter(F.col("event_type") == "APPLICATION_START")
+    rows = wanted.unionByName(starts).select(
+        "app_id", "event_type", "job_id", "t_ms", "seq", F.col("effective_scale_out").cast("int")
+    )
+    out = "app_id string, event_type string, job_id int, t_ms bigint, seq bigint, effective_scale_out int, " \
+          "waited_ms bigint, decision string"
+    return rows.groupBy("app_id").transformWithStateInPandas(
+        DecisionClock(min_gap_ms), outputStructType=out, outputMode="Append", timeMode="None"
+    )
+
+
+def to_files(rows: DataFrame, out: str, checkpoint: str):
+    return rows.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", checkpoint
+    ).outputMode("append")
+
+
+def run_available(writer) -> None:
+    """Process everything that is there, in as many batches as the limits ask for, and stop."""
+    writer.trigger(availableNow=True).start().awaitTermination()
