@@ -558,7 +558,9 @@ def stream_job_end(spark, sf):
 
 @query
 def stream_response_timeout(spark, sf):
-    return live.chain(spark, sf).read("effective").drop("seq", "recommended_scale_out")
+    return live.chain(spark, sf).read("effective").filter("event_type <> 'HEARTBEAT'").drop(
+        "seq", "recommended_scale_out"
+    )
 
 
 @query

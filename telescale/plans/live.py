@@ -23,10 +23,17 @@ class Chain:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         ev = b.events(spark, sf_dir)
         hot = b.is_hot(ev)
-        for segment in range(segments):
-            b.write_log(ev, self.at("logs"), hot, segments, segment)
-            self.advance()
-            self.answer(segment, last=segment == segments - 1)
+        # A query keeps its number of state partitions for life: one per core, not one per shuffle block.
+        planned = spark.conf.get("spark.sql.shuffle.partitions")
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(planned), cores)))
+        try:
+            for segment in range(segments):
+                b.write_log(ev, self.at("logs"), hot, segments, segment)
+                self.advance()
+                self.answer(segment, last=segment == segments - 1)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", planned)
 
     def at(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -65,7 +72,6 @@ class Chain:
 
     def answer(self, segment: int, last: bool) -> None:
         """Answers that take 0 to 44 seconds; the last segment ends with a row that moves the watermark."""
-        answered = {"segment": F.lit(segment)}
         sent = self.read("sent").filter("event_type <> 'HEARTBEAT'")
         done = f"{self.root}/answers"
         delay = F.coalesce(F.col("job_id") * 7 % 45 * 1000, F.lit(0))
@@ -82,21 +88,24 @@ class Chain:
         rows.write.mode("append").parquet(done)
         if last:
             beat = sent.agg((F.max("t_ms") + _DAY).alias("t_ms"))
-            beat.select(
-                F.lit("").alias("app_id"), F.lit("HEARTBEAT").alias("event_type"), F.lit(None).cast("int").alias("job_id"),
-                F.col("t_ms").alias("answered_ms"), F.lit(0).alias("recommended_scale_out"),
+            named = beat.select(
+                "t_ms", F.lit("").alias("app_id"), F.lit("HEARTBEAT").alias("event_type"),
+                F.lit(None).cast("int").alias("job_id"),
+            )
+            named.select(
+                "app_id", "event_type", "job_id", F.col("t_ms").alias("answered_ms"),
+                F.lit(0).alias("recommended_scale_out"),
             ).write.mode("append").parquet(done)
-        messages = self.stream("sent", pipeline.MESSAGE)
-        if last:
-            beat.select(
-                F.lit("").alias("app_id"), F.lit("HEARTBEAT").alias("event_type"), F.lit(None).cast("int").alias("job_id"),
-                "t_ms", F.lit(0).cast("long").alias("seq"), F.lit(0).alias("num_executors"), F.lit(0).alias("last_known"),
+            named.select(
+                "app_id", "event_type", "job_id", "t_ms", F.lit(0).cast("long").alias("seq"),
+                F.lit(0).alias("num_executors"), F.lit(0).alias("last_known"),
             ).write.mode("append").parquet(self.at("beats"))
         else:
             self.spark.createDataFrame([], pipeline.MESSAGE).write.mode("append").parquet(self.at("beats"))
-        messages = messages.unionByName(self.stream("beats", pipeline.MESSAGE))
+        messages = self.stream("sent", pipeline.MESSAGE).unionByName(self.stream("beats", pipeline.MESSAGE))
         effective = pipeline.stream_response_timeout(messages, self.stream("answers", pipeline.RESPONSE))
-        self.run(effective.filter("event_type <> 'HEARTBEAT'"), "effective")
+        # Filtering the last row out here would move below the watermark and keep it from advancing.
+        self.run(effective, "effective")
         schema = self.read("effective").schema
         decided = pipeline.stream_scale_decisions(self.spark.readStream.schema(schema).parquet(self.at("effective")))
         self.run(decided, "decisions")
