@@ -7,6 +7,9 @@ recommendations. Every frame keeps all rows of its table.
 
 from __future__ import annotations
 
+from functools import wraps
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,21 @@ RANK = {APP_START: 0, EXECUTOR: 1, JOB_END: 2, JOB_START: 3, SUBMIT: 4, COMPLETE
 ORDER = ("t_ms", "rank", "seq")
 
 
+_FRAMES: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
+
+
+def once(fn):
+    """Build a frame of the same events only once: a query that uses it twice then shares its plan."""
+    @wraps(fn)
+    def build(ev: DataFrame, hot: bool = True) -> DataFrame:
+        frames = _FRAMES.setdefault(ev, {})
+        if (fn.__name__, hot) not in frames:
+            frames[fn.__name__, hot] = fn(ev, hot)
+        return frames[fn.__name__, hot]
+
+    return build
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,6 +68,7 @@ def executor_events(ev: DataFrame) -> DataFrame:
     )
 
 
+@once
 def jobs(ev: DataFrame, hot: bool = True) -> DataFrame:
     keys = ["app_id"]
     starts = ev.filter(F.col("et") == "purchase").select("app_id", "seq", "t_ms")
@@ -63,17 +82,29 @@ def jobs(ev: DataFrame, hot: bool = True) -> DataFrame:
     )
 
 
+@once
 def stages(ev: DataFrame, hot: bool = True) -> DataFrame:
-    keys = ["app_id"]
+    """Views, with the job they fall into (-1 before the first) and its end."""
+    keys, purchase = ["app_id"], F.col("et") == "purchase"
     steps = ev.filter(F.col("et").isin("purchase", "view"))
     placed = scan(
         blocked(steps, keys, "seq", hot), keys, ["seq"],
-        total={"_n": (F.col("et") == "purchase").cast("int")},
+        total={"_n": purchase.cast("int")}, after={"end_ms": F.when(purchase, F.col("t_ms"))},
     )
     return placed.filter(F.col("et") == "view").select(
         "app_id", (F.col("_n") - 1).cast("int").alias("job_id"), F.col("seq").alias("stage_id"),
-        F.col("seq").alias("submit_seq"), F.col("t_ms").alias("submit_ms"),
-        (F.col("t_ms") + F.floor(F.col("value") * 3600000)).alias("complete_ms"), "k",
+        F.col("seq").alias("submit_seq"), F.col("t_ms").alias("submit_ms"), done_ms().alias("complete_ms"),
+        "end_ms", "k",
+    )
+
+
+def done_ms():
+    return F.col("t_ms") + F.floor(F.col("value") * 3600000)
+
+
+def stage_times(ev: DataFrame) -> DataFrame:
+    return ev.filter(F.col("et") == "view").select(
+        "app_id", F.col("seq").alias("stage_id"), F.col("t_ms").alias("submit_ms"), done_ms().alias("complete_ms")
     )
 
 
@@ -106,6 +137,7 @@ def _events(df: DataFrame, *structs) -> DataFrame:
     return df.select("app_id", F.inline(F.array(*structs)))
 
 
+@once
 def timeline(ev: DataFrame, hot: bool = True) -> DataFrame:
     """All events of all applications in one frame, ordered by ``ORDER``."""
     job, stage = F.col("job_id"), F.col("stage_id")
@@ -157,6 +189,7 @@ def rdds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def tracked(ev: DataFrame, hot: bool = True) -> DataFrame:
     return track_scale_out(timeline(ev, hot), ORDER, base=INITIAL, hot=hot)
 
@@ -166,6 +199,7 @@ MESSAGE_TYPES = {
 }
 
 
+@once
 def all_messages(ev: DataFrame, hot: bool = True) -> DataFrame:
     kind = F.col("kind")
     event_type = F.create_map(*[F.lit(x) for pair in MESSAGE_TYPES.items() for x in pair])[kind]
@@ -189,10 +223,10 @@ def responses(ev: DataFrame, sent: DataFrame, hot: bool = True) -> DataFrame:
     )
 
 
+@once
 def stage_events(ev: DataFrame, hot: bool = True) -> DataFrame:
     """Submits of all stages in a job, and completions of those done by the job's end."""
-    ended = jobs(ev, hot).select("app_id", "job_id", "end_ms")
-    placed = stages(ev, hot).filter("job_id >= 0").join(ended, ["app_id", "job_id"])
+    placed = stages(ev, hot).filter("job_id >= 0")
     rows = [_kind(SUBMIT), F.when(F.col("complete_ms") <= F.col("end_ms"), _kind(COMPLETE))]
     return placed.select(
         "app_id", "job_id", "stage_id", F.col("submit_seq").alias("seq"), "submit_ms", "complete_ms",
@@ -219,10 +253,10 @@ def stage_rows(spark: SparkSession, sf_dir: str, ev: DataFrame, hot: bool = True
     )
     described = described.join(known, ["app_id", "seq", "kind"])
     ratios = rescaling.rescaling_time_ratio(
-        rescaling.stage_windows(stages(ev, hot).select("app_id", "stage_id", "submit_ms", "complete_ms")),
+        rescaling.stage_windows(stage_times(ev)),
         executor_events(ev), hot=hot,
     ).select("app_id", "stage_id", "rescaling_time_ratio")
-    of_stage = stages(ev, hot).select("app_id", "stage_id")
+    of_stage = stage_times(ev).select("app_id", "stage_id")
     rdd_totals = stage_ops.stage_rdd_totals(rdds(spark, sf_dir).drop("stage_id"), ["job_id"])
     totals = stage_ops.RDD_TOTALS
     described = (
@@ -245,6 +279,7 @@ def job_ends(ev: DataFrame, hot: bool = True) -> DataFrame:
     return ratio.select("app_id", "job_id", "rescaling_time_ratio").join(counts, ["app_id", "job_id"])
 
 
+@once
 def listings(ev: DataFrame, hot: bool = True) -> DataFrame:
     """Stage numbers (ten per application) that each job lists when it starts."""
     numbers = stages(ev, hot).filter("job_id >= 0").select(
@@ -341,7 +376,7 @@ def _line(event: str, at, **fields):
 def log_lines(ev: DataFrame, hot: bool = True) -> DataFrame:
     """The lines a Spark event log would hold for the events: app_id, at_ms, place, seq, value."""
     app, t, k, seq, et = F.col("app_id").cast("string"), F.col("t_ms"), F.col("k"), F.col("seq"), F.col("et")
-    done = t + F.floor(F.col("value") * 3600000)
+    done = done_ms()
     stage = [
         seq.alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"),
         F.concat(F.lit("view at "), seq.cast("string")).alias("Stage Name"), k.alias("Number of Tasks"),

@@ -164,9 +164,7 @@ def stage_pairing(spark, sf):
 @query
 def stage_rescaling_ratio(spark, sf):
     ev, hot = _events(spark, sf)
-    windows = rescaling.stage_windows(
-        b.stages(ev, hot).select("app_id", "stage_id", "submit_ms", "complete_ms")
-    )
+    windows = rescaling.stage_windows(b.stage_times(ev))
     ratio = rescaling.rescaling_time_ratio(windows, b.executor_events(ev), hot=hot)
     return ratio.select("app_id", "stage_id", "rescaling_ms", "rescaling_time_ratio")
 
@@ -304,9 +302,7 @@ def scale_out_intervals(spark, sf):
 @query
 def interior_intervals(spark, sf):
     ev, hot = _events(spark, sf)
-    windows = rescaling.stage_windows(
-        b.stages(ev, hot).select("app_id", "stage_id", "submit_ms", "complete_ms")
-    )
+    windows = rescaling.stage_windows(b.stage_times(ev))
     counted = rescaling.interior_intervals(windows, b.executor_events(ev), hot=hot)
     return counted.select("app_id", "stage_id", "n_overlapping", "n_interior")
 
