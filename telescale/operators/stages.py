@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telescale.functions.expr import failure_reason, safe_ratio, stage_key
-from telescale.operators.ordered import BLOCK, blocked, scan
+from telescale.operators.ordered import blocked, scan
 from telescale.operators.scaleout import COMPLETE, SEQ, SUBMIT
 
 COUNTERS = (
@@ -71,10 +71,26 @@ def stage_order_in_job(
     stages: DataFrame, keys: Sequence[str] = ("app_id", "job_id"), order: Sequence[str] = ("stage_id", "seq"),
     hot: bool = True,
 ) -> DataFrame:
-    """Position of each stage in its job by stage id, arrival order among equal ids."""
-    keys = list(keys)
-    placed = scan(blocked(stages, keys, order[0], hot), keys, order, total={"_rn": F.lit(1)})
-    return placed.withColumn("position", F.col("_rn").cast("int")).drop("_rn", BLOCK)
+    """Position of each stage in its job by stage id, arrival order among equal ids.
+
+    For hot jobs the position is the number of rows with a lower id, from counts per id, and the rank
+    among the rows of the same id. Both passes then run over unique values, which blocks can split.
+    """
+    keys, (stage, arrival) = list(keys), order
+    rank = F.col("_rn").cast("int")
+    if not hot:
+        placed = scan(stages, keys, order, total={"_rn": F.lit(1)})
+        return placed.withColumn("position", rank).drop("_rn")
+    per_id = stages.groupBy(*keys, stage).agg(F.count(F.lit(1)).alias("_n"))
+    lower = scan(blocked(per_id, keys, stage), keys, [stage], total={"_upto": F.col("_n")}).select(
+        *keys, stage, (F.col("_upto") - F.col("_n")).alias("_lower")
+    )
+    same = [*keys, stage]
+    ranked = scan(blocked(stages, same, arrival), same, [arrival], total={"_rn": F.lit(1)})
+    return (
+        ranked.join(lower, same)
+        .select(*stages.columns, (F.col("_lower") + F.col("_rn")).cast("int").alias("position"))
+    )
 
 
 def stage_pairing(stage_events: DataFrame, order: Sequence[str] = ("stage_id", "seq"), hot: bool = True) -> DataFrame:

@@ -19,6 +19,8 @@ def build_session(app_name: str = "telescale", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a skewed join even if the next step then needs a shuffle of its own.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         **conf,
