@@ -12,13 +12,22 @@ over such ties give their part. Both lookups come from one ordered pass over dis
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telescale.functions.expr import safe_ratio
 from telescale.operators.ordered import BLOCK, blocked, scan
 
-_WIDE = "decimal(38,0)"
+# Times are summed in two halves, so that no sum of many milliseconds since 1970 leaves a long.
+_HALF = 1 << 20
+
+
+def _high(ms: Column) -> Column:
+    return F.shiftright(ms, 20)
+
+
+def _low(ms: Column) -> Column:
+    return ms.bitwiseAND(F.lit(_HALF - 1))
 
 
 def executor_marks(points: DataFrame, windows: DataFrame, hot: bool = True) -> DataFrame:
@@ -48,20 +57,21 @@ def executor_marks(points: DataFrame, windows: DataFrame, hot: bool = True) -> D
         total={
             "_count": m,
             "_tied": F.col("_ties"),
-            "_tied_ms": F.col("_ties").cast("decimal(10,0)") * t.cast("decimal(19,0)"),
+            "_high": F.col("_ties") * _high(t),
+            "_low": F.col("_ties") * _low(t),
         },
         last={"_last": point},
         after={"_later": F.col("_candidate"), "_later_any": point},
     )
-    here = F.col("_ties").cast("decimal(10,0)") * t.cast("decimal(19,0)")
     return marks.select(
         "app_id", "t_ms",
         F.col("_count").alias("count_upto"),
         (F.col("_count") - m).alias("count_before"),
         F.col("_tied").alias("ties_upto"),
         (F.col("_tied") - F.col("_ties")).alias("ties_before"),
-        F.col("_tied_ms").cast(_WIDE).alias("tied_ms_upto"),
-        (F.col("_tied_ms") - here).cast(_WIDE).alias("tied_ms_before"),
+        F.col("_high").alias("high_upto"), F.col("_low").alias("low_upto"),
+        (F.col("_high") - F.col("_ties") * _high(t)).alias("high_before"),
+        (F.col("_low") - F.col("_ties") * _low(t)).alias("low_before"),
         F.col("_last").alias("last_point"),
         F.coalesce(F.col("_candidate"), F.col("_later")).alias("next_counted"),
         F.coalesce(point, F.col("_later_any")).alias("next_point"),
@@ -71,11 +81,12 @@ def executor_marks(points: DataFrame, windows: DataFrame, hot: bool = True) -> D
 def _with_marks(windows: DataFrame, points: DataFrame, hot: bool) -> DataFrame:
     marks = executor_marks(points, windows, hot)
     start = marks.select(
-        "app_id", F.col("t_ms").alias("window_start"), "count_before", "ties_before", "tied_ms_before",
-        "next_counted", "next_point",
+        "app_id", F.col("t_ms").alias("window_start"), "count_before", "ties_before", "high_before",
+        "low_before", "next_counted", "next_point",
     )
     end = marks.select(
-        "app_id", F.col("t_ms").alias("window_end"), "count_upto", "ties_upto", "tied_ms_upto", "last_point"
+        "app_id", F.col("t_ms").alias("window_end"), "count_upto", "ties_upto", "high_upto", "low_upto",
+        "last_point",
     )
     return windows.join(start, ["app_id", "window_start"], "left").join(
         end, ["app_id", "window_end"], "left"
@@ -94,10 +105,11 @@ def rescaling_time_ratio(
         raise ValueError(f"unknown tie_mode {tie_mode!r}")
     end = F.col("window_end")
     span = F.col("last_point") - F.col("next_counted")
-    stretched = (
-        end.cast("decimal(19,0)") * (F.col("ties_upto") - F.col("ties_before")).cast("decimal(18,0)")
-        - (F.col("tied_ms_upto") - F.col("tied_ms_before"))
-    ).cast("long")
+    ties = F.col("ties_upto") - F.col("ties_before")
+    # Every tie lasts from its own time to the window's end.
+    high = _high(end) * ties - (F.col("high_upto") - F.col("high_before"))
+    low = _low(end) * ties - (F.col("low_upto") - F.col("low_before"))
+    stretched = high * F.lit(_HALF).cast("long") + low
     length = span + stretched if tie_mode == "stretch" else span
     return (
         _with_marks(windows, points, hot)
