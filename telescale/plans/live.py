@@ -58,7 +58,8 @@ class Chain:
         pipeline.run_available(
             pipeline.stream_events(spark, self.at("logs"), self.at("parsed"), self.at("checkpoints/parsed"))
         )
-        events = pipeline.app_events(pipeline.parsed_stream(spark, self.at("parsed")), F.lit(b.INITIAL))
+        parsed = pipeline.parsed_stream(spark, self.at("parsed"), files_per_trigger=4)
+        events = pipeline.app_events(parsed, F.lit(b.INITIAL))
         self.run(pipeline.stream_app_state(events, base=b.INITIAL), "tracked")
         tracked = self.stream("tracked", pipeline.TRACKED)
         again = self.stream("tracked", pipeline.TRACKED)

@@ -6,8 +6,8 @@ and the files it writes are the next one's source:
     log segments -> parsed lines -> tracked events -> stage pairs, job ends, messages
     messages + answers -> effective recommendations -> decisions
 
-State is kept per log. A micro-batch of one log is sorted inside the processor, so its size is set
-by ``maxFilesPerTrigger``; file order within an application decides, late rows are not merged.
+State is kept per log. The rows a micro-batch has of one log are sorted inside the processor, so
+``files_per_trigger`` bounds them; file order within an application decides, late rows are not merged.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from telescale.operators.scaleout import (
 from telescale.operators.stages import metric_ratios
 from telescale.settings import MIN_REQUEST_GAP_MS, RESPONSE_TIMEOUT_MS
 from telescale.sources import event_log
-from telescale.streaming.processors import DecisionClock, JobEndCollector, ScaleOutTracker
+from telescale.streaming.processors import PLACE, DecisionClock, JobEndCollector, ScaleOutTracker
 
 KINDS = {
     "EnvironmentUpdate": "environment", "ApplicationStart": APP_START, "ApplicationEnd": APP_END,
@@ -59,15 +59,21 @@ def stream_events(
     lines = raw.select("value", *event_log.line_origin())
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("line_id", F.monotonically_increasing_id())
-        event_log.write_parsed(event_log.parse_lines(numbered), f"{out}/batch={batch_id}", "overwrite")
+        parsed = event_log.parse_lines(batch.withColumn("line_id", F.monotonically_increasing_id()))
+        folder, is_task = f"{out}/batch={batch_id}", F.col("event") == event_log.TASK_END
+        parsed.filter(is_task).write.mode("overwrite").parquet(f"{folder}/is_task=true")
+        # All control lines a log has in this batch go to one file, so readers see them together.
+        control = parsed.filter(~is_task).repartition("log_id").sortWithinPartitions("log_id", *PLACE)
+        control.write.mode("overwrite").parquet(f"{folder}/is_task=false")
 
     return lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
 
 
-def parsed_stream(spark: SparkSession, parsed: str) -> DataFrame:
+def parsed_stream(spark: SparkSession, parsed: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Control lines, oldest files first."""
     schema = spark.read.parquet(parsed).drop("batch", "is_task").schema
-    return spark.readStream.schema(schema).parquet(f"{parsed}/batch=*/is_task=false")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{parsed}/batch=*/is_task=false")
 
 
 def _stage_ratios(rows: DataFrame) -> DataFrame:
@@ -82,7 +88,7 @@ def app_events(parsed: DataFrame, initial: Column) -> DataFrame:
     start = F.col("kind") == APP_START
     rows = _stage_ratios(rows.select("*", *event_log.stage_columns()))
     return rows.select(
-        "log_id", "roll", "file_path", "split_start", "line_id",
+        "log_id", *PLACE,
         F.when(start, F.col("e.`App ID`")).alias("app_id"),
         F.when(start, initial).cast("int").alias("initial"),
         F.try_element_at("e.`Spark Properties`", F.lit("spark.driver.host")).alias("driver_host"),
