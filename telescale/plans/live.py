@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from telescale.plans import bindings as b
 from telescale.session import STATE_STORE, shared_dir
 from telescale.sources import event_log, message_sink
-from telescale.streaming import pipeline
+from telescale.streaming import tables
 
 SEGMENTS = 2
 _DAY = 86400000
@@ -51,25 +51,25 @@ class Chain:
         return message_sink.read_messages(self.spark, self.at("messages"))
 
     def run(self, rows: DataFrame, name: str) -> None:
-        pipeline.run_available(pipeline.to_files(rows, self.at(name), self.at(f"checkpoints/{name}")))
+        tables.run_available(tables.to_files(rows, self.at(name), self.at(f"checkpoints/{name}")))
 
     def advance(self) -> None:
         spark = self.spark
-        pipeline.run_available(
-            pipeline.stream_events(spark, self.at("logs"), self.at("parsed"), self.at("checkpoints/parsed"))
+        tables.run_available(
+            tables.stream_events(spark, self.at("logs"), self.at("parsed"), self.at("checkpoints/parsed"))
         )
-        parsed = pipeline.parsed_stream(spark, self.at("parsed"), files_per_trigger=4)
-        events = pipeline.app_events(parsed, F.lit(b.INITIAL))
-        self.run(pipeline.stream_app_state(events, base=b.INITIAL), "tracked")
-        tracked = self.stream("tracked", pipeline.TRACKED)
-        again = self.stream("tracked", pipeline.TRACKED)
-        self.run(pipeline.stream_stage_pairs(tracked, again), "pairs")
-        self.run(pipeline.stream_job_end(tracked), "job_ends")
-        lines = pipeline.stream_message_lines(tracked)
-        pipeline.run_available(
+        parsed = tables.parsed_stream(spark, self.at("parsed"), files_per_trigger=4)
+        events = tables.app_events(parsed, F.lit(b.INITIAL))
+        self.run(tables.stream_app_state(events, base=b.INITIAL), "tracked")
+        tracked = self.stream("tracked", tables.TRACKED)
+        again = self.stream("tracked", tables.TRACKED)
+        self.run(tables.stream_stage_pairs(tracked, again), "pairs")
+        self.run(tables.stream_job_end(tracked), "job_ends")
+        lines = tables.stream_message_lines(tracked)
+        tables.run_available(
             message_sink.stream_messages(lines, self.at("messages"), self.at("checkpoints/messages"))
         )
-        self.run(pipeline.message_rows(tracked).filter("event_type <> 'APPLICATION_END'"), "sent")
+        self.run(tables.message_rows(tracked).filter("event_type <> 'APPLICATION_END'"), "sent")
 
     def answer(self, segment: int, last: bool) -> None:
         """Answers that take 0 to 44 seconds; the last segment ends with a row that moves the watermark."""
@@ -81,7 +81,7 @@ class Chain:
             F.coalesce(F.col("job_id") % 10 + 1, F.lit(b.INITIAL)).cast("int").alias("recommended_scale_out"),
         )
         if segment:
-            earlier = self.spark.read.schema(pipeline.RESPONSE).parquet(done)
+            earlier = self.spark.read.schema(tables.RESPONSE).parquet(done)
             keys = ["app_id", "event_type", F.coalesce("job_id", F.lit(-1)).alias("_job")]
             rows = rows.withColumn("_job", F.coalesce("job_id", F.lit(-1))).join(
                 earlier.select(*keys), ["app_id", "event_type", "_job"], "left_anti"
@@ -102,13 +102,13 @@ class Chain:
                 F.lit(0).alias("num_executors"), F.lit(0).alias("last_known"),
             ).write.mode("append").parquet(self.at("beats"))
         else:
-            self.spark.createDataFrame([], pipeline.MESSAGE).write.mode("append").parquet(self.at("beats"))
-        messages = self.stream("sent", pipeline.MESSAGE).unionByName(self.stream("beats", pipeline.MESSAGE))
-        effective = pipeline.stream_response_timeout(messages, self.stream("answers", pipeline.RESPONSE))
+            self.spark.createDataFrame([], tables.MESSAGE).write.mode("append").parquet(self.at("beats"))
+        messages = self.stream("sent", tables.MESSAGE).unionByName(self.stream("beats", tables.MESSAGE))
+        effective = tables.stream_response_timeout(messages, self.stream("answers", tables.RESPONSE))
         # Filtering the last row out here would move below the watermark and keep it from advancing.
         self.run(effective, "effective")
         schema = self.read("effective").schema
-        decided = pipeline.stream_scale_decisions(self.spark.readStream.schema(schema).parquet(self.at("effective")))
+        decided = tables.stream_scale_decisions(self.spark.readStream.schema(schema).parquet(self.at("effective")))
         self.run(decided, "decisions")
 
 
