@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescale.llm import decontaminate, language, pieces, quality, secrets, simhash
+from telescale.llm import decontaminate, language, pieces, quality, secrets, simhash, substring, toxicity
 from telescale.llm.texts import held_out
 
 QUERIES = {}
@@ -27,6 +27,12 @@ def op1_secrets(spark, sf):
     return secrets.secret_scan(table(spark, sf, "documents"))
 
 
+@query
+def op3_substring(spark, sf):
+    left = substring.remove_repeats(table(spark, sf, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
@@ -50,6 +56,13 @@ def op7_pieces(spark, sf):
     return pieces.round_trip(table(spark, sf, "documents"), model)
 
 
+@query
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = toxicity.toxicity(docs, toxicity.fit(toxicity.learning_rows(docs), table(spark, sf, "labels")))
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_quality(spark, sf):
     return quality.quality(table(spark, sf, "documents"))
