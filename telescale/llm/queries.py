@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescale.llm import decontaminate, language, pieces, quality, secrets, simhash, substring, toxicity
+from telescale.llm import chat, decontaminate, language, pieces, quality, secrets, simhash, substring, toxicity, url_lists
 from telescale.llm.texts import held_out
 
 QUERIES = {}
@@ -27,6 +27,49 @@ def op1_secrets(spark, sf):
     return secrets.secret_scan(table(spark, sf, "documents"))
 
 
+@query
+def op2_url_lists(spark, sf):
+    """The tables hold neither fetch days nor lists: both are derived from all pages, by page_id."""
+    pages, host = table(spark, sf, "pages"), url_lists.host_of(F.col("url"))
+    key = F.col("page_id")
+    captures = pages.select("page_id", "url", (key * 37 % 730).alias("day"))
+    entries = pages.select(
+        F.element_at(F.array(*map(F.lit, ("ads", "adult", "malware", "spam"))), (key % 4 + 1).cast("int")).alias("list"),
+        F.when(key % 8 < 4, host).otherwise(F.regexp_replace(host, r"^[^.]*\.", "")).alias("domain"),
+        (key * 101 % 730).alias("day"), (key % 3 != 0).alias("added"),
+    )
+    return url_lists.judge(captures, entries)
+
+
+ORACLE["op2_url_lists"] = r"""
+with p as (
+  select page_id, url, page_id * 37 % 730 as day,
+         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') as host
+  from pages
+), daily as (
+  select (['ads', 'adult', 'malware', 'spam'])[page_id % 4 + 1] as list,
+         case when page_id % 8 < 4 then host else regexp_replace(host, '^[^.]*\.', '') end as domain,
+         page_id * 101 % 730 as since, max(page_id % 3 <> 0) as added
+  from p where host is not null group by 1, 2, 3
+), changed as (
+  select * from (select *, lag(added, 1, false) over (partition by list, domain order by since) as was from daily)
+  where added <> was
+), spans as (
+  select list, domain, since, next as until
+  from (select *, lead(since) over (partition by list, domain order by since) as next from changed) where added
+), met as (
+  select distinct p.page_id, p.url, p.day, s.list
+  from p join spans s on (p.host = s.domain or (s.domain like '%.%' and p.host like '%.' || s.domain))
+                     and s.since <= p.day and (s.until is null or p.day < s.until)
+), listed as (
+  select page_id, url, day, string_agg(list, ',' order by list) as lists from met group by 1, 2, 3
+)
+select p.page_id, p.url, p.day, p.host, coalesce(l.lists, '') as lists, coalesce(l.lists, '') <> '' as blocked
+from (select distinct * from p) p left join listed l
+  on p.page_id = l.page_id and p.url is not distinct from l.url and p.day = l.day
+"""
+
+
 @query
 def op3_substring(spark, sf):
     left = substring.remove_repeats(table(spark, sf, "documents"))
@@ -66,3 +109,31 @@ def op8_toxicity(spark, sf):
 @query
 def op9_quality(spark, sf):
     return quality.quality(table(spark, sf, "documents"))
+
+
+@query
+def op10_chat(spark, sf):
+    return chat.format_conversations(table(spark, sf, "conversations"))
+
+
+ORACLE["op10_chat"] = r"""
+with t as (
+  select conv_id, role, text, row_number() over (
+    partition by conv_id order by turn nulls first, role nulls first, text nulls first) as n
+  from conversations where conv_id is not null
+), upto as (
+  select conv_id, n, max(n) over (partition by conv_id) as turns,
+         string_agg(coalesce('r' || role, '') || chr(31) || coalesce('t' || text, ''), chr(30)) over (
+           partition by conv_id order by n rows between unbounded preceding and current row) as said
+  from t
+), whole as (
+  select said, min(conv_id) as conv_id, count(*) as n_snapshots, max(turns) as n_turns
+  from upto where n = turns group by said
+), kept as (
+  select * from whole where said not in (select said from upto where n < turns)
+)
+select k.conv_id, k.n_turns, k.n_snapshots, string_agg(
+         '<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || chr(10) || '<|end|>' || chr(10),
+         '' order by t.n) as rendered
+from kept k join t using (conv_id) group by all
+"""
