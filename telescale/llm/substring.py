@@ -50,12 +50,13 @@ def batch_rows(ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
     new = np.ones(len(ids), bool)
     new[1:] = hashes[1:] != hashes[:-1]
     alone = new & np.append(new[1:], True)
-    arrays = [pa.array(ids), pa.array(hashes.view(np.int64)), pa.array(~new), pa.array(~alone)]
+    back = np.argsort(ids, kind="stable")  # rows of a document together compress better
+    arrays = [pa.array(x[back]) for x in (ids, hashes.view(np.int64), ~new, ~alone)]
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "hash", "settled", "shared"])
 
 
 def _rows_of(docs: DataFrame, columns: Sequence[str], hashes_of) -> DataFrame:
-    """Rows of the hashes that ``hashes_of(words, *other columns)`` gives for each document."""
+    """Rows of the hashes that ``hashes_of(words, *other columns)`` gives for each document with all of them."""
 
     def run(batches):
         for batch in batches:
@@ -64,6 +65,8 @@ def _rows_of(docs: DataFrame, columns: Sequence[str], hashes_of) -> DataFrame:
             values = zip(ids.to_pylist(), texts.cast(pa.binary()).to_pylist(), *(x.to_pylist() for x in others),
                          strict=True)
             for doc_id, raw, *rest in values:
+                if doc_id is None or raw is None or None in rest:
+                    continue
                 h = np.unique(hashes_of(raw.split(), *rest))
                 found.append(h)
                 owners.append(np.full(len(h), doc_id, np.int64))
@@ -95,8 +98,10 @@ def _among(hashes: np.ndarray, known: Sequence[int] | None) -> np.ndarray:
     return np.isin(hashes, np.array(known, np.int64).view(np.uint64))
 
 
-def _joined(texts: DataFrame, found: DataFrame, name: str, how: str) -> DataFrame:
-    return texts.join(_by_document(found, name), F.col("doc_id") == F.col("_owner"), how).drop("_owner")
+def _joined(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """All texts with their hashes or null. Always the same left side, so that Spark shuffles the texts once."""
+    packed = _by_document(found, name)
+    return docs.select("doc_id", "text").join(packed, F.col("doc_id") == F.col("_owner"), "left").drop("_owner")
 
 
 def repeated_windows(docs: DataFrame, length: int = WINDOW) -> DataFrame:
@@ -104,7 +109,6 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW) -> DataFrame:
 
     Rows without id or text hold none.
     """
-    some = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
     half = half_of(length)
 
     def first_level(words):
@@ -117,8 +121,8 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW) -> DataFrame:
         candidate = _among(halves, known)[minimizers(halves, length)]
         return window_hashes(hashes, length)[candidate]
 
-    candidates = repeated(_rows_of(some, [], first_level))
-    return repeated(_rows_of(_joined(some, candidates, "_known", "inner"), ["_known"], second_level))
+    candidates = repeated(_rows_of(docs, [], first_level))
+    return repeated(_rows_of(_joined(docs, candidates, "_known"), ["_known"], second_level))
 
 
 def longest_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
@@ -128,7 +132,6 @@ def longest_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
     shared window of ``length`` words are left out.
     """
     set_checkpoint_dir(docs.sparkSession)
-    some = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
     found = repeated_windows(docs, length).checkpoint()
     best = None
     while not found.isEmpty():
@@ -141,10 +144,10 @@ def longest_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
             twice = window_hashes(hashes, 2 * n)
             return twice[survive[:len(twice)] & survive[n:n + len(twice)]]
 
-        found = repeated(_rows_of(_joined(some, found, "_known", "inner"), ["_known"], extend)).checkpoint()
+        found = repeated(_rows_of(_joined(docs, found, "_known"), ["_known"], extend)).checkpoint()
         length *= 2
     if best is None:
-        return some.select("doc_id", F.lit(0).alias("longest")).filter("false")
+        return found.select("doc_id", F.lit(0).alias("longest"))
     return best.groupBy("doc_id").agg(F.max("longest").alias("longest"))
 
 
@@ -157,7 +160,6 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
     Rows that share an id count as one document. An empty table gives no rows.
     """
     later = repeated_windows(docs, length).filter("later")
-    texts = docs.select("doc_id", "text")
 
     def cut(batches):
         for batch in batches:
@@ -178,5 +180,4 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, *made], ["doc_id", "n_words", "n_removed", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = _joined(texts, later, "_gone", "left")
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    return _joined(docs, later, "_gone").mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
