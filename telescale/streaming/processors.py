@@ -25,17 +25,43 @@ def _ratio(length: int, span: int) -> float:
     return 1.0 if span == 0 else length / span
 
 
-class ScaleOutTracker(StatefulProcessor):
+#: How long after an application's end its state is kept, for lines that were logged behind the end.
+FREED_AFTER_MS = 3_600_000
+
+
+class Ending(StatefulProcessor):
+    """A processor whose ``states`` are dropped some time after the application's end was seen."""
+
+    def __init__(self, freed_after_ms: int = FREED_AFTER_MS) -> None:
+        self.freed_after_ms = freed_after_ms
+
+    def _ended(self, df: pd.DataFrame, timerValues) -> None:
+        if (df["kind"] == APP_END).any():
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.freed_after_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for state in self.states:
+            state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class ScaleOutTracker(Ending):
     """Live executors and the last known scale-out, event by event."""
 
-    def __init__(self, base: int = 0) -> None:
+    def __init__(self, base: int = 0, freed_after_ms: int = FREED_AFTER_MS) -> None:
+        super().__init__(freed_after_ms)
         self.base = base
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.app = handle.getValueState(
             "app", "app_id string, driver_host string, total int, initial int, last_known int, n bigint"
         )
         self.hosts = handle.getMapState("hosts", "executor_id string", "host string")
+        self.states = (self.app, self.hosts)
 
     def _host(self, row) -> str | None:
         if row.delta > 0:
@@ -73,15 +99,13 @@ class ScaleOutTracker(StatefulProcessor):
             return None if pd.isna(v) else int(v)
 
         self.app.update((app_id, driver, int(totals[-1]), plain(first.iloc[-1]), plain(last.iloc[-1]), n + len(df)))
+        self._ended(df, timerValues)
         out = df.drop(columns=[*PLACE, "app_id", "initial", "driver_host", "executor_id", "host", "delta"])
         out = out.assign(
             log_id=key[0], app_id=app_id, seq=np.arange(n, n + len(df)), num_executors=reported, last_known=last
         )
         yield out[OUT_TRACKED]
 
-    def close(self) -> None:
-        pass
-
 
 STAGE = [
     "stage_id", "attempt_id", "stage_name", "num_tasks", "parent_stage_ids", "submit_ms", "complete_ms",
@@ -97,15 +121,43 @@ OUT_STAGE = [
 ]
 
 
-class JobEndCollector(StatefulProcessor):
+class StagePairer(Ending):
+    """Holds submitted stage attempts until they complete or the application is over."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.submitted = handle.getMapState("submitted", "stage_id int, attempt_id int", "submit_ms bigint")
+        self.states = (self.submitted,)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
+        pairs = []
+        for row in df[df["kind"].isin([SUBMIT, COMPLETE])].itertuples():
+            attempt = (int(row.stage_id), int(row.attempt_id))
+            if row.kind == SUBMIT:
+                self.submitted.updateValue(attempt, (int(row.submit_ms),))
+            elif self.submitted.containsKey(attempt):
+                start = self.submitted.getValue(attempt)[0]
+                self.submitted.removeKey(attempt)
+                if start <= row.complete_ms:
+                    pairs.append((key[0], *attempt, start, int(row.complete_ms)))
+        self._ended(df, timerValues)
+        if pairs:
+            yield pd.DataFrame(pairs, columns=["app_id", "stage_id", "attempt_id", "submit_ms", "complete_ms"])
+
+
+class JobEndCollector(Ending):
     """Holds the stages of running jobs, and emits a job's stages when it ends.
 
-    Executor events are kept only back to the oldest stage still running. For the window from the
-    application's start a job needs just the counters in ``since_start``.
+    Executor events are kept only back to the start of the oldest job still running, since no stage of it was
+    submitted earlier. For the window from the application's start a job needs just the counters in
+    ``since_start``.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.stage_jobs = handle.getMapState("stage_jobs", "stage_id int", "job_id int")
+        self.job_starts = handle.getMapState("job_starts", "job_id int", "start_ms bigint")
         self.submits = handle.getListState(
             "submits", "job_id int, stage_id int, name string, tasks int, parents array<int>, ms bigint, scale int"
         )
@@ -119,6 +171,9 @@ class JobEndCollector(StatefulProcessor):
             "since_start",
             "start bigint, seen bigint, dropped bigint, first bigint, last bigint, ties bigint, tie_ms bigint",
         )
+        self.states = (
+            self.stage_jobs, self.job_starts, self.submits, self.completes, self.points, self.since_start,
+        )
 
     def _count(self, t: int) -> None:
         """Take one executor event into the window that began with the application."""
@@ -157,6 +212,7 @@ class JobEndCollector(StatefulProcessor):
                 if self.job["start"] is not None:
                     self._count(points[-1])
             elif row.kind == JOB_START:
+                self.job_starts.updateValue((int(row.job_id),), (int(row.t_ms),))
                 for stage in row.stage_ids:
                     self.stage_jobs.updateValue((int(stage),), (int(row.job_id),))
             elif row.kind in (SUBMIT, COMPLETE):
@@ -184,20 +240,22 @@ class JobEndCollector(StatefulProcessor):
                 submits = [s for s in submits if s[0] != row.job_id]
                 completes = [c for c in completes if c[0] != row.job_id]
                 self._forget(int(row.job_id))
-        if len(df):
-            running = {s[1] for s in submits} - {c[1] for c in completes}
-            oldest = min([s[5] for s in submits if s[1] in running], default=int(df["t_ms"].max()))
-            if self.job["start"] is not None:
-                kept = [t for t in points if t >= oldest]
-                self.job["dropped"] += len(points) - len(kept)
-                points = kept
+        self._keep(points, submits, completes, int(df["t_ms"].max()), names)
+        self._ended(df, timerValues)
+        if out:
+            frame = pd.DataFrame(out, columns=OUT_STAGE[1:])
+            yield frame.assign(app_id=key[0])[OUT_STAGE]
+
+    def _keep(self, points: list, submits: list, completes: list, now: int, names: list[str]) -> None:
+        oldest = min((start for _, (start,) in self.job_starts.iterator()), default=now)
+        if self.job["start"] is not None:
+            kept = [t for t in points if t >= oldest]
+            self.job["dropped"] += len(points) - len(kept)
+            points = kept
         self._store(self.submits, submits)
         self._store(self.completes, completes)
         self._store(self.points, [(t,) for t in points])
         self.since_start.update(tuple(self.job[n] for n in names))
-        if out:
-            frame = pd.DataFrame(out, columns=OUT_STAGE[1:])
-            yield frame.assign(app_id=key[0])[OUT_STAGE]
 
     def _rows(self, row, stages) -> list[tuple]:
         s, end = self.job, int(row.t_ms)
@@ -212,6 +270,8 @@ class JobEndCollector(StatefulProcessor):
         ]
 
     def _forget(self, job_id: int) -> None:
+        if self.job_starts.containsKey((job_id,)):
+            self.job_starts.removeKey((job_id,))
         for (stage,), (job,) in list(self.stage_jobs.iterator()):
             if job == job_id:
                 self.stage_jobs.removeKey((stage,))
@@ -227,8 +287,77 @@ class JobEndCollector(StatefulProcessor):
         pass
 
 
+class AnswerMatcher(StatefulProcessor):
+    """Gives each message its first answer in time, and gives messages out in their order.
+
+    A message waits until its answer is there or the application's own clock, the latest time of its messages and
+    answers, has passed the timeout by ``late_ms``; messages behind it wait with it. Other applications do not
+    matter. Repeated answers to one message are taken to arrive in their order. A row of type HEARTBEAT only moves
+    the clock. State goes once the application's end was given out.
+    """
+
+    MESSAGE = ["event_type", "job_id", "t_ms", "seq", "num_executors", "last_known"]
+
+    def __init__(self, timeout_ms: int, late_ms: int) -> None:
+        self.timeout_ms, self.late_ms = timeout_ms, late_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting = handle.getListState(
+            "waiting",
+            "event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, last_known int",
+        )
+        self.answers = handle.getMapState(
+            "answers", "event_type string, job_id int", "answered_ms bigint, recommended_scale_out int"
+        )
+        self.clock = handle.getValueState("clock", "t_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = pd.concat(list(rows), ignore_index=True)
+        now = int(df[["t_ms", "answered_ms"]].max(axis=None))
+        if self.clock.exists():
+            now = max(now, self.clock.get()[0])
+        answered = df[df["answered_ms"].notna()].sort_values("answered_ms")
+        for row in answered.itertuples():
+            name = (row.event_type, -1 if pd.isna(row.job_id) else int(row.job_id))
+            if not self.answers.containsKey(name) or row.answered_ms < self.answers.getValue(name)[0]:
+                self.answers.updateValue(name, (int(row.answered_ms), int(row.recommended_scale_out)))
+        sent = df[df["answered_ms"].isna() & (df["event_type"] != "HEARTBEAT")]
+        new = [
+            (event_type, *(None if pd.isna(v) else int(v) for v in numbers))
+            for event_type, *numbers in sent[self.MESSAGE].itertuples(index=False)
+        ]
+        waiting = sorted([*self.waiting.get(), *new], key=lambda m: m[3])
+        out = []
+        while waiting:
+            event_type, job_id, t_ms = waiting[0][:3]
+            name = (event_type, -1 if job_id is None else int(job_id))
+            found = self.answers.getValue(name) if self.answers.containsKey(name) else None
+            in_time = found is not None and t_ms <= found[0] <= t_ms + self.timeout_ms
+            if not in_time and now <= t_ms + self.timeout_ms + self.late_ms:
+                break
+            if found is not None:
+                self.answers.removeKey(name)
+            out.append((key[0], *waiting.pop(0), found[1] if in_time else None))
+        if out and out[-1][1] == "APPLICATION_END" and not waiting:
+            for state in (self.waiting, self.answers, self.clock):
+                state.clear()
+        else:
+            self.clock.update((now,))
+            if waiting:
+                self.waiting.put([tuple(m) for m in waiting])
+            else:
+                self.waiting.clear()
+        if out:
+            frame = pd.DataFrame(out, columns=["app_id", *self.MESSAGE, "recommended_scale_out"])
+            whole = ["job_id", "num_executors", "last_known", "recommended_scale_out"]
+            yield frame.astype({c: "Int64" for c in whole})
+
+    def close(self) -> None:
+        pass
+
+
 class DecisionClock(StatefulProcessor):
-    """Grants a candidate if the one before it lies at least the gap behind."""
+    """Grants a candidate if the one before it lies at least the gap behind. Rows come in order."""
 
     def __init__(self, min_gap_ms: int) -> None:
         self.min_gap_ms = min_gap_ms
@@ -242,8 +371,11 @@ class DecisionClock(StatefulProcessor):
         times = pd.concat([before, _whole(df["t_ms"])], ignore_index=True)
         df["waited_ms"] = _whole(df["t_ms"]) - times.iloc[:-1].reset_index(drop=True)
         df["decision"] = np.where(df["waited_ms"].fillna(0) < self.min_gap_ms, "suppressed", "requested")
-        self.previous.update((int(df["t_ms"].iloc[-1]),))
-        yield df[df["event_type"] != "APPLICATION_START"]
+        if df["event_type"].iloc[-1] == "APPLICATION_END":
+            self.previous.clear()
+        else:
+            self.previous.update((int(df["t_ms"].iloc[-1]),))
+        yield df[~df["event_type"].isin(["APPLICATION_START", "APPLICATION_END"])]
 
     def close(self) -> None:
         pass

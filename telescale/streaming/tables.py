@@ -7,7 +7,8 @@ and the files it writes are the next one's source:
     messages + answers -> effective recommendations -> decisions
 
 State is kept per log. The rows a micro-batch has of one log are sorted inside the processor, so
-``files_per_trigger`` bounds them; file order within an application decides, late rows are not merged.
+``files_per_trigger`` bounds them; file order within an application decides. There is no clock over applications,
+so that logs may arrive in any order and at any age. An application's state goes an hour after its end was read.
 """
 
 from __future__ import annotations
@@ -22,7 +23,12 @@ from telescale.operators.scaleout import (
 from telescale.operators.stages import metric_ratios
 from telescale.settings import MIN_REQUEST_GAP_MS, RESPONSE_TIMEOUT_MS
 from telescale.sources import event_log
-from telescale.streaming.processors import PLACE, DecisionClock, JobEndCollector, ScaleOutTracker
+from telescale.streaming.processors import (
+    PLACE, AnswerMatcher, DecisionClock, JobEndCollector, ScaleOutTracker, StagePairer,
+)
+
+#: How long answers may trail behind the other messages of their application.
+LATE_ANSWERS_MS = 3_600_000
 
 KINDS = {
     "EnvironmentUpdate": "environment", "ApplicationStart": APP_START, "ApplicationEnd": APP_END,
@@ -107,39 +113,25 @@ def app_events(parsed: DataFrame, initial: Column) -> DataFrame:
 def stream_app_state(events: DataFrame, base: int = 0) -> DataFrame:
     """Each event with its number in the log, the live count and the last known scale-out."""
     return events.groupBy("log_id").transformWithStateInPandas(
-        ScaleOutTracker(base), outputStructType=TRACKED, outputMode="Append", timeMode="None"
+        ScaleOutTracker(base), outputStructType=TRACKED, outputMode="Append", timeMode="ProcessingTime"
     )
 
 
 def stream_job_end(tracked: DataFrame) -> DataFrame:
     """Rows of ended jobs, one per stage, emitted at the job's end; its state is dropped then."""
     return tracked.groupBy("app_id").transformWithStateInPandas(
-        JobEndCollector(), outputStructType=f"app_id string, {STAGE_OUT}", outputMode="Append", timeMode="None"
+        JobEndCollector(), outputStructType=f"app_id string, {STAGE_OUT}", outputMode="Append",
+        timeMode="ProcessingTime",
     )
 
 
-def _event_time(ms: str) -> Column:
-    return F.timestamp_millis(F.col(ms))
-
-
-def stream_stage_pairs(
-    submits: DataFrame, completes: DataFrame, late: str = "1 hour", longest_stage: str = "30 days"
-) -> DataFrame:
-    """Submit and completion of each stage attempt. Both sides must come from streams of their own."""
-    s = submits.filter(F.col("kind") == SUBMIT).select(
-        "app_id", "stage_id", "attempt_id", "submit_ms", _event_time("submit_ms").alias("submitted")
-    ).withWatermark("submitted", late)
-    c = completes.filter(F.col("kind") == COMPLETE).select(
-        F.col("app_id").alias("c_app"), F.col("stage_id").alias("c_stage"),
-        F.col("attempt_id").alias("c_attempt"), "complete_ms", _event_time("complete_ms").alias("completed"),
-    ).withWatermark("completed", late)
-    same = (
-        (F.col("app_id") == F.col("c_app")) & (F.col("stage_id") == F.col("c_stage"))
-        & (F.col("attempt_id") == F.col("c_attempt"))
-        & (F.col("completed") >= F.col("submitted"))
-        & (F.col("completed") <= F.col("submitted") + F.expr(f"interval {longest_stage}"))
-    )
-    return s.join(c, same).select("app_id", "stage_id", "attempt_id", "submit_ms", "complete_ms")
+def stream_stage_pairs(tracked: DataFrame) -> DataFrame:
+    """Submit and completion of each stage attempt, held per application for as long as it runs."""
+    out = "app_id string, stage_id int, attempt_id int, submit_ms bigint, complete_ms bigint"
+    rows = tracked.filter(F.col("kind").isin(SUBMIT, COMPLETE, APP_END))
+    return rows.select("app_id", "seq", "kind", "stage_id", "attempt_id", "submit_ms", "complete_ms").groupBy(
+        "app_id"
+    ).transformWithStateInPandas(StagePairer(), outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
 
 
 def message_rows(tracked: DataFrame) -> DataFrame:
@@ -158,32 +150,30 @@ def stream_message_lines(tracked: DataFrame) -> DataFrame:
 
 
 def stream_response_timeout(
-    sent: DataFrame, responses: DataFrame, timeout_ms: int = RESPONSE_TIMEOUT_MS, late: str = "1 hour"
+    sent: DataFrame, responses: DataFrame, timeout_ms: int = RESPONSE_TIMEOUT_MS, late_ms: int = LATE_ANSWERS_MS
 ) -> DataFrame:
-    """Messages with their answer if it came in time, else with the fallback."""
-    m = sent.withColumn("sent_at", _event_time("t_ms")).withColumn(
-        "_job", F.coalesce("job_id", F.lit(-1))
-    ).withWatermark("sent_at", late)
-    r = responses.select(
-        F.col("app_id").alias("r_app"), F.col("event_type").alias("r_type"),
-        F.coalesce("job_id", F.lit(-1)).alias("r_job"), "recommended_scale_out",
-        _event_time("answered_ms").alias("answered_at"),
-    ).withWatermark("answered_at", late)
-    same = (
-        (F.col("app_id") == F.col("r_app")) & (F.col("event_type") == F.col("r_type"))
-        & (F.col("_job") == F.col("r_job"))
-        & (F.col("answered_at") >= F.col("sent_at"))
-        & (F.col("answered_at") <= F.col("sent_at") + F.expr(f"interval {timeout_ms} milliseconds"))
+    """Messages with their first answer if it was given in time, else with the fallback, in order per application.
+
+    A message is given up once its application's own latest time lies ``late_ms`` behind the timeout.
+    """
+    messages_in = sent.select(
+        "app_id", *AnswerMatcher.MESSAGE, F.lit(None).cast("bigint").alias("answered_ms"),
+        F.lit(None).cast("int").alias("recommended_scale_out"),
     )
-    joined = m.join(r, same, "leftOuter").select(*sent.columns, "recommended_scale_out")
-    return decisions.effective_recommendation(joined)
+    rows = messages_in.unionByName(responses.select(
+        "app_id", "event_type", "job_id", "answered_ms", "recommended_scale_out"
+    ), allowMissingColumns=True)
+    matched = rows.groupBy("app_id").transformWithStateInPandas(
+        AnswerMatcher(timeout_ms, late_ms), outputStructType=f"{MESSAGE}, recommended_scale_out int",
+        outputMode="Append", timeMode="None",
+    )
+    return decisions.effective_recommendation(matched)
 
 
 def stream_scale_decisions(effective: DataFrame, min_gap_ms: int = MIN_REQUEST_GAP_MS) -> DataFrame:
     """Decision on each candidate, from the time of the one before it kept in state."""
-    wanted = decisions.scale_change_candidates(effective)
-    starts = effective.filter(F.col("event_type") == "APPLICATION_START")
-    rows = wanted.unionByName(starts).select(
+    border = F.col("event_type").isin("APPLICATION_START", "APPLICATION_END")
+    rows = effective.filter(border | decisions.is_candidate()).select(
         "app_id", "event_type", "job_id", "t_ms", "seq", F.col("effective_scale_out").cast("int")
     )
     out = "app_id string, event_type string, job_id int, t_ms bigint, seq bigint, effective_scale_out int, " \
@@ -199,6 +189,16 @@ def to_files(rows: DataFrame, out: str, checkpoint: str):
     ).outputMode("append")
 
 
-def run_available(writer) -> None:
-    """Process everything that is there, in as many batches as the limits ask for, and stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def run_available(spark: SparkSession, writer) -> None:
+    """Process everything that is there, in as many batches as the limits ask for, and stop.
+
+    A query with timers asks for one more batch without data for ever, so there are none; timers go off in the
+    batches of the next run.
+    """
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
