@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telescale.operators.ordered import BLOCK, blocked, scan
@@ -15,13 +15,15 @@ from telescale.operators.scaleout import SEQ
 from telescale.settings import MIN_REQUEST_GAP_MS
 
 
-def response_match(messages: DataFrame, responses: DataFrame) -> DataFrame:
+def response_match(messages: DataFrame, responses: DataFrame, order: str | None = None) -> DataFrame:
     """Messages with the answer given to them, null where none came.
 
-    A message is named by application, event type and job (null for application messages).
+    A message is named by application, event type and job (null for application messages). Of repeated answers the
+    first by ``order`` counts; without an order of answers, the smallest.
     """
-    answers = responses.select(
-        "app_id", "event_type", F.coalesce("job_id", F.lit(-1)).alias("_job"), "recommended_scale_out"
+    first = F.min("recommended_scale_out") if order is None else F.min_by("recommended_scale_out", order)
+    answers = responses.groupBy("app_id", "event_type", F.coalesce("job_id", F.lit(-1)).alias("_job")).agg(
+        first.alias("recommended_scale_out")
     )
     return (
         messages.withColumn("_job", F.coalesce("job_id", F.lit(-1)))
@@ -44,12 +46,14 @@ def effective_recommendation(matched: DataFrame) -> DataFrame:
     )
 
 
+def is_candidate() -> Column:
+    changed = F.col("effective_scale_out") != F.col("last_known")
+    return F.col("event_type").isin("JOB_START", "JOB_END") & changed
+
+
 def scale_change_candidates(effective: DataFrame) -> DataFrame:
     """Job messages whose recommendation differs from the last known scale-out."""
-    return effective.filter(
-        F.col("event_type").isin("JOB_START", "JOB_END")
-        & (F.col("effective_scale_out") != F.col("last_known"))
-    )
+    return effective.filter(is_candidate())
 
 
 def scale_decisions(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telescale.operators import specs
@@ -75,8 +75,8 @@ def job_end_records(
 ) -> DataFrame:
     """Job ends with their stages as a map, from ``job_end_rows``: the form for messages.
 
-    A job with more stages than fit one message gives several rows, numbered by ``part``; together
-    they hold all its stages. All others have a null ``part``.
+    A job gives one row for each ``stages_per_message`` of its stages. Every row has its ``part``, from 0 on, and
+    ``n_parts``; the parts together hold all stages of the job.
     """
     keys = ["app_id", "job_id"]
     numbered = rows.withColumn("_stage", F.col("stage_id").cast("long"))
@@ -86,11 +86,10 @@ def job_end_records(
     part = F.floor((F.col("_rn") - 1) / F.lit(stages_per_message))
     entry = F.struct(F.col("stage_id"), stage_struct())
     return (
-        numbered.withColumn("_part", part)
-        .groupBy(*keys, "_part", "app_time", "num_executors", "rescaling_time_ratio")
+        numbered.withColumn("part", part.cast("int"))
+        .groupBy(*keys, "part", "app_time", "num_executors", "rescaling_time_ratio")
         .agg(F.map_from_entries(F.collect_list(entry)).alias("stages"))
-        .withColumn("part", F.when(F.col("_part") > 0, F.col("_part").cast("int")))
-        .drop("_part")
+        .withColumn("n_parts", F.count("*").over(Window.partitionBy(*keys)).cast("int"))
     )
 
 

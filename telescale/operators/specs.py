@@ -12,14 +12,16 @@ LISTENER = "spark.customExtraListener."
 ENVIRONMENT = LISTENER + "env."
 
 
-def missing_required_config(config: DataFrame) -> DataFrame:
-    """Every required key an application does not set. One shuffle, at most 15 keys kept per application."""
+def missing_required_config(apps: DataFrame, config: DataFrame) -> DataFrame:
+    """Every required key an application does not set, also of applications (app_id) without any setting.
+
+    One row per application is kept of the settings, with at most 15 keys.
+    """
     present = F.collect_set(F.when(F.col("key").isin(REQUIRED_KEYS), F.col("key")))
     required = F.array(*[F.lit(k) for k in REQUIRED_KEYS])
-    return (
-        config.groupBy("app_id").agg(present.alias("_present"))
-        .select("app_id", F.explode(F.array_except(required, "_present")).alias("key"))
-    )
+    known = apps.select("app_id").distinct().join(config.groupBy("app_id").agg(present.alias("_present")), "app_id", "left")
+    missing = F.array_except(required, F.coalesce("_present", F.array().cast("array<string>")))
+    return known.select("app_id", F.explode(missing).alias("key"))
 
 
 def app_config_lookup(config: DataFrame) -> DataFrame:

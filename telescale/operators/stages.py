@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telescale.functions.expr import failure_reason, safe_ratio, stage_key
@@ -61,10 +61,16 @@ def orphan_stages(mapped: DataFrame) -> DataFrame:
 
 def incomplete_stage_events(stage_events: DataFrame) -> DataFrame:
     """Submits without a submission time and completions without a completion time."""
-    missing = F.when(F.col("kind") == SUBMIT, F.col("submit_ms").isNull()).otherwise(
-        F.col("complete_ms").isNull()
-    )
-    return stage_events.filter(missing)
+    return stage_events.filter(_no_time())
+
+
+def timed_stage_events(stage_events: DataFrame) -> DataFrame:
+    """All others; only these take part in counts and pairs."""
+    return stage_events.filter(~_no_time())
+
+
+def _no_time() -> Column:
+    return F.when(F.col("kind") == SUBMIT, F.col("submit_ms").isNull()).otherwise(F.col("complete_ms").isNull())
 
 
 def stage_order_in_job(
@@ -169,9 +175,10 @@ def rdd_array_totals(rdd_infos: Column) -> list[Column]:
 
 
 def latest_attempt_per_stage(pairs: DataFrame) -> DataFrame:
-    """One row per stage of a job: the one with the highest position."""
-    last = Window.partitionBy("app_id", "job_id", "stage_id").orderBy(F.col("position").desc())
-    return pairs.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1").drop("_rn")
+    """One row per stage of a job: the one with the highest position. Combined before the shuffle."""
+    keys = ["app_id", "job_id", "stage_id"]
+    last = F.max_by(F.struct(*pairs.columns), "position").alias("_last")
+    return pairs.groupBy(*keys).agg(last).select("_last.*")
 
 
 def complete_jobs(stage_events: DataFrame, ended_jobs: DataFrame) -> DataFrame:

@@ -61,7 +61,9 @@ def app_end_records(spark, sf):
 
 @query
 def missing_required_config(spark, sf):
-    return specs.missing_required_config(b.config(spark, sf))
+    apps = b.table(spark, sf, "part").select(F.col("p_partkey").alias("app_id"))
+    silent = apps.select((-F.col("app_id")).alias("app_id"))  # as many applications without any setting
+    return specs.missing_required_config(apps.union(silent), b.config(spark, sf))
 
 
 @query
@@ -533,7 +535,7 @@ def stream_events(spark, sf):
 
 @query
 def stream_app_state(spark, sf):
-    rows = live.chain(spark, sf).read("tracked").filter(~F.col("kind").isin("environment", "app_end"))
+    rows = live.chain(spark, sf).read("tracked").filter("kind <> 'environment'")
     return rows.select("app_id", "kind", "t_ms", "job_id", "num_executors", "last_known")
 
 
@@ -554,9 +556,7 @@ def stream_job_end(spark, sf):
 
 @query
 def stream_response_timeout(spark, sf):
-    return live.chain(spark, sf).read("effective").filter("event_type <> 'HEARTBEAT'").drop(
-        "seq", "recommended_scale_out"
-    )
+    return live.chain(spark, sf).read("effective").drop("seq", "recommended_scale_out")
 
 
 @query

@@ -35,7 +35,9 @@ def fleet_tables(parsed: DataFrame, initial: DataFrame, hot: bool = True) -> dic
     splits = log.log_splits(parsed)
     apps = log.scan_app_events(parsed, splits)
     jobs = log.scan_job_events(parsed, splits)
-    stage_events = log.scan_stage_events(parsed, splits)
+    logged = log.scan_stage_events(parsed, splits)
+    incomplete = stages.incomplete_stage_events(logged)
+    stage_events = stages.timed_stage_events(logged)
     executors = log.scan_executor_events(parsed, splits)
     settings = specs.app_config_lookup(log.scan_app_config(parsed, splits))
 
@@ -96,9 +98,9 @@ def fleet_tables(parsed: DataFrame, initial: DataFrame, hot: bool = True) -> dic
         "scale_out": scaleout.alive_executor_count(counted, hot=hot),
         "last_known": scaleout.last_known_timeline(tracked),
         "orphan_stages": stages.orphan_stages(mapped),
-        "incomplete_stage_events": stages.incomplete_stage_events(stage_events),
+        "incomplete_stage_events": incomplete,
         "stage_count_mismatch": stages.stage_count_mismatch(described),
         "jobs_without_stages": stages.jobs_without_stages(ended, described),
         "stage_task_totals": log.task_totals(parsed, splits),
-        "missing_required_config": specs.missing_required_config(log.scan_app_config(parsed, splits)),
+        "missing_required_config": specs.missing_required_config(starts, log.scan_app_config(parsed, splits)),
     }

@@ -185,7 +185,7 @@ _CTES = {
               where event_type in ('JOB_START', 'JOB_END')) x
         union all
         select cast(app_id as varchar), event_type, null, t_ms, num_executors, last_known, 5, 'answered'
-        from fx_messages where event_type = 'APPLICATION_START'""",
+        from fx_messages where event_type in ('APPLICATION_START', 'APPLICATION_END')""",
     "fx_numbered": """
         select app_id, job_id, k % 10 as stage_id, submit_seq as seq,
                cast(row_number() over (partition by app_id, job_id order by k % 10, submit_seq) as int) as position
@@ -350,7 +350,7 @@ _BODIES = {
     "app_end_records": """
         select app_id, t_ms as app_time, num_executors from fx_messages where event_type = 'APPLICATION_END'""",
     "missing_required_config": f"""
-        select a.app_id, r.key from fx_apps a
+        select a.app_id, r.key from (select app_id from fx_apps union all select -app_id from fx_apps) a
         cross join (select unnest([{', '.join(repr(k) for k in REQUIRED_KEYS)}]) as key) r
         where not exists (select 1 from fx_set c where c.app_id = a.app_id and c.key = r.key)""",
     "non_driver_executors": """
@@ -519,7 +519,7 @@ _BODIES = {
           select app_id, kind, t_ms, job_id, last_known,
                  case when kind = 'job_start' and job_id = 0 then 5 when kind = 'app_end' then last_known
                       else alive end as num_executors
-          from fx_tracked where kind in ('app_start', 'job_start', 'job_end')) x
+          from fx_tracked where kind in ('app_start', 'app_end', 'job_start', 'job_end')) x
         union all
         select cast(t.app_id as varchar), t.kind, t.t_ms, null, t.alive, t.last_known
         from fx_tracked t where t.kind in ('executor', 'stage_submit', 'stage_complete')""",

@@ -30,10 +30,10 @@ def test_answers_and_fallbacks(spark):
     ]
     sent = spark.createDataFrame(rows, MESSAGE)
     answers = spark.createDataFrame(
-        [("a", "APPLICATION_START", None, 4), ("a", "JOB_END", 0, 6)],
-        "app_id string, event_type string, job_id int, recommended_scale_out int",
+        [("a", "APPLICATION_START", None, 4, 1), ("a", "JOB_END", 0, 2, 9), ("a", "JOB_END", 0, 6, 3)],
+        "app_id string, event_type string, job_id int, recommended_scale_out int, answered_ms long",
     )
-    got = decisions.effective_recommendation(decisions.response_match(sent, answers))
+    got = decisions.effective_recommendation(decisions.response_match(sent, answers, "answered_ms"))
     assert {(r.app_id, r.event_type): (r.effective_scale_out, r.status) for r in got.collect()} == {
         ("a", "APPLICATION_START"): (4, "answered"), ("a", "JOB_START"): (4, "timeout"),
         ("a", "JOB_END"): (6, "answered"), ("a", "APPLICATION_END"): (3, "timeout"),
@@ -76,7 +76,9 @@ def test_app_start_record(spark):
 
 def test_missing_and_unreadable_settings(spark):
     rows = config(spark, CONFIG).unionByName(config(spark, {"other": "x"}, "app-2"))
-    missing = specs.missing_required_config(rows).collect()
+    apps = spark.createDataFrame([("app-1",), ("app-2",), ("app-3",)], "app_id string")
+    missing = specs.missing_required_config(apps, rows).collect()
+    assert {r.key for r in missing if r.app_id == "app-3"} == set(REQUIRED_KEYS)
     assert {r.key for r in missing if r.app_id == "app-1"} == set(REQUIRED_KEYS) - set(CONFIG)
     assert {r.key for r in missing if r.app_id == "app-2"} == set(REQUIRED_KEYS)
     bad = {"spark.driver.cores": "four", "spark.customExtraListener.isAdaptive": "yes", "spark.executor.cores": "2"}

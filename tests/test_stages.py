@@ -66,10 +66,10 @@ def test_pairs_by_position_and_the_last_attempt_wins(spark, hot):
     )
     rows = job_end_rows(jobs, features)
     one = job_end_records(rows, hot=hot).collect()
-    assert len(one) == 1 and set(one[0].stages) == {"1", "2"} and one[0].part is None
+    assert len(one) == 1 and set(one[0].stages) == {"1", "2"} and (one[0].part, one[0].n_parts) == (0, 1)
     assert one[0].stages["1"].metrics.gc_time_ratio == 0.5
     parts = job_end_records(rows, stages_per_message=1, hot=hot).collect()
-    assert sorted((sorted(p.stages), p.part) for p in parts if p.part) == [(["2"], 1)] and len(parts) == 2
+    assert sorted((sorted(p.stages), p.part, p.n_parts) for p in parts) == [(["1"], 0, 2), (["2"], 1, 2)]
 
 
 def tasks(spark):
