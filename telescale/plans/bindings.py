@@ -356,6 +356,18 @@ def answer_lines(ev: DataFrame) -> DataFrame:
     return ev.filter(F.col("et") == "click").select(line.alias("value"))
 
 
+def message_answer_lines(answers: DataFrame) -> DataFrame:
+    """One line for each answer, and a later, different one as a second answer to the same message."""
+    first = answers.select(
+        F.col("app_id").cast("string").alias("app_event_id"), "event_type", "job_id",
+        F.lit(0).cast("long").alias("answered_ms"), "recommended_scale_out",
+    )
+    again = first.withColumns({
+        "answered_ms": F.col("answered_ms") + 1, "recommended_scale_out": F.col("recommended_scale_out") + 1,
+    })
+    return first.union(again).select(F.to_json(F.struct(*first.columns)).alias("value"))
+
+
 # Event log lines derived from the events table.
 
 # Places of the lines that share a millisecond.

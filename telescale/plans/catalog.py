@@ -28,15 +28,18 @@ def _events(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
 # --- projections, filters -------------------------------------------------------------------------
 
 
-@query
-def app_start_records(spark, sf):
+def _app_starts(spark, sf):
     size = b.table(spark, sf, "part").select(
         F.col("p_partkey").alias("app_id"), (F.col("p_partkey") * 1000).alias("app_time"),
         (F.col("p_partkey") % 25).alias("host"),
     )
     machines = specs.machine_types(b.hosts(spark, sf), b.host_disks(spark, sf))
-    records = messages.app_start_records(size, specs.app_config_lookup(b.config(spark, sf)), machines)
-    return records.select(
+    return messages.app_start_records(size, specs.app_config_lookup(b.config(spark, sf)), machines)
+
+
+@query
+def app_start_records(spark, sf):
+    return _app_starts(spark, sf).select(
         "application_id", "app_name", "app_time", "is_adaptive", "is_training",
         "app_specs.algorithm_name", F.array_join("app_specs.algorithm_args", "|").alias("algorithm_args"),
         "app_specs.datasize_mb", "app_specs.target_runtime", "app_specs.min_executors",
@@ -332,6 +335,21 @@ def scale_decisions(spark, sf):
     )
 
 
+@query
+def answers_to_decisions(spark, sf):
+    """The same decisions from answers that were written as text and read again."""
+    ev, hot = _events(spark, sf)
+    sent = b.all_messages(ev, hot)
+    path = shared_dir(spark, "answers")
+    b.message_answer_lines(b.responses(ev, sent, hot)).write.text(path)
+    apps = b.app_bounds(ev).select(F.col("app_id").cast("string").alias("app_event_id"), "app_id")
+    answers = recommendations.scan_answers(recommendations.read_lines(spark, path), apps)
+    matched = decisions.response_match(sent, answers, "answered_ms")
+    candidates = decisions.scale_change_candidates(decisions.effective_recommendation(matched))
+    decided = decisions.scale_decisions(candidates, b.app_bounds(ev), b.ORDER, hot=hot)
+    return decided.select("app_id", "event_type", "job_id", "t_ms", "effective_scale_out", "waited_ms", "decision")
+
+
 @query
 def initial_scale_requests(spark, sf):
     _, _, effective = _effective(spark, sf)
@@ -507,12 +525,15 @@ def sink_messages(spark, sf):
         messages.message_lines(messages.job_start_records(tracked), "JOB_START", app)
         .unionByName(messages.message_lines(messages.app_end_records(tracked), "APPLICATION_END", app))
         .unionByName(messages.message_lines(messages.job_end_records(rows, hot=hot), "JOB_END", app))
+        .unionByName(messages.message_lines(_app_starts(spark, sf), "APPLICATION_START"))
     )
     path = shared_dir(spark, "messages")
     message_sink.write_messages(lines, path)
     payload = (
         "app_event_id string, app_time long, job_id int, num_executors int, rescaling_time_ratio double, "
-        "stages map<string, struct<stage_id string>>"
+        "stages map<string, struct<stage_id string, num_tasks bigint, metrics struct<gc_time_ratio double>>>, "
+        "application_id string, app_name string, driver_specs struct<cores int, memory string>, "
+        "environment_specs struct<machine_type string>"
     )
     schema = f"event_type string, payload struct<{payload}>"
     read = message_sink.read_messages(spark, path).select("event_type", F.from_json("value", schema).alias("m"))
@@ -520,6 +541,11 @@ def sink_messages(spark, sf):
         "event_type", F.col("m.event_type").alias("tag"), "m.payload.app_event_id", "m.payload.app_time",
         "m.payload.job_id", "m.payload.num_executors", "m.payload.rescaling_time_ratio",
         F.when(F.col("m.payload.stages").isNotNull(), F.size("m.payload.stages")).alias("n_stages"),
+        F.expr(
+            "aggregate(map_values(m.payload.stages), 0L, (n, s) -> n + if(s.metrics.gc_time_ratio >= 0, s.num_tasks, 0))"
+        ).alias("n_tasks"),
+        "m.payload.application_id", "m.payload.app_name", F.col("m.payload.driver_specs.memory").alias("driver_memory"),
+        F.col("m.payload.environment_specs.machine_type").alias("machine_type"),
     )
 
 
@@ -566,7 +592,7 @@ def stream_scale_decisions(spark, sf):
 
 @query
 def stream_messages(spark, sf):
-    read = live.chain(spark, sf).messages().filter(F.col("event_type") == "JOB_START")
+    read = live.chain(spark, sf).messages()
     payload = "app_event_id string, app_time long, job_id int, num_executors int"
     m = F.from_json("value", f"event_type string, payload struct<{payload}>")
     return read.select("event_type", m.alias("m")).select(

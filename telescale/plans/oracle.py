@@ -546,19 +546,23 @@ _BODIES = {
     "stream_messages": """
         select event_type, event_type as tag, cast(app_id as varchar) as app_event_id, t_ms as app_time, job_id,
                num_executors
-        from fx_messages where event_type = 'JOB_START'""",
+        from fx_messages where event_type in ('JOB_START', 'APPLICATION_END')""",
     "scan_recommendations": """
         select cast(app_id as varchar) as app_event_id, k % 10 + 1 as recommended_scale_out
         from fx_events where et = 'click' and k % 10 not in (3, 4, 5)""",
     "sink_messages": """
         select event_type, event_type as tag, cast(app_id as varchar) as app_event_id, t_ms as app_time, job_id,
-               num_executors, null::double as rescaling_time_ratio, null::int as n_stages
+               num_executors, null::double as rescaling_time_ratio, null::int as n_stages, null::bigint as n_tasks,
+               null as application_id, null as app_name, null as driver_memory, null as machine_type
         from fx_messages where event_type in ('JOB_START', 'APPLICATION_END')
         union all
         select 'JOB_END', 'JOB_END', cast(j.app_id as varchar), j.app_time, j.job_id, j.num_executors,
-               j.rescaling_time_ratio, cast(count(*) as int)
+               j.rescaling_time_ratio, cast(count(*) as int), cast(sum(f.num_tasks) as bigint), null, null, null, null
         from fx_job_ends j join fx_features f on f.app_id = j.app_id and f.job_id = j.job_id
-        group by all""",
+        group by all
+        union all
+        select 'APPLICATION_START', 'APPLICATION_START', null, app_time, null, null, null, null, null,
+               application_id, app_name, driver_memory, machine_type from fx_app_starts""",
 }
 
 
@@ -596,4 +600,6 @@ def _ordered(needed: set[str], ctes: dict[str, str]):
     return [(n, ctes[n]) for n in done]
 
 
+_BODIES["answers_to_decisions"] = _BODIES["scale_decisions"]
+_CTES["fx_app_starts"] = _BODIES["app_start_records"]
 ORACLE = {name: _with(body, _CTES) for name, body in _BODIES.items()}

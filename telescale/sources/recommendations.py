@@ -1,4 +1,8 @@
-"""Answers of a recommender as JSON lines: ``{"app_event_id": ..., "recommended_scale_out": ...}``."""
+"""Answers of a recommender as JSON lines: ``{"app_event_id": ..., "recommended_scale_out": ...}``.
+
+Where the answers to all messages of an application are logged together, a line also names its message by
+``event_type`` and ``job_id`` and may say when it was given (``answered_ms``).
+"""
 
 from __future__ import annotations
 
@@ -31,3 +35,17 @@ def invalid_responses(lines: DataFrame) -> DataFrame:
     return _parsed(lines).filter(~F.coalesce(_complete(), F.lit(False))).select(
         "value", F.when(no_json, "not json").otherwise("missing field").alias("reason")
     )
+
+
+def scan_answers(lines: DataFrame, apps: DataFrame) -> DataFrame:
+    """Answers with the message that each belongs to: the input of ``response_match``.
+
+    ``apps`` maps app_event_id, the name an application got with its first answer, to app_id. Lines that name no
+    message, and those of unknown applications, are left out.
+    """
+    fields = f"{SCHEMA}, event_type string, job_id int, answered_ms bigint"
+    read = lines.select(F.from_json("value", fields, {"mode": "PERMISSIVE"}).alias("_a")).select("_a.*")
+    named = read.filter("app_event_id is not null and event_type is not null and recommended_scale_out is not null")
+    return named.join(apps.select("app_event_id", "app_id"), "app_event_id").select(
+        "app_id", "event_type", "job_id", "answered_ms", "recommended_scale_out"
+    )
