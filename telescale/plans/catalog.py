@@ -9,6 +9,7 @@ from telescale.functions import expr
 from telescale.operators import decisions, messages, rescaling, scaleout, specs, stages
 from telescale.plans import bindings as b
 from telescale.plans import live
+from telescale.plans.fleet import fleet_tables, has_hot_logs
 from telescale.session import shared_dir
 from telescale.sources import event_log, message_sink, recommendations
 
@@ -462,14 +463,15 @@ _LOGS: dict[tuple[str, str], str] = {}
 
 
 def _parsed(spark, sf):
-    """Lines of the log written from the events table, once per session."""
+    """Parsed lines of the log written from the events table; log and table are written once per session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _LOGS:
         ev, hot = _events(spark, sf)
-        path = shared_dir(spark, "logs")
+        path, parsed = shared_dir(spark, "logs"), shared_dir(spark, "parsed")
         b.write_log(ev, path, hot)
-        _LOGS[key] = path
-    return event_log.parse_lines(event_log.read_lines(spark, _LOGS[key]))
+        event_log.write_parsed(event_log.parse_lines(event_log.read_lines(spark, path)), parsed)
+        _LOGS[key] = parsed
+    return event_log.read_parsed(spark, _LOGS[key])
 
 
 @query
@@ -509,6 +511,34 @@ def scan_app_config(spark, sf):
     return event_log.scan_app_config(_parsed(spark, sf))
 
 
+@query
+def scan_versions(spark, sf):
+    return event_log.scan_versions(_parsed(spark, sf))
+
+
+def _fleet(spark, sf):
+    parsed = _parsed(spark, sf)
+    apps = event_log.scan_app_events(parsed).select("app_id").distinct()
+    return fleet_tables(parsed, apps.withColumn("initial", F.lit(b.INITIAL)), has_hot_logs(parsed), b.INITIAL)
+
+
+@query
+def fleet_job_end_rows(spark, sf):
+    """Job ends with their stages, all the way from the log."""
+    return _fleet(spark, sf)["job_end_rows"].select(
+        "app_id", "job_id", "app_time", "num_executors", "rescaling_time_ratio",
+        F.col("stage_id").cast("int").alias("stage_id"), "stage_name", "num_tasks",
+        F.array_join("parent_stage_ids", ",").alias("parent_stage_ids"), "attempt_id", "failure_reason",
+        F.col("start_time").alias("submit_ms"), F.col("end_time").alias("complete_ms"), "start_scale_out",
+        "end_scale_out", "stage_rescaling_time_ratio", "rdd_num_partitions", "rdd_disk_size",
+    )
+
+
+@query
+def fleet_job_start(spark, sf):
+    return _fleet(spark, sf)["job_start"]
+
+
 @query
 def scan_recommendations(spark, sf):
     path = shared_dir(spark, "answers")

@@ -27,10 +27,13 @@ def has_hot_logs(parsed: DataFrame) -> bool:
     return has_hot_keys(parsed.filter(F.col("event") != log.TASK_END), ["log_id"], fanout=2)
 
 
-def fleet_tables(parsed: DataFrame, initial: DataFrame, hot: bool = True) -> dict[str, DataFrame]:
+def fleet_tables(
+    parsed: DataFrame, initial: DataFrame, hot: bool = True, base: int = 0
+) -> dict[str, DataFrame]:
     """Tables by name, from parsed log lines and the first answers (app_id, initial).
 
-    An application without a first answer keeps null for its initial scale-out.
+    An application without a first answer keeps null for its initial scale-out. ``base`` executors were there
+    before the log.
     """
     splits = log.log_splits(parsed)
     apps = log.scan_app_events(parsed, splits)
@@ -58,7 +61,7 @@ def fleet_tables(parsed: DataFrame, initial: DataFrame, hot: bool = True) -> dic
             "t_ms", F.when(F.col("kind") == scaleout.SUBMIT, F.col("submit_ms")).otherwise(F.col("complete_ms"))
         )))
     )
-    tracked = scaleout.track_scale_out(timeline, hot=hot)
+    tracked = scaleout.track_scale_out(timeline, base=base, hot=hot)
 
     windows = rescaling.stage_windows(
         stage_events.filter(F.col("kind") == scaleout.COMPLETE).select("app_id", "seq", "submit_ms", "complete_ms")
@@ -73,11 +76,16 @@ def fleet_tables(parsed: DataFrame, initial: DataFrame, hot: bool = True) -> dic
         mapped.filter("job_id is not null").join(known, ["app_id", "seq"])
         .join(ratios.select("app_id", "seq", "rescaling_time_ratio"), ["app_id", "seq"], "left")
     )
-    ended = jobs.filter(F.col("kind") == scaleout.JOB_END).select("app_id", "job_id", F.col("t_ms").alias("end_ms"))
-    whole = stages.complete_jobs(described, ended)
+    ended = jobs.filter(F.col("kind") == scaleout.JOB_END).select(
+        "app_id", "job_id", F.col("t_ms").alias("end_ms"), F.col("seq").alias("end_seq")
+    )
+    # A job is reported with what its stages had logged by its end.
+    in_time = described.join(ended.select("app_id", "job_id", "end_seq"), ["app_id", "job_id"]).filter("seq < end_seq")
+    in_time = in_time.drop("end_seq")
+    whole = stages.complete_jobs(in_time, ended)
     metrics = stages.stage_metric_ratios(log.scan_stage_accumulables(parsed, splits))
     features = stages.stage_features(
-        described.join(whole.select("app_id", "job_id"), ["app_id", "job_id"], "left_semi"), metrics, hot=hot
+        in_time.join(whole.select("app_id", "job_id"), ["app_id", "job_id"], "left_semi"), metrics, hot=hot
     )
     job_windows = rescaling.job_windows(
         ended, starts.select("app_id", F.col("t_ms").alias("app_start_ms"))
@@ -99,7 +107,7 @@ def fleet_tables(parsed: DataFrame, initial: DataFrame, hot: bool = True) -> dic
         "last_known": scaleout.last_known_timeline(tracked),
         "orphan_stages": stages.orphan_stages(mapped),
         "incomplete_stage_events": incomplete,
-        "stage_count_mismatch": stages.stage_count_mismatch(described),
+        "stage_count_mismatch": stages.stage_count_mismatch(in_time),
         "jobs_without_stages": stages.jobs_without_stages(ended, described),
         "stage_task_totals": log.task_totals(parsed, splits),
         "missing_required_config": specs.missing_required_config(starts, log.scan_app_config(parsed, splits)),

@@ -600,6 +600,11 @@ def _ordered(needed: set[str], ctes: dict[str, str]):
     return [(n, ctes[n]) for n in done]
 
 
+_BODIES["scan_versions"] = """
+    select cast(app_id as varchar) as app_id, '4.1.2' as spark_version, null::varchar as java_version,
+           null::varchar as scala_version from fx_app"""
+_BODIES["fleet_job_end_rows"] = _BODIES["stream_job_end"]
+_BODIES["fleet_job_start"] = f"select * replace (cast(app_id as varchar) as app_id) from ({_BODIES['job_start_records']})"
 _BODIES["answers_to_decisions"] = _BODIES["scale_decisions"]
 _CTES["fx_app_starts"] = _BODIES["app_start_records"]
 ORACLE = {name: _with(body, _CTES) for name, body in _BODIES.items()}
