@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from telescale.operators.ordered import ROWS_KEY
+from telescale.plans.catalog import QUERIES
+from telescale.plans.oracle import ORACLE
 from tests.conftest import SF
 from tests.contract import differences, duck
 
@@ -16,10 +18,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert differences(spark, con, name, SF) is None
 
@@ -44,7 +47,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
 def test_batch_plans_have_no_cartesian_product_and_no_python(spark, name):
     text = plan(queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas"):
