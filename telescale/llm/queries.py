@@ -18,6 +18,10 @@ def query(fn):
     return fn
 
 
+#: Words of a text between white space, as SQL.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -76,6 +80,23 @@ def op3_substring(spark, sf):
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op3_substring"] = f"""
+with d as (select doc_id, {WORDS} as w from documents),
+t as (select doc_id, unnest(range(1, len(w) - 11)) as k, w from d),
+windows as (select doc_id, k, array_to_string(w[k:k + 12], ' ') as said from t),
+firsts as (select said, min(doc_id) as first_id from windows group by said),
+gone as (
+  select distinct doc_id, unnest(range(k, k + 13)) as place
+  from windows join firsts using (said) where first_id < doc_id),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from d),
+kept as (
+  select doc_id, string_agg(word, ' ' order by place) as said, count(*) as n
+  from words anti join gone using (doc_id, place) group by doc_id)
+select d.doc_id, len(d.w) as n_words, len(d.w) - coalesce(k.n, 0) as n_removed, sha256(coalesce(k.said, '')) as kept_sha256
+from d left join kept k using (doc_id)
+"""
+
+
 @query
 def op4_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
@@ -93,6 +114,28 @@ def op6_decontaminate(spark, sf):
     return decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCHMARK_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE["op6_decontaminate"] = f"""
+with d as (select doc_id, {_BENCHMARK_WORDS} as w from documents),
+i as (select cast(item_id as varchar) as item, {_BENCHMARK_WORDS} as w from benchmark),
+sized as (select item, w, least(13, len(w)) as n from i where len(w) > 0),
+placed as (select item, w, n, unnest(range(1, len(w) - n + 2)) as k from sized),
+windows as (select distinct item, n, array_to_string(w[k:k + n - 1], ' ') as said from placed),
+asked as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from d, (select distinct n from windows)),
+hits as (
+  select doc_id, k, n, item from (select doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') as said from asked)
+  join windows using (n, said)),
+hit_words as (select doc_id, count(distinct place) as n from (
+  select doc_id, unnest(range(k, k + n)) as place from hits) group by doc_id),
+items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as said
+          from (select distinct doc_id, item from hits) group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(h.n, 0) as n_hit, coalesce(i.n, 0) as n_items,
+       sha256(coalesce(i.said, '')) as items_sha256, coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(d.w) as contaminated
+from d left join hit_words h using (doc_id) left join items i using (doc_id)
+"""
+
+
 @query
 def op7_pieces(spark, sf):
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
@@ -111,6 +154,30 @@ def op9_quality(spark, sf):
     return quality.quality(table(spark, sf, "documents"))
 
 
+ORACLE["op9_quality"] = rf"""
+with d as (
+  select doc_id, {WORDS} as w, coalesce(text, '') as text,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+placed as (select doc_id, w, unnest(range(1, len(w) - 1)) as k from d),
+windows as (select doc_id, k, array_to_string(w[k:k + 2], ' ') as said from placed),
+twice as (select *, count(*) over (partition by doc_id, said) as n from windows),
+repeated as (select doc_id, count(distinct place) as n from (
+  select doc_id, unnest(range(k, k + 3)) as place from twice where n > 1) group by doc_id),
+m as (
+  select d.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+         coalesce(r.n, 0) as n_repeat_words, len(lines) as n_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) as lettered
+  from d left join repeated r using (doc_id)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or word_chars not between 2 * n_words and 15 * n_words or 4 * n_symbols > n_words
+            or 10 * n_dup_lines > 3 * n_lines or 5 * lettered < 3 * n_words) as kept
+from b
+"""
+
+
 @query
 def op10_chat(spark, sf):
     return chat.format_conversations(table(spark, sf, "conversations"))
