@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescale.llm.texts import free_prefix, held_out, map_texts
+from telescale.llm.texts import free_prefix, held_out, lowest, map_texts
 
 DIMENSIONS = 4096
 #: Bound on the texts that centroids are clustered from.
@@ -124,16 +124,13 @@ def cluster(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> LanguageModel:
     """Learn from the rows of ``docs`` with text and lang.
 
-    Frequencies cover all of them. Clustering takes at most ``sample`` texts, those lowest by a hash of the id.
+    Frequencies cover all of them. Clustering takes at most ``sample`` texts, those lowest by a hash.
     """
     learned = docs.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
     seen, total = document_frequencies(learned)
     idf = np.log((1 + total) / (1 + seen)).astype(np.float32) + np.float32(0.05)
-    rows = (
-        learned.select("lang", "text", F.xxhash64("doc_id").alias("at"))
-        .orderBy("at", F.xxhash64("text"), "lang").limit(sample).mapInArrow(_sample_vectors(idf), "lang string, v binary")
-        .collect()
-    )
+    some = lowest(learned, sample, "doc_id", "text").select("lang", "text")
+    rows = some.mapInArrow(_sample_vectors(idf), "lang string, v binary").limit(sample).collect()
     by_language: dict[str, list[np.ndarray]] = {}
     for row in rows:
         by_language.setdefault(row.lang, []).append(np.frombuffer(row.v, np.float16).astype(np.float32))

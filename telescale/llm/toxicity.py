@@ -243,12 +243,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """
     marked = labels.filter("doc_id is not null and toxic in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    learned = docs.filter("text is not null").select("doc_id", "text").join(marked, "doc_id")
-    order = (F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = None
+    texts = docs.filter("text is not null")
+    present = marked.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = None
     for label, n in SAMPLE_DOCS.items():
-        some = learned.filter(F.col("toxic") == label).orderBy(*order).limit(n)
-        sample = some if sample is None else sample.union(some)
+        some = present.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        chosen = some if chosen is None else chosen.union(some)
+    # The ids are as many as SAMPLE_DOCS allows, so they may be broadcast; the texts stay where they are.
+    sample = texts.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     set_checkpoint_dir(docs.sparkSession)
     sample = sample.repartition(8, "doc_id").checkpoint()
 
