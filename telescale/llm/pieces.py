@@ -32,7 +32,7 @@ LETTER = re.compile(r"[^\W\d_²³¹]")
 BY_SPACES = f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
 BY_LETTERS = rf"{SPACE}*[^\W\d_²³¹]+|{SPACE}*(?:[^\w{SPACE}]|[\d_²³¹])+|{SPACE}+"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-KEPT_SEGMENTS = 500_000  # bound on the segments that a worker keeps, about 100 MB
+KEPT_SEGMENTS = 150_000  # bound on the segments that a worker keeps, about 40 MB
 
 
 class PieceModel:

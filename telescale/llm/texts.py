@@ -19,6 +19,8 @@ Texts = list[bytes | None]
 Scan = Callable[[Texts], Sequence[pa.Array | Sequence]]
 
 WINDOW_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that no word of a window loses bits
+#: Texts that are Python objects at the same time, with what is made from them.
+ROWS_AT_ONCE = 256
 
 
 def fields(ddl: str) -> StructType:
@@ -40,8 +42,8 @@ def map_texts(docs: DataFrame, keep: Sequence[str], found: str | StructType, mak
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = make()
-        for batch in batches:
-            *kept, text = batch.columns
+        for part in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            *kept, text = part.columns
             made = scan(text.cast(pa.binary()).to_pylist())
             arrays = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*kept, *arrays], names)
