@@ -221,15 +221,20 @@ def learn(found: Sequence[bytes], toxic: np.ndarray) -> tuple[np.ndarray, float]
     return table, float(w[-1])
 
 
-def fit_scale(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of the label on the margin of a text, held a little to the middle."""
+def fit_scale(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, float]:
+    """Logistic regression of the label on the margin of a text, held a little to the middle.
+
+    A weight says for how many texts a sampled one stands.
+    """
     if not len(margins):
         return 1.0, 0.0
+    weights = np.ones(len(margins)) if weights is None else weights
     x = np.stack([margins, np.ones(len(margins))], axis=1)
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (labels - p) - 1e-3 * w)
+        curve = x.T @ (x * (weights * p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (weights * (labels - p)) - 1e-3 * w)
         w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
@@ -239,12 +244,14 @@ def fit_scale(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from documents with a label 0 or 1 in ``toxic``, a bounded number of each, lowest by a hash of the id.
 
-    Labels of the same id that differ count as toxic; rows without id, text or label are not learned from.
+    The scale corrects for the bounds by the numbers of both labels over all of these documents, so that a score means
+    the same at every size. Labels of the same id that differ count as toxic; rows without id, text or label are not learned from.
     """
     marked = labels.filter("doc_id is not null and toxic in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.filter("text is not null")
     present = marked.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    total = {r.toxic: r["count"] for r in present.groupBy("toxic").count().collect()}
     chosen = None
     for label, n in SAMPLE_DOCS.items():
         some = present.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
@@ -274,7 +281,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     table, bias = learn([bytes(r.sentence) for r in found], toxic)
     model = ToxicityModel(table, bias, (1.0, 0.0))
     margins = map_texts(sample, ["toxic"], "margin double", lambda: lambda xs: [[model.margin(x) for x in xs]]).collect()
-    model.scale = fit_scale(np.array([r.margin for r in margins]), np.array([r.toxic for r in margins]))
+    stands_for = {label: n / min(n, SAMPLE_DOCS[label]) for label, n in total.items()}
+    weights = np.array([stands_for[r.toxic] for r in margins])
+    model.scale = fit_scale(np.array([r.margin for r in margins]), np.array([r.toxic for r in margins]), weights)
     return model
 
 
