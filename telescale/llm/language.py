@@ -2,8 +2,9 @@
 
 A text is a vector of hashed n-grams of its letters (2 and 3 bytes of UTF-8, lower case), weighted by TF-IDF and
 brought to length one. Inverse document frequencies come from all texts to learn from; centroids are clustered
-from a bounded sample of them. A text that is long enough to tell, and whose best cosine is far below what nearly all
-sampled texts of that language reach, is rejected.
+from a bounded sample of each language, so that a rare one is learned at every size of the table. A text that is long
+enough to tell, and whose best cosine is far below what nearly all sampled texts of that language reach with centroids
+that they are not part of, is rejected.
 """
 
 from __future__ import annotations
@@ -16,15 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescale.llm.texts import free_prefix, held_out, lowest, map_texts
+from telescale.llm.texts import free_prefix, held_out, map_texts
 
 DIMENSIONS = 4096
-#: Bound on the texts that centroids are clustered from.
+#: Bound on the texts of a language that its centroids are clustered from.
 SAMPLE = 3000
 CENTROIDS = 4
 UNKNOWN = "und"
 #: The share of a language's sampled texts that the threshold of rejection may lie above, halved for safety.
 REJECTED_SHARE = 0.002
+#: For cosines of texts with centroids of others, those of a language are dealt into so many parts.
+PARTS = 4
+#: Thresholds of a language of n texts are multiplied by n / (n + FEW): a few texts do not show how far others lie.
+FEW = 16
 #: A text with fewer n-grams is too short for its distance to say anything and is not rejected.
 LEAST_NGRAMS = 128
 
@@ -121,42 +126,64 @@ def cluster(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def threshold(points: np.ndarray, centroids: int) -> float:
+    """The cosine below which a text of the language of ``points`` is rejected; 0, so none, for a single point."""
+    n = len(points)
+    if n < 2:
+        return 0.0
+    part = np.arange(n) % PARTS
+    apart = [points[part == i] @ cluster(points[part != i], centroids).T for i in range(min(n, PARTS))]
+    best = np.concatenate([x.max(axis=1) for x in apart])
+    return 0.5 * float(np.quantile(best, REJECTED_SHARE)) * n / (n + FEW)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> LanguageModel:
     """Learn from the rows of ``docs`` with text and lang.
 
-    Frequencies cover all of them. Clustering takes at most ``sample`` texts, those lowest by a hash.
+    Frequencies cover all of them. Clustering takes about ``sample`` texts of each language, those lowest by a hash, and
+    all of a language with fewer; repeated rows count once. The driver gets no more than the centroids.
     """
     learned = docs.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
     seen, total = document_frequencies(learned)
     idf = np.log((1 + total) / (1 + seen)).astype(np.float32) + np.float32(0.05)
-    some = lowest(learned, sample, "doc_id", "text").select("lang", "text")
-    rows = some.mapInArrow(_sample_vectors(idf), "lang string, v binary").limit(sample).collect()
-    by_language: dict[str, list[np.ndarray]] = {}
-    for row in rows:
-        by_language.setdefault(row.lang, []).append(np.frombuffer(row.v, np.float16).astype(np.float32))
-    centres, names, thresholds = [], [], []
-    for lang in sorted(by_language):
-        points = np.stack(by_language[lang])
+    sizes = learned.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language, so it may be broadcast
+    some = learned.withColumn("at", F.xxhash64("doc_id", "text")).join(F.broadcast(sizes), "lang")
+    some = some.filter(F.col("at").cast("double") / 2.0**64 + 0.5 <= F.lit(float(sample)) / F.col("n"))
+    found = some.select("lang", "at", "text").mapInArrow(_sample_vectors(idf), "lang string, at long, v binary")
+    found = found.dropDuplicates(["lang", "at"]).groupBy("lang").applyInArrow(
+        _centroids_of(centroids), "lang string, number int, centre binary, threshold double"
+    )
+    rows = sorted(found.collect(), key=lambda r: (r.lang, r.number))
+    centres = [np.frombuffer(r.centre, np.float32) for r in rows]
+    stacked = np.stack(centres) if centres else np.zeros((0, DIMENSIONS), np.float32)
+    return LanguageModel(idf, stacked, [r.lang for r in rows], np.array([r.threshold for r in rows]))
+
+
+def _centroids_of(centroids: int):
+    def run(table: pa.Table) -> pa.Table:
+        packed = [table.column("v")[i].as_py() for i in np.argsort(table.column("at").to_numpy(), kind="stable")]
+        points = np.stack([np.frombuffer(v, np.float16) for v in packed]).astype(np.float32)
         points = points[np.linalg.norm(points, axis=1) > 0.5]
-        if not len(points):
-            continue
-        found = cluster(points, centroids)
-        best = (points @ found.T).max(axis=1)
-        centres.append(found)
-        names += [lang] * len(found)
-        thresholds += [0.5 * float(np.quantile(best, REJECTED_SHARE))] * len(found)
-    stacked = np.concatenate(centres) if centres else np.zeros((0, DIMENSIONS), np.float32)
-    return LanguageModel(idf, stacked, names, np.array(thresholds))
+        found = cluster(points, centroids).astype(np.float32) if len(points) else points
+        return pa.table({
+            "lang": pa.array([table.column("lang")[0].as_py()] * len(found), pa.string()),
+            "number": pa.array(range(len(found)), pa.int32()),
+            "centre": pa.array([x.tobytes() for x in found], pa.binary()),
+            "threshold": pa.array([threshold(points, centroids)] * len(found), pa.float64()),
+        })
+
+    return run
 
 
 def _sample_vectors(idf: np.ndarray):
     def run(batches):
         for batch in batches:
-            found, _ = vectors(batch.column(1).cast(pa.binary()).to_pylist(), idf)
-            packed = [x.tobytes() for x in found.astype(np.float16)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed, pa.binary())], ["lang", "v"]
-            )
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                found, _ = vectors(part.column(2).cast(pa.binary()).to_pylist(), idf)
+                packed = [x.tobytes() for x in found.astype(np.float16)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(packed, pa.binary())], ["lang", "at", "v"]
+                )
 
     return run
 
@@ -178,7 +205,7 @@ def learning_rows(docs: DataFrame) -> DataFrame:
 
 
 def known_language_only(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose language is rejected or ``und``; learned from their own rows."""
+    """``docs`` without the rows whose language is rejected or ``und``; learned from all of these rows."""
     prefix = free_prefix(docs, "_lid_")
-    scored = identify(docs, fit(learning_rows(docs)), docs.columns, prefix)
+    scored = identify(docs, fit(docs), docs.columns, prefix)
     return scored.filter(~F.col(f"{prefix}rejected")).select(*docs.columns)

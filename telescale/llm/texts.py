@@ -70,16 +70,6 @@ def held_out(modulus: int, remainder: int, key: str = "doc_id"):
     return F.coalesce(crc % modulus == remainder, F.lit(False))
 
 
-def lowest(docs: DataFrame, n: int, *by: str) -> DataFrame:
-    """The ``n`` rows with the lowest hash of the columns ``by``; more only if several rows share the last hash.
-
-    Only hashes are sorted. The rows stay where they are.
-    """
-    at = F.xxhash64(*by)
-    last = docs.select(at.alias("at")).orderBy("at").limit(n).agg(F.max("at")).first()[0]
-    return docs.filter(at <= F.lit(last)) if last is not None else docs
-
-
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
