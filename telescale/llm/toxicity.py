@@ -1,7 +1,8 @@
 """Toxicity: a support vector machine on a subsequence string kernel, with Nyström landmarks.
 
 The kernel compares two strings by the subsequences of four letters that both hold within seven characters; each
-gap costs a factor. So ``i.d.i.o.t``, ``idxiot`` and ``1diot`` are still near to ``idiot``. Landmarks are words of
+gap costs a factor. So ``idxiot`` and ``1diot`` are still near to ``idiot``. Letters that stand alone, with marks
+between each and the next, are put together first: ``i.d.i.o.t`` and ``i - d - i - o - t`` are ``idiot``. Landmarks are words of
 the labelled sentences: those that mark either label most, and frequent ones. A sentence becomes its kernel values
 with the landmarks, multiplied by the inverse root of the kernel matrix of the landmarks, and a linear machine is
 trained on these vectors.
@@ -40,9 +41,15 @@ ROUNDS = 6
 MARGIN_COST = 1000.0
 
 SENTENCE = re.compile(rb"[.!?]+(?=\s)|\n")
+#: Four letters or more that stand alone, each with one to eight bytes that are no letters before the next.
+SPACED = re.compile(
+    rb"(?<![A-Za-z0-9])[A-Za-z0-9](?:[^A-Za-z0-9]{1,8}[A-Za-z0-9](?![A-Za-z0-9])){3,}"
+)
 STRETCH = 1 << 15  # characters scored at once
 WORD = re.compile(rb"[a-z0-9]{3,24}")
 _APART = bytes([0]) * SPAN
+_DIGITS = b"0123456789"
+_ALNUM = [c < 128 and chr(c).isalnum() for c in range(256)]
 #: Digits that stand for letters.
 _CODES = np.full(256, LETTERS - 1, np.int32)
 _CODES[[*range(97, 123)]] = _CODES[[*range(65, 91)]] = np.arange(26)
@@ -81,9 +88,19 @@ def feature_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return unique, np.bincount(which, weights[good], minlength=len(unique))
 
 
+def together(raw: bytes) -> bytes:
+    """The text without the marks between letters that stand alone; numbers with few letters among them stay apart."""
+
+    def put(found: re.Match) -> bytes:
+        alone = bytes(c for c in found[0] if _ALNUM[c])
+        return alone if 2 * sum(map(_DIGITS.__contains__, alone)) <= len(alone) else found[0]
+
+    return SPACED.sub(put, raw)
+
+
 def sentences(raw: bytes) -> list[bytes]:
     """Sentences in pieces of at most ``SENTENCE_CHARS``, for learning."""
-    found = [s.strip() for s in SENTENCE.split(raw)]
+    found = [s.strip() for s in SENTENCE.split(together(raw))]
     return [s[i:i + SENTENCE_CHARS] for s in found for i in range(0, len(s), SENTENCE_CHARS)]
 
 
@@ -135,7 +152,7 @@ class ToxicityModel:
 
 def _coded_sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Codes of a text with separators between sentences, and where sentences start, with the end."""
-    spread = SENTENCE.sub(_APART, raw)
+    spread = SENTENCE.sub(_APART, together(raw))
     codes = coded(spread)
     gaps = np.frombuffer(spread, np.uint8) == 0
     starts = np.flatnonzero(gaps[:-1] & ~gaps[1:]) + 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from telescale.llm import toxicity
@@ -30,3 +31,31 @@ def test_scores_hold_when_the_bounds_are_full(spark, monkeypatch, bounds):
     scores = [model.score(model.margin(text.encode())) for _, text in rows]
     share = sum(y for *_, y in labels) / len(labels)
     assert sum(scores) / len(scores) == pytest.approx(share, abs=0.05)
+
+
+INSULTS = ("blorfnak", "grimzot")
+
+
+def taught():
+    rng = random.Random(8)
+    found, toxic = [], []
+    for i in range(1200):
+        words = rng.choices(WORDS, k=10)
+        if i % 5 == 0 and rng.random() < 0.6:
+            words[rng.randrange(10)] = rng.choice(INSULTS)
+        found.append(" ".join(words).encode())
+        toxic.append(i % 5 == 0)
+    return toxicity.ToxicityModel(*toxicity.learn(found, np.array(toxic)), (1.0, 0.0))
+
+
+def test_marks_between_letters_hide_nothing():
+    model = taught()
+    clean = model.margin(b"the old river by the green water")
+    for insult in INSULTS:
+        for mark in (".", "-", " ", "..", " - ", ". ", "...", "*_*", " · "):
+            said = f"the old {mark.join(insult)} by the water".encode()
+            assert model.margin(said) > clean + 0.3, said
+            assert toxicity.together(said) == f"the old {insult} by the water".encode()
+    assert toxicity.sentences(b"it is b. l. o. r. f. n. a. k. here. And so on") == [b"it is blorfnak", b"here", b"And so on"]
+    for same in (b"1 2 3 4 5 6", b"a b c", b"the u.s.a. of", b"one two three four", b""):
+        assert toxicity.together(same) == same
