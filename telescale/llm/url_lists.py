@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PERIOD = 32
-MOST_LABELS = 16
-#: Longer than any domain name may be; what is longer is no host.
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 
 
@@ -25,14 +23,13 @@ def host_of(url: Column) -> Column:
 
 
 def domains_of(host: Column) -> Column:
-    """The host and its parent domains, up to ``MOST_LABELS`` labels; the top level alone is none of them."""
+    """The host and all its parent domains; the top level alone is none of them."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    last = F.least(n, F.lit(MOST_LABELS))
     return F.when(n < 2, F.array(host)).otherwise(
         F.array_append(
             F.transform(
-                F.filter(F.sequence(F.lit(2), F.greatest(last, F.lit(2))), lambda k: k < n),
+                F.filter(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), lambda k: k < n),
                 lambda k: F.concat_ws(".", F.slice(labels, n - k + 1, k)),
             ),
             host,
