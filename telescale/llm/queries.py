@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescale.llm import chat, decontaminate, language, pieces, quality, secrets, simhash, substring, toxicity, url_lists
+from telescale.llm import (
+    chat, decontaminate, language, merkle, pieces, quality, repair, rules, secrets, simhash, substring, toxicity, url_lists,
+)
 from telescale.llm.texts import held_out
 
 QUERIES = {}
@@ -204,3 +206,138 @@ select k.conv_id, k.n_turns, k.n_snapshots, string_agg(
          '' order by t.n) as rendered
 from kept k join t using (conv_id) group by all
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text as SQL, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+      list_concat([4294967295::bigint], list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+@query
+def op11_repair(spark, sf):
+    conversations = table(spark, sf, "conversations")
+    return repair.repair(repair.damaged(conversations), conversations)
+
+
+_KIND = _crc32("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")
+ORACLE["op11_repair"] = rf"""
+with recursive d as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_KIND} % 20 as kind from conversations),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+         unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from d where kind <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as n from damaged),
+marked as (
+  select *, left(role, 1) as initial,
+         case when not regexp_matches(text, '[^ 	-]') then 'blank'
+              when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate'
+              when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' end as fault,
+         lag(left(role, 1)) over (partition by conv_id order by n) || left(role, 1) as two
+  from placed),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+         count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (two is not null and two not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from marked group by conv_id),
+inserts(a, cost, audit, b, said) as (
+  values (0, 0, '', 0, null), (1, 0, '', 1, null), (2, 0, '', 2, null), (3, 0, '', 3, null), (0, 2, 'I', 2, 'user:'),
+         (1, 2, 'I', 2, 'user:'), (2, 2, 'I', 3, 'assistant:'), (3, 2, 'I', 2, 'user:'),
+         (0, 4, 'II', 3, 'user:' || chr(10) || 'assistant:'), (1, 4, 'II', 3, 'user:' || chr(10) || 'assistant:')),
+next(a, role, b) as (values (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+kept(a, initial, b) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+edits as (
+  select conv_id, n, a, a as b, 3 as cost, 'D' as audit, null as said from marked, (select distinct a from next)
+  union all
+  select conv_id, n, a, b, (fault is not null)::int, 'K', role || ':' || text from marked join kept using (initial)
+  where coalesce(fault, '') not in ('blank', 'duplicate')
+  union all
+  select conv_id, n, a, b, 2 + (fault is not null)::int, 'R', next.role || ':' || text from marked, next
+  where coalesce(fault, '') not in ('blank', 'duplicate')),
+best(conv_id, n, a, x) as (
+  select conv_id, 0::bigint, 0, {{'cost': 0, 'audit': '', 'said': null::varchar}} from counts
+  union all
+  select p.conv_id, p.n + 1, e.b, min({{'cost': p.x.cost + i.cost + e.cost, 'audit': p.x.audit || i.audit || e.audit,
+         'said': nullif(concat_ws(chr(10), p.x.said, i.said, e.said), '')}})
+  from best p join inserts i on p.a = i.a
+  join edits e on e.conv_id is not distinct from p.conv_id and e.n = p.n + 1 and e.a = i.b
+  group by p.conv_id, p.n, e.b),
+solved as (
+  select c.conv_id, min({{'cost': x.cost + i.cost, 'audit': x.audit || i.audit, 'said': concat_ws(chr(10), x.said, i.said)}}) as x
+  from best p join counts c on p.conv_id is not distinct from c.conv_id and p.n = c.n
+  join inserts i on p.a = i.a where i.b in (0, 3) group by c.conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(x.cost, 0)::bigint as cost,
+       coalesce(x.audit, '') as audit, sha256(coalesce(x.said, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on c.conv_id is not distinct from o.conv_id left join solved s on s.conv_id is not distinct from o.conv_id
+"""
+
+
+@query
+def op12_rules(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = rules.score(docs, rules.fit(rules.learning_rows(docs), table(spark, sf, "labels")))
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_manifest(spark, sf):
+    return merkle.verify_documents(table(spark, sf, "documents"), tampered=held_out(5, 0))
+
+
+_FIELD = "case when {0} is null then '-' else strlen(cast({0} as varchar)) || ':' || {0} end"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_CHANGED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op13_manifest"] = f"""
+with recursive d as (
+  select doc_id, coalesce('s' || source, '') as tree, sha256({_HEAD} || {_FIELD.format("text")}) as leaf,
+         sha256({_HEAD} || {_FIELD.format(_CHANGED)}) as changed,
+         coalesce({_crc32("cast(doc_id as varchar)")} % 5 = 0, false) as tampered from documents),
+leaves as (
+  select doc_id, tree, leaf, case when tampered then changed else leaf end as claimed,
+         row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by tree) as n
+  from d),
+nodes(tree, level, i, h, n) as (
+  select tree, 0, i, leaf, n from leaves
+  union all
+  select tree, level + 1, i >> 4, sha256(string_agg(h, '' order by i)), (any_value(n) + 15) >> 4
+  from nodes where n > 1 group by tree, level, i >> 4),
+subroots as (
+  select tree, h as subroot, row_number() over (order by tree) - 1 as i, count(*) over () as n from nodes where n = 1),
+upper_nodes(level, i, h, n) as (
+  select 0, i, subroot, n from subroots
+  union all
+  select level + 1, i >> 4, sha256(string_agg(h, '' order by i)), (any_value(n) + 15) >> 4
+  from upper_nodes where n > 1 group by level, i >> 4),
+beside as (
+  select l.tree, l.i, u.level, coalesce(string_agg(u.h, '' order by u.i) filter (u.i < l.i >> (4 * u.level)), '') as before,
+         coalesce(string_agg(u.h, '' order by u.i) filter (u.i > l.i >> (4 * u.level)), '') as behind
+  from leaves l join nodes u on u.tree = l.tree and u.n > 1 and u.i >> 4 = l.i >> (4 * u.level + 4)
+  group by l.tree, l.i, u.level),
+upper_beside as (
+  select s.tree, u.level, coalesce(string_agg(u.h, '' order by u.i) filter (u.i < s.i >> (4 * u.level)), '') as before,
+         coalesce(string_agg(u.h, '' order by u.i) filter (u.i > s.i >> (4 * u.level)), '') as behind
+  from subroots s join upper_nodes u on u.n > 1 and u.i >> 4 = s.i >> (4 * u.level + 4)
+  group by s.tree, u.level),
+steps as (
+  select *, row_number() over (partition by tree, i order by level) as k from (
+    select * from beside union all
+    select l.tree, l.i, 100 + u.level, u.before, u.behind from leaves l join upper_beside u using (tree))),
+folded(tree, i, k, h) as (
+  select tree, i, 0, claimed from leaves
+  union all
+  select f.tree, f.i, f.k + 1, sha256(s.before || f.h || s.behind)
+  from folded f join steps s on s.tree = f.tree and s.i = f.i and s.k = f.k + 1),
+proofs as (select tree, i, max(k) as k, string_agg(before || behind, '' order by k) as said from steps group by tree, i),
+top as (select h as root from upper_nodes where n = 1)
+select l.doc_id, l.leaf, s.subroot, top.root, sha256(coalesce(p.said, '')) as proof_sha256, f.h as folded_root,
+       f.h = top.root as verified
+from leaves l join subroots s using (tree) cross join top left join proofs p on p.tree = l.tree and p.i = l.i
+join folded f on f.tree = l.tree and f.i = l.i and f.k = coalesce(p.k, 0)
+"""

@@ -17,7 +17,7 @@ def test_query_equals_sql(spark, name):
 
 def test_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(queries())
 
 

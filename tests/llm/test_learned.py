@@ -26,8 +26,10 @@ def test_novel_secrets():
     assert scan(text) == [(start, 3, start + len(key))]
     assert scan(f"some words and {key} without context") == []
     for known in ("the credential is authorization_access_token_here", f"{key[:10]} bearer tokentokentokentokentoken",
-                  "private key example-placeholder-changeme", f"seen {key} before\nbearer {key}"):
+                  "private key example-placeholder-changeme"):
         assert scan(known) == [], known
+    twice = f"seen {key} before\nbearer {key}"  # a second copy hides nothing
+    assert [twice[a:b] for a, _, b in scan(twice)] == [key, key]
 
 
 def test_redaction(spark):
@@ -106,8 +108,7 @@ def test_toxicity_tolerates_gaps(taught):
     clean = taught.margin(b"the old river by the green water")
     assert clean < 0
     for insult in (b"blorfnak", b"BLORFNAK", b"bl0rfnak", b"blorxfnak", b"b.l.o.r.f.n.a.k", b"grim-zot", b"gr1mz0t"):
-        rise = 0.05 if insult.count(b".") > 2 else 0.3  # a gap after each letter leaves little of it
-        assert taught.margin(b"the old " + insult + b" by the water") > clean + rise, insult
+        assert taught.margin(b"the old " + insult + b" by the water") > clean + 0.3, insult
     far = b"the quiet morning. " * 20_000 + b"the old blorfnak by the water"
     assert taught.margin(far) == pytest.approx(taught.margin(b"the old blorfnak by the water"), abs=1e-4)
 
