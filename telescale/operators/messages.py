@@ -111,3 +111,26 @@ def message_lines(records: DataFrame, event_type: str, app_event_id: Column | No
         F.lit(event_type).alias("event_type"),
         F.to_json(F.struct(F.lit(event_type).alias("event_type"), payload.alias("payload"))).alias("value"),
     )
+
+
+def keyed_lines(
+    records: DataFrame, event_type: str, app: Column | None = None, named: bool = False
+) -> DataFrame:
+    """Envelopes with the key of each message: application, event type, and job and part where the kind has them.
+
+    ``named`` records carry their app_id as ``app_event_id`` in the envelope.
+    """
+    held = records.columns
+    key = {
+        "app_event_id": (F.col("app_id") if app is None else app).cast("string"),
+        "job_id": F.col("job_id").cast("int") if "job_id" in held else F.lit(None).cast("int"),
+        "part": F.col("part").cast("int") if "part" in held else F.lit(None).cast("int"),
+    }
+    own = records.withColumnRenamed("app_id", "app_event_id") if named else records
+    if named:
+        key["app_event_id"] = F.col("app_event_id").cast("string")
+    payload = F.struct(*own.columns).alias("payload")
+    return own.select(
+        F.lit(event_type).alias("event_type"), *(c.alias(n) for n, c in key.items()),
+        F.to_json(F.struct(F.lit(event_type).alias("event_type"), payload)).alias("value"),
+    )

@@ -7,13 +7,14 @@ recommendations. Every frame keeps all rows of its table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import wraps
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from telescale.operators import messages, rescaling, stages as stage_ops
+from telescale.operators import fused, messages, rescaling, stages as stage_ops
 from telescale.operators.ordered import blocked, has_hot_keys, scan
 from telescale.operators.scaleout import (
     APP_END, APP_START, COMPLETE, EXECUTOR, JOB_END, JOB_START, SUBMIT, track_scale_out,
@@ -22,7 +23,8 @@ from telescale.operators.scaleout import (
 INITIAL = 5
 
 # Rank of the events that share a position.
-RANK = {APP_START: 0, EXECUTOR: 1, JOB_END: 2, JOB_START: 3, SUBMIT: 4, COMPLETE: 5, APP_END: 6}
+ANSWER = "answer"
+RANK = {ANSWER: -1, APP_START: 0, EXECUTOR: 1, JOB_END: 2, JOB_START: 3, SUBMIT: 4, COMPLETE: 5, APP_END: 6}
 ORDER = ("t_ms", "rank", "seq")
 
 
@@ -137,9 +139,14 @@ def _events(df: DataFrame, *structs) -> DataFrame:
     return df.select("app_id", F.inline(F.array(*structs)))
 
 
+TIMELINE = ("t_ms", "rank", "seq", "kind", "job_id", "stage_id", "delta", "initial")
+
+
 @once
 def timeline(ev: DataFrame, hot: bool = True) -> DataFrame:
     """All events of all applications in one frame, ordered by ``ORDER``."""
+    if not hot:
+        return tagged_rows(ev).select("app_id", *TIMELINE)
     job, stage = F.col("job_id"), F.col("stage_id")
     bounds = _events(
         app_bounds(ev),
@@ -160,7 +167,7 @@ def timeline(ev: DataFrame, hot: bool = True) -> DataFrame:
     return bounds.unionByName(executor).unionByName(job_rows).unionByName(stage_rows)
 
 
-def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tasks(spark: SparkSession, sf_dir: str, more: Sequence = ()) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
 
     def whole(c):
@@ -175,7 +182,7 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_suppkey") % 5).alias("gc_ms"), cents("l_tax").alias("shuffle_read"),
         cents("l_discount").alias("shuffle_write"), F.col("l_partkey").alias("input_bytes"),
         (F.col("l_suppkey") % 3).alias("output_bytes"), (F.col("l_partkey") % 4).alias("disk_spill"),
-        whole("l_quantity").alias("peak_mem"),
+        whole("l_quantity").alias("peak_mem"), *more,
     )
 
 
@@ -199,18 +206,25 @@ MESSAGE_TYPES = {
 }
 
 
+def message_type():
+    return F.create_map(*[F.lit(x) for pair in MESSAGE_TYPES.items() for x in pair])[F.col("kind")]
+
+
 @once
 def all_messages(ev: DataFrame, hot: bool = True) -> DataFrame:
-    kind = F.col("kind")
-    event_type = F.create_map(*[F.lit(x) for pair in MESSAGE_TYPES.items() for x in pair])[kind]
-    return tracked(ev, hot).filter(kind.isin(*MESSAGE_TYPES)).select(
-        "app_id", event_type.alias("event_type"), "job_id", *ORDER, "num_executors", "last_known"
+    return tracked(ev, hot).filter(F.col("kind").isin(*MESSAGE_TYPES)).select(
+        "app_id", message_type().alias("event_type"), "job_id", *ORDER, "num_executors", "last_known"
     )
 
 
 def responses(ev: DataFrame, sent: DataFrame, hot: bool = True) -> DataFrame:
     """The recommendation that was latest when each message was sent, if there was one."""
     keys = ["app_id"]
+    if not hot:
+        rows = tagged_rows(ev, answers=True).filter(F.col("kind").isin(ANSWER, *MESSAGE_TYPES))
+        value = F.when(F.col("kind") == ANSWER, F.col("k") % 10 + 1)
+        seen = scan(rows, keys, ORDER, last={"_r": value}).filter((F.col("kind") != ANSWER) & F.col("_r").isNotNull())
+        return seen.select("app_id", message_type().alias("event_type"), "job_id", F.col("_r").alias("recommended_scale_out"))
     known = recommendations(ev).select(
         "app_id", "t_ms", F.lit(-1).alias("rank"), "seq", "recommended_scale_out"
     )
@@ -270,6 +284,69 @@ def stage_rows(spark: SparkSession, sf_dir: str, ev: DataFrame, hot: bool = True
     return stage_ops.stage_features(described, metrics, hot=hot)
 
 
+def tagged_rows(ev: DataFrame, answers: bool = False) -> DataFrame:
+    """The timeline with what its stages carry, from one pass over the events of each application."""
+    order = Window.partitionBy("app_id").orderBy("seq")
+    purchase = F.col("et") == "purchase"
+    placed = ev.filter(F.col("app_id").isNotNull()).withColumns({
+        "job_id": F.sum(purchase.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int") - 1,
+        "_first": F.lag("seq").over(order).isNull(), "_last": F.lead("seq").over(order).isNull(),
+    })
+
+    def event(kind: str, when, t_ms="t_ms", job=None, stage=None, delta=None, initial=None):
+        def of(value, type_):
+            return (F.lit(None) if value is None else value).cast(type_)
+
+        return F.when(when, F.struct(
+            F.col(t_ms).alias("t_ms"), F.lit(RANK[kind]).alias("rank"), F.lit(kind).alias("kind"),
+            of(job, "int").alias("job_id"), of(stage, "long").alias("stage_id"), of(delta, "int").alias("delta"),
+            of(initial, "int").alias("initial"),
+        ))
+
+    et, job, stage = F.col("et"), F.col("job_id"), F.col("seq")
+    events = [
+        event(APP_START, F.col("_first"), initial=F.lit(INITIAL)), event(APP_END, F.col("_last")),
+        event(EXECUTOR, et.isin("signup", "error"), delta=F.when(et == "signup", 1).otherwise(-1)),
+        event(JOB_END, purchase & (job > 0), job=job - 1), event(JOB_START, purchase, job=job),
+        event(SUBMIT, et == "view", job=job, stage=stage),
+        event(COMPLETE, et == "view", "complete_ms", job=job, stage=stage),
+    ]
+    if answers:
+        events.append(event(ANSWER, et == "click"))
+    placed = placed.withColumn("complete_ms", done_ms())
+    rows = placed.select(
+        "app_id", "seq", F.col("t_ms").alias("submit_ms"), "complete_ms", "k", F.inline(F.array_compact(F.array(*events))))
+    return rows.withColumns({
+        "stage_name": F.concat(F.lit("view at "), F.col("stage_id").cast("string")), "num_tasks": F.col("k"),
+        "parent_stage_ids": F.array(F.col("stage_id") - 1), "attempt_id": F.lit(0),
+        "failure_reason": F.when(F.col("k") % 13 == 0, "lost executor"),
+    })
+
+
+def stage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters and RDD totals of each stage from one pass over the tasks, the ratios worked out."""
+    whole = tasks(spark, sf_dir, [F.col(c) for c in ("l_quantity", "l_linenumber", "l_extendedprice", "l_partkey")])
+    line = whole.withColumns({
+        "num_partitions": F.col("l_quantity").cast("long"), "num_cached_partitions": F.col("l_linenumber").cast("long"),
+        "mem_size": F.round(F.col("l_extendedprice") * 100).cast("long"), "disk_size": F.col("l_partkey"),
+    })
+    totals = [F.sum(c).alias(c) for c in stage_ops.COUNTERS]
+    totals += [F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in stage_ops.RDD_TOTALS.items()]
+    return line.groupBy("job_id").agg(*totals).select("job_id", *stage_ops.RDD_TOTALS, *stage_ops.metric_ratios())
+
+
+def job_end_stages(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
+    """Job ends with their stages by the fused pass: the rows of ``job_ends`` and ``stage_rows`` joined."""
+    described = fused.described_events(tagged_rows(ev), ORDER, base=INITIAL)
+    in_time = lambda end: (F.col("kind") == SUBMIT) | (F.col("complete_ms") <= end["t_ms"])
+    rows = fused.job_stages(described, in_time)
+    totals = stage_totals(spark, sf_dir)
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in stage_ops.RDD_TOTALS]
+    zero += [F.coalesce(c, F.lit(0.0)).alias(c) for c in stage_ops.RATIOS]
+    kept = [c for c in rows.columns if c != "_done_id"]
+    return rows.join(totals.withColumnRenamed("job_id", "_done_id"), "_done_id", "left").select(*kept, *zero)
+
+
 def job_ends(ev: DataFrame, hot: bool = True) -> DataFrame:
     """Ended jobs with executor count and the ratio of the whole time since the application's start."""
     ended = jobs(ev, hot).filter("end_ms is not null")

@@ -12,6 +12,7 @@ from telescale.plans import live
 from telescale.plans.fleet import fleet_tables, has_hot_logs
 from telescale.session import shared_dir
 from telescale.sources import event_log, message_sink, recommendations
+from telescale.streaming import tables
 
 QUERIES = {}
 
@@ -66,7 +67,7 @@ def app_end_records(spark, sf):
 @query
 def missing_required_config(spark, sf):
     apps = b.table(spark, sf, "part").select(F.col("p_partkey").alias("app_id"))
-    silent = apps.select((-F.col("app_id")).alias("app_id"))  # as many applications without any setting
+    silent = apps.select((-1 - F.col("app_id")).alias("app_id"))  # as many applications without any setting
     return specs.missing_required_config(apps.union(silent), b.config(spark, sf))
 
 
@@ -251,17 +252,28 @@ def job_rescaling_ratio_from_zero(spark, sf):
     return _job_ratio(spark, sf, "zero")
 
 
+def _job_end_stages(spark, sf):
+    """Job ends with their stages: in one pass, or in blocks where an application is too large for a task."""
+    ev, hot = _events(spark, sf)
+    if hot:
+        return messages.job_end_rows(b.job_ends(ev, hot), b.stage_rows(spark, sf, ev, hot))
+    return b.job_end_stages(spark, sf, ev)
+
+
 @query
 def stage_features(spark, sf):
     ev, hot = _events(spark, sf)
-    rows = b.stage_rows(spark, sf, ev, hot)
+    if hot:
+        rows = b.stage_rows(spark, sf, ev, hot)
+    else:
+        rows = b.job_end_stages(spark, sf, ev).drop("app_time", "num_executors", "rescaling_time_ratio")
+        rows = rows.withColumnRenamed("stage_rescaling_time_ratio", "rescaling_time_ratio")
     return rows.withColumn("parent_stage_ids", F.array_join("parent_stage_ids", ","))
 
 
 @query
 def job_end_records(spark, sf):
-    ev, hot = _events(spark, sf)
-    rows = messages.job_end_rows(b.job_ends(ev, hot), b.stage_rows(spark, sf, ev, hot))
+    rows = _job_end_stages(spark, sf)
     return rows.withColumn("parent_stage_ids", F.array_join("parent_stage_ids", ","))
 
 
@@ -550,7 +562,7 @@ def scan_recommendations(spark, sf):
 def sink_messages(spark, sf):
     ev, hot = _events(spark, sf)
     tracked, app = b.tracked(ev, hot), F.col("app_id").cast("string")
-    rows = messages.job_end_rows(b.job_ends(ev, hot), b.stage_rows(spark, sf, ev, hot))
+    rows = _job_end_stages(spark, sf)
     lines = (
         messages.message_lines(messages.job_start_records(tracked), "JOB_START", app)
         .unionByName(messages.message_lines(messages.app_end_records(tracked), "APPLICATION_END", app))
@@ -559,24 +571,7 @@ def sink_messages(spark, sf):
     )
     path = shared_dir(spark, "messages")
     message_sink.write_messages(lines, path)
-    payload = (
-        "app_event_id string, app_time long, job_id int, num_executors int, rescaling_time_ratio double, "
-        "stages map<string, struct<stage_id string, num_tasks bigint, metrics struct<gc_time_ratio double>>>, "
-        "application_id string, app_name string, driver_specs struct<cores int, memory string>, "
-        "environment_specs struct<machine_type string>"
-    )
-    schema = f"event_type string, payload struct<{payload}>"
-    read = message_sink.read_messages(spark, path).select("event_type", F.from_json("value", schema).alias("m"))
-    return read.select(
-        "event_type", F.col("m.event_type").alias("tag"), "m.payload.app_event_id", "m.payload.app_time",
-        "m.payload.job_id", "m.payload.num_executors", "m.payload.rescaling_time_ratio",
-        F.when(F.col("m.payload.stages").isNotNull(), F.size("m.payload.stages")).alias("n_stages"),
-        F.expr(
-            "aggregate(map_values(m.payload.stages), 0L, (n, s) -> n + if(s.metrics.gc_time_ratio >= 0, s.num_tasks, 0))"
-        ).alias("n_tasks"),
-        "m.payload.application_id", "m.payload.app_name", F.col("m.payload.driver_specs.memory").alias("driver_memory"),
-        F.col("m.payload.environment_specs.machine_type").alias("machine_type"),
-    )
+    return _sent_fields(message_sink.read_messages(spark, path))
 
 
 # --- streaming ------------------------------------------------------------------------------------
@@ -591,7 +586,7 @@ def stream_events(spark, sf):
 
 @query
 def stream_app_state(spark, sf):
-    rows = live.chain(spark, sf).read("tracked").filter("kind <> 'environment'")
+    rows = live.chain(spark, sf).read("tracked").filter("kind not in ('environment', 'late')")
     return rows.select("app_id", "kind", "t_ms", "job_id", "num_executors", "last_known")
 
 
@@ -612,7 +607,7 @@ def stream_job_end(spark, sf):
 
 @query
 def stream_response_timeout(spark, sf):
-    return live.chain(spark, sf).read("effective").drop("seq", "recommended_scale_out")
+    return live.chain(spark, sf).read("effective").drop("seq", "message_no", "recommended_scale_out")
 
 
 @query
@@ -620,11 +615,50 @@ def stream_scale_decisions(spark, sf):
     return live.chain(spark, sf).read("decisions").drop("seq")
 
 
+def _sent_fields(read):
+    """Fields of messages as they were written: those that tell whether the whole of each kind came through."""
+    payload = (
+        "app_event_id string, app_time long, job_id int, num_executors int, rescaling_time_ratio double, "
+        "stages map<string, struct<stage_id string, num_tasks bigint, metrics struct<gc_time_ratio double>>>, "
+        "application_id string, app_name string, driver_specs struct<cores int, memory string>, "
+        "environment_specs struct<machine_type string>"
+    )
+    schema = f"event_type string, payload struct<{payload}>"
+    read = read.select("event_type", F.from_json("value", schema).alias("m"))
+    return read.select(
+        "event_type", F.col("m.event_type").alias("tag"), "m.payload.app_event_id", "m.payload.app_time",
+        "m.payload.job_id", "m.payload.num_executors", "m.payload.rescaling_time_ratio",
+        F.when(F.col("m.payload.stages").isNotNull(), F.size("m.payload.stages")).alias("n_stages"),
+        F.expr(
+            "aggregate(map_values(m.payload.stages), 0L, (n, s) -> n + if(s.metrics.gc_time_ratio >= 0, s.num_tasks, 0))"
+        ).alias("n_tasks"),
+        "m.payload.application_id", "m.payload.app_name", F.col("m.payload.driver_specs.memory").alias("driver_memory"),
+        F.col("m.payload.environment_specs.machine_type").alias("machine_type"),
+    )
+
+
 @query
 def stream_messages(spark, sf):
-    read = live.chain(spark, sf).messages()
-    payload = "app_event_id string, app_time long, job_id int, num_executors int"
-    m = F.from_json("value", f"event_type string, payload struct<{payload}>")
-    return read.select("event_type", m.alias("m")).select(
-        "event_type", F.col("m.event_type").alias("tag"), "m.payload.*"
-    )
+    """Messages of all four kinds, each written once."""
+    return _sent_fields(live.chain(spark, sf).messages())
+
+
+@query
+def stream_answers(spark, sf):
+    """Answers read from lines as they arrive."""
+    return live.chain(spark, sf).read("answered")
+
+
+@query
+def stream_rejects(spark, sf):
+    """Lines of the recommender that are no answers, with the reason."""
+    return live.chain(spark, sf).read("rejects")
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Lines read of each log, and those among them that arrived after its state was freed: none in this chain."""
+    tracked = live.chain(spark, sf).read("tracked")
+    counts = tracked.groupBy("log_id").agg(F.max("app_id").alias("app_id"), F.count("*").alias("n_rows"))
+    late = counts.join(tables.late_rows(tracked), "log_id", "left")
+    return late.select("app_id", "n_rows", F.coalesce("n_late", F.lit(0)).alias("n_late"))

@@ -11,7 +11,8 @@ from telescale.sources import event_log, message_sink
 from telescale.streaming import tables
 
 SEGMENTS = 2
-_DAY = 86400000
+#: How long a message waits for its answer here: all answers are there when the messages are read.
+WAIT_MS = 2000
 
 
 class Chain:
@@ -48,7 +49,13 @@ class Chain:
         return event_log.read_parsed(self.spark, self.at("parsed")).drop("batch", "is_task")
 
     def messages(self) -> DataFrame:
-        return message_sink.read_messages(self.spark, self.at("messages"))
+        return message_sink.read_sent(self.spark, self.at("messages"))
+
+    def send(self, rows: DataFrame, make, source: str) -> None:
+        checkpoint = self.at(f"checkpoints/messages-{source}")
+        tables.run_available(
+            self.spark, message_sink.stream_messages(rows, make, self.at("messages"), source, checkpoint)
+        )
 
     def run(self, rows: DataFrame, name: str) -> None:
         tables.run_available(self.spark, tables.to_files(rows, self.at(name), self.at(f"checkpoints/{name}")))
@@ -65,44 +72,53 @@ class Chain:
         tracked = self.stream("tracked", tables.TRACKED)
         self.run(tables.stream_stage_pairs(tracked), "pairs")
         self.run(tables.stream_job_end(tracked), "job_ends")
-        lines = tables.stream_message_lines(tracked)
-        tables.run_available(
-            spark,
-            message_sink.stream_messages(lines, self.at("messages"), self.at("checkpoints/messages"))
-        )
+        self.run(tables.stream_app_starts(tables.start_lines(tables.parsed_stream(spark, self.at("parsed")))), "starts")
+        ends = spark.readStream.schema(self.read("job_ends").schema).parquet(self.at("job_ends"))
+        self.send(tracked, tables.tracked_messages, "tracked")
+        self.send(ends, tables.job_end_messages, "job_ends")
+        self.send(self.stream("starts", tables.START), tables.start_messages, "starts")
         self.run(tables.message_rows(tracked), "sent")
 
     def answer(self, segment: int, last: bool) -> None:
-        """Answers that take 0 to 44 seconds; after the last segment each application's clock moves on by a day."""
+        """Answers that take 0 to 44 seconds, and none to some jobs, as lines of text with bad ones among them."""
         sent = self.read("sent")
-        done = f"{self.root}/answers"
+        answered = f"{self.root}/answers"
         delay = F.coalesce(F.col("job_id") * 7 % 45 * 1000, F.lit(0))
-        rows = sent.select(
-            "app_id", "event_type", "job_id", (F.col("t_ms") + delay).alias("answered_ms"),
+        answer = F.struct(
+            F.col("app_id").alias("app_event_id"), "event_type", "job_id", (F.col("t_ms") + delay).alias("answered_ms"),
             F.coalesce(F.col("job_id") % 10 + 1, F.lit(b.INITIAL)).cast("int").alias("recommended_scale_out"),
         )
+        new = sent
         if segment:
-            earlier = self.spark.read.schema(tables.RESPONSE).parquet(done)
-            keys = ["app_id", "event_type", F.coalesce("job_id", F.lit(-1)).alias("_job")]
-            rows = rows.withColumn("_job", F.coalesce("job_id", F.lit(-1))).join(
-                earlier.select(*keys), ["app_id", "event_type", "_job"], "left_anti"
-            ).drop("_job")
-        rows.write.mode("append").parquet(done)
-        if last:
-            beats = sent.groupBy("app_id").agg((F.max("t_ms") + _DAY).alias("t_ms"), F.max("seq").alias("seq"))
-            beats.select(
-                "app_id", F.lit("HEARTBEAT").alias("event_type"), F.lit(None).cast("int").alias("job_id"), "t_ms",
-                "seq", F.lit(None).cast("int").alias("num_executors"), F.lit(None).cast("int").alias("last_known"),
-            ).write.mode("append").parquet(self.at("beats"))
-        else:
-            self.spark.createDataFrame([], tables.MESSAGE).write.mode("append").parquet(self.at("beats"))
-        messages = self.stream("sent", tables.MESSAGE).unionByName(self.stream("beats", tables.MESSAGE))
-        effective = tables.stream_response_timeout(messages, self.stream("answers", tables.RESPONSE))
-        self.run(effective, "effective")
+            keys = ["app_id", "event_type", "_job"]
+            job = F.coalesce("job_id", F.lit(-1)).alias("_job")
+            seen = self.spark.read.parquet(self.at("asked"))
+            new = sent.select("*", job).join(seen.select("app_id", "event_type", job), keys, "left_anti").drop("_job")
+        new = new.select("app_id", "message_no", "event_type", "job_id", "t_ms")
+        lines = new.filter("job_id is null or job_id % 7 <> 3").select(F.to_json(answer).alias("value"))
+        bad = new.filter("event_type = 'JOB_END' and job_id % 5 = 0").select(
+            F.when(F.col("job_id") % 10 == 0, "timeout").otherwise(F.to_json(F.struct(F.col("app_id").alias("app_event_id"))))
+            .alias("value"))
+        lines.unionByName(bad).write.mode("append").text(answered)
+        new.write.mode("append").parquet(self.at("asked"))
+        arriving = tables.answer_lines(self.spark, answered)
+        self.run(tables.stream_answers(arriving), "answered")
+        self.run(tables.stream_rejects(arriving), "rejects")
+        if not last:
+            return
+        answers = self.stream("answered", tables.RESPONSE)
+        effective = tables.stream_response_timeout(self.stream("sent", tables.MESSAGE), answers, wait_ms=WAIT_MS)
+        self.settle(effective, "effective")
         schema = self.read("effective").schema
-        decided = tables.stream_scale_decisions(self.spark.readStream.schema(schema).parquet(self.at("effective")))
+        decided = tables.stream_scale_decisions(
+            self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).parquet(self.at("effective")), wait_ms=60_000
+        )
         self.run(decided, "decisions")
 
+    def settle(self, rows: DataFrame, name: str) -> None:
+        writer = tables.to_files(rows, self.at(name), self.at(f"checkpoints/{name}"))
+        tables.run_settled(writer, WAIT_MS)
+
 
 _CHAINS: dict[tuple[str, str], Chain] = {}
 

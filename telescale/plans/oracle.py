@@ -181,7 +181,7 @@ _CTES = {
         select cast(app_id as varchar) as app_id, event_type, job_id, t_ms, num_executors, last_known,
                case when delay > 30000 then num_executors else job_id % 10 + 1 end as effective_scale_out,
                case when delay > 30000 then 'timeout' else 'answered' end as status
-        from (select *, job_id * 7 % 45 * 1000 as delay from fx_messages
+        from (select *, case when job_id % 7 = 3 then 99999 else job_id * 7 % 45 * 1000 end as delay from fx_messages
               where event_type in ('JOB_START', 'JOB_END')) x
         union all
         select cast(app_id as varchar), event_type, null, t_ms, num_executors, last_known, 5, 'answered'
@@ -350,7 +350,7 @@ _BODIES = {
     "app_end_records": """
         select app_id, t_ms as app_time, num_executors from fx_messages where event_type = 'APPLICATION_END'""",
     "missing_required_config": f"""
-        select a.app_id, r.key from (select app_id from fx_apps union all select -app_id from fx_apps) a
+        select a.app_id, r.key from (select app_id from fx_apps union select -1 - app_id from fx_apps) a
         cross join (select unnest([{', '.join(repr(k) for k in REQUIRED_KEYS)}]) as key) r
         where not exists (select 1 from fx_set c where c.app_id = a.app_id and c.key = r.key)""",
     "non_driver_executors": """
@@ -543,10 +543,6 @@ _BODIES = {
                        partition by c.app_id order by c.t_ms, c.event_type, c.job_id), a.app_start_ms) as waited_ms
               from fx_timed c join fx_app a on cast(a.app_id as varchar) = c.app_id
               where c.event_type in ('JOB_START', 'JOB_END') and c.effective_scale_out <> c.last_known) x""",
-    "stream_messages": """
-        select event_type, event_type as tag, cast(app_id as varchar) as app_event_id, t_ms as app_time, job_id,
-               num_executors
-        from fx_messages where event_type in ('JOB_START', 'APPLICATION_END')""",
     "scan_recommendations": """
         select cast(app_id as varchar) as app_event_id, k % 10 + 1 as recommended_scale_out
         from fx_events where et = 'click' and k % 10 not in (3, 4, 5)""",
@@ -603,6 +599,21 @@ def _ordered(needed: set[str], ctes: dict[str, str]):
 _BODIES["scan_versions"] = """
     select cast(app_id as varchar) as app_id, '4.1.2' as spark_version, null::varchar as java_version,
            null::varchar as scala_version from fx_app"""
+_BODIES["stream_messages"] = _BODIES["sink_messages"].replace(
+    "application_id, app_name, driver_memory, machine_type from fx_app_starts",
+    "cast(app_id as varchar), concat('app ', app_id), null, null from fx_app",
+).replace("'APPLICATION_START', null, app_time,", "'APPLICATION_START', null, app_start_ms,")
+_BODIES["stream_answers"] = """
+        select cast(app_id as varchar) as app_id, event_type, job_id,
+               t_ms + coalesce(job_id * 7 % 45 * 1000, 0) as answered_ms, coalesce(job_id % 10 + 1, 5) as recommended_scale_out
+        from fx_messages where job_id is null or job_id % 7 <> 3"""
+_BODIES["stream_rejects"] = """
+        select case when job_id % 10 = 0 then 'timeout' else concat('{"app_event_id":"', app_id, '"}') end as value,
+               case when job_id % 10 = 0 then 'not json' else 'missing field' end as reason
+        from fx_messages where event_type = 'JOB_END' and job_id % 5 = 0"""
+_BODIES["stream_late_rows"] = """
+        select cast(app_id as varchar) as app_id, count(*) as n_rows, 0 as n_late
+        from fx_lines where what not in ('click', 'log_start') group by app_id"""
 _BODIES["fleet_job_end_rows"] = _BODIES["stream_job_end"]
 _BODIES["fleet_job_start"] = f"select * replace (cast(app_id as varchar) as app_id) from ({_BODIES['job_start_records']})"
 _BODIES["answers_to_decisions"] = _BODIES["scale_decisions"]

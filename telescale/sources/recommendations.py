@@ -37,15 +37,34 @@ def invalid_responses(lines: DataFrame) -> DataFrame:
     )
 
 
-def scan_answers(lines: DataFrame, apps: DataFrame) -> DataFrame:
+ANSWER = f"{SCHEMA}, event_type string, job_id int, answered_ms bigint"
+
+
+def _named():
+    return F.col("_a.app_event_id").isNotNull() & F.col("_a.event_type").isNotNull() & F.col(
+        "_a.recommended_scale_out").isNotNull()
+
+
+def scan_answers(lines: DataFrame, apps: DataFrame | None = None) -> DataFrame:
     """Answers with the message that each belongs to: the input of ``response_match``.
 
-    ``apps`` maps app_event_id, the name an application got with its first answer, to app_id. Lines that name no
-    message, and those of unknown applications, are left out.
+    ``apps`` maps app_event_id, the name an application got with its first answer, to app_id; without it that name is
+    the app_id. Lines that name no message, and those of unknown applications, are left out.
     """
-    fields = f"{SCHEMA}, event_type string, job_id int, answered_ms bigint"
-    read = lines.select(F.from_json("value", fields, {"mode": "PERMISSIVE"}).alias("_a")).select("_a.*")
-    named = read.filter("app_event_id is not null and event_type is not null and recommended_scale_out is not null")
-    return named.join(apps.select("app_event_id", "app_id"), "app_event_id").select(
-        "app_id", "event_type", "job_id", "answered_ms", "recommended_scale_out"
+    read = lines.select(F.from_json("value", ANSWER, {"mode": "PERMISSIVE"}).alias("_a")).filter(_named()).select("_a.*")
+    if apps is None:
+        read = read.withColumnRenamed("app_event_id", "app_id")
+    else:
+        read = read.join(apps.select("app_event_id", "app_id"), "app_event_id")
+    return read.select("app_id", "event_type", "job_id", "answered_ms", "recommended_scale_out")
+
+
+def rejected_answers(lines: DataFrame) -> DataFrame:
+    """Lines that ``scan_answers`` cannot read: no JSON, a field missing or of another type, or no message named."""
+    read = lines.select("value", F.from_json("value", ANSWER, {"mode": "PERMISSIVE"}).alias("_a"))
+    complete = F.col("_a.app_event_id").isNotNull() & F.col("_a.recommended_scale_out").isNotNull()
+    reason = (
+        F.when(F.try_parse_json("value").isNull(), "not json").when(~F.coalesce(complete, F.lit(False)), "missing field")
+        .otherwise("no message")
     )
+    return read.filter(~F.coalesce(_named(), F.lit(False))).select("value", reason.alias("reason"))

@@ -27,21 +27,43 @@ def _ratio(length: int, span: int) -> float:
 
 #: How long after an application's end its state is kept, for lines that were logged behind the end.
 FREED_AFTER_MS = 3_600_000
+#: How long it is remembered after that that the application is over.
+REMEMBERED_MS = 30 * 86_400_000
 
 
 class Ending(StatefulProcessor):
-    """A processor whose ``states`` are dropped some time after the application's end was seen."""
+    """A processor whose ``states`` are dropped some time after the application's end was seen.
 
-    def __init__(self, freed_after_ms: int = FREED_AFTER_MS) -> None:
-        self.freed_after_ms = freed_after_ms
+    What stays is a note that the application is over. Rows that arrive later are counted in it and not taken for those
+    of a new application.
+    """
+
+    def __init__(self, freed_after_ms: int = FREED_AFTER_MS, remembered_ms: int = REMEMBERED_MS) -> None:
+        self.freed_after_ms, self.remembered_ms = freed_after_ms, remembered_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.over = handle.getValueState("over", "late bigint", self.remembered_ms)
+
+    def _late(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
+        """The rows if the application is over; they are counted."""
+        if not self.over.exists():
+            return None
+        late = pd.concat(list(rows), ignore_index=True)
+        self.over.update((self.over.get()[0] + len(late),))
+        return late
 
     def _ended(self, df: pd.DataFrame, timerValues) -> None:
         if (df["kind"] == APP_END).any():
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.freed_after_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def _forget_all(self) -> None:
         for state in self.states:
             state.clear()
+        self.over.update((0,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._forget_all()
         return iter([])
 
     def close(self) -> None:
@@ -49,16 +71,20 @@ class Ending(StatefulProcessor):
 
 
 class ScaleOutTracker(Ending):
-    """Live executors and the last known scale-out, event by event."""
+    """Live executors and the last known scale-out, event by event, and the number of each message in its log.
+
+    Rows that arrive after the state went come out as they are, of kind ``late``.
+    """
 
     def __init__(self, base: int = 0, freed_after_ms: int = FREED_AFTER_MS) -> None:
         super().__init__(freed_after_ms)
         self.base = base
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.app = handle.getValueState(
-            "app", "app_id string, driver_host string, total int, initial int, last_known int, n bigint"
+            "app",
+            "app_id string, driver_host string, total int, initial int, last_known int, n bigint, messages bigint",
         )
         self.hosts = handle.getMapState("hosts", "executor_id string", "host string")
         self.states = (self.app, self.hosts)
@@ -75,8 +101,12 @@ class ScaleOutTracker(Ending):
         return host
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        old = self.app.get() if self.app.exists() else (None, None, 0, None, None, 0)
-        app_id, driver, total, initial, known, n = old
+        late = self._late(rows)
+        if late is not None:
+            yield late.assign(log_id=key[0], kind=LATE).reindex(columns=OUT_TRACKED).astype(WHOLE_TRACKED)
+            return
+        old = self.app.get() if self.app.exists() else (None, None, 0, None, None, 0, 0)
+        app_id, driver, total, initial, known, n, n_messages = old
         df = pd.concat(list(rows), ignore_index=True).sort_values(PLACE, ignore_index=True)
         app_id = df["app_id"].dropna().iloc[0] if df["app_id"].notna().any() else app_id
         driver = df["driver_host"].dropna().iloc[0] if df["driver_host"].notna().any() else driver
@@ -95,14 +125,21 @@ class ScaleOutTracker(Ending):
         last = pd.concat([_whole([known]), update]).ffill().iloc[1:].reset_index(drop=True)
         reported = alive.mask((kind == JOB_START) & first_job, first).mask(kind == APP_END, last)
 
+        is_message = kind.isin(MESSAGES)
+        numbers = _whole(n_messages - 1 + is_message.cumsum()).where(is_message)
+
         def plain(v):
             return None if pd.isna(v) else int(v)
 
-        self.app.update((app_id, driver, int(totals[-1]), plain(first.iloc[-1]), plain(last.iloc[-1]), n + len(df)))
+        self.app.update((
+            app_id, driver, int(totals[-1]), plain(first.iloc[-1]), plain(last.iloc[-1]), n + len(df),
+            n_messages + int(is_message.sum()),
+        ))
         self._ended(df, timerValues)
         out = df.drop(columns=[*PLACE, "app_id", "initial", "driver_host", "executor_id", "host", "delta"])
         out = out.assign(
-            log_id=key[0], app_id=app_id, seq=np.arange(n, n + len(df)), num_executors=reported, last_known=last
+            log_id=key[0], app_id=app_id, seq=np.arange(n, n + len(df)), message_no=numbers, num_executors=reported,
+            last_known=last,
         )
         yield out[OUT_TRACKED]
 
@@ -113,8 +150,12 @@ STAGE = [
     "cpu_utilization", "gc_time_ratio", "shuffle_read_write_ratio", "input_output_ratio", "memory_spill_ratio",
 ]
 OUT_TRACKED = [
-    "log_id", "app_id", "seq", "num_executors", "last_known", "kind", "t_ms", "job_id", "stage_ids", *STAGE,
+    "log_id", "app_id", "seq", "message_no", "num_executors", "last_known", "kind", "t_ms", "job_id", "stage_ids",
+    *STAGE,
 ]
+WHOLE_TRACKED = dict.fromkeys(("seq", "message_no", "num_executors", "last_known"), "Int64")
+MESSAGES = [APP_START, JOB_START, JOB_END, APP_END]
+LATE = "late"
 OUT_STAGE = [
     "app_id", "job_id", "app_time", "num_executors", "rescaling_time_ratio", *STAGE, "start_scale_out",
     "end_scale_out", "stage_rescaling_time_ratio",
@@ -125,11 +166,13 @@ class StagePairer(Ending):
     """Holds submitted stage attempts until they complete or the application is over."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.submitted = handle.getMapState("submitted", "stage_id int, attempt_id int", "submit_ms bigint")
         self.states = (self.submitted,)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self._late(rows) is not None:
+            return
         df = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
         pairs = []
         for row in df[df["kind"].isin([SUBMIT, COMPLETE])].itertuples():
@@ -146,38 +189,95 @@ class StagePairer(Ending):
             yield pd.DataFrame(pairs, columns=["app_id", "stage_id", "attempt_id", "submit_ms", "complete_ms"])
 
 
+class Points:
+    """Times of executor events in order, held by their number with running sums over ties.
+
+    Numbers grow with time, so a window's first and last event are found by bisection, and the sums between them by
+    subtraction.
+    """
+
+    def __init__(self, state) -> None:
+        self.state, self.seen = state, {}
+
+    def begin(self, low: int, high: int) -> None:
+        """Take up events ``low`` to ``high`` (not included) as held."""
+        self.low, self.high, self.seen = low, high, {}
+
+    def at(self, i: int) -> tuple[int, int, int]:
+        """Time of an event, and number and summed times of the ties up to it."""
+        if i not in self.seen:
+            self.seen[i] = tuple(self.state.getValue((i,)))
+        return self.seen[i]
+
+    def append(self, t: int) -> None:
+        before, ties, tie_ms = self.at(self.high - 1) if self.high > self.low else (None, 0, 0)
+        tied = int(before == t)
+        self.seen[self.high] = (t, ties + tied, tie_ms + tied * t)
+        self.state.updateValue((self.high,), self.seen[self.high])
+        self.high += 1
+
+    def first_from(self, t: int, low: int) -> int:
+        """The first event at ``t`` or later, from ``low`` on."""
+        high = self.high
+        while low < high:
+            middle = (low + high) // 2
+            if self.at(middle)[0] < t:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
+    def drop_before(self, t: int) -> None:
+        while self.low < self.high and self.at(self.low)[0] < t:
+            self.state.removeKey((self.low,))
+            self.low += 1
+
+    def ratio(self, start: int, end: int) -> float:
+        """Share of a window between its first and last event; an application's first event never counts."""
+        first = self.first_from(start, max(self.low, 1))
+        last = self.first_from(end + 1, first) - 1
+        if last < first:
+            return 0.0
+        (a, ties_a, ms_a), (b, ties_b, ms_b) = self.at(first), self.at(last)
+        return _ratio(b - a + (ties_b - ties_a) * end - (ms_b - ms_a), end - start)
+
+
 class JobEndCollector(Ending):
     """Holds the stages of running jobs, and emits a job's stages when it ends.
 
-    Executor events are kept only back to the start of the oldest job still running, since no stage of it was
-    submitted earlier. For the window from the application's start a job needs just the counters in
-    ``since_start``.
+    Rows of stages are held by job and number, so a batch reads and writes those of its own jobs only. Executor events
+    are kept back to the start of the oldest job still running, since no stage of it was submitted earlier; jobs stand
+    in a queue in the order of their starts, so the oldest is at its head. For the window from the application's start a
+    job needs just the counters in ``app``.
     """
 
+    APP = ["start", "seen", "first", "last", "ties", "tie_ms", "low", "high", "head", "tail"]
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.stage_jobs = handle.getMapState("stage_jobs", "stage_id int", "job_id int")
-        self.job_starts = handle.getMapState("job_starts", "job_id int", "start_ms bigint")
-        self.submits = handle.getListState(
-            "submits", "job_id int, stage_id int, name string, tasks int, parents array<int>, ms bigint, scale int"
+        self.jobs = handle.getMapState("jobs", "job_id int", "submits int, completes int")
+        self.listed = handle.getMapState("listed", "job_id int", "stages array<int>")
+        self.queue = handle.getMapState("queue", "place bigint", "job_id int, start_ms bigint")
+        self.submits = handle.getMapState(
+            "submits", "job_id int, n int",
+            "stage_id int, name string, tasks int, parents array<int>, ms bigint, scale int",
         )
-        self.completes = handle.getListState(
-            "completes",
-            "job_id int, stage_id int, attempt int, ms bigint, scale int, ratio double, reason string, "
-            "sizes array<bigint>, metrics array<double>",
-        )
-        self.points = handle.getListState("points", "ms bigint")
-        self.since_start = handle.getValueState(
-            "since_start",
-            "start bigint, seen bigint, dropped bigint, first bigint, last bigint, ties bigint, tie_ms bigint",
+        self.completes = handle.getMapState(
+            "completes", "job_id int, n int",
+            "stage_id int, attempt int, ms bigint, scale int, ratio double, reason string, sizes array<bigint>, "
+            "metrics array<double>",
         )
+        self.times = handle.getMapState("times", "place bigint", "ms bigint, ties bigint, tie_ms bigint")
+        self.app = handle.getValueState("app", ", ".join(f"{c} bigint" for c in self.APP))
         self.states = (
-            self.stage_jobs, self.job_starts, self.submits, self.completes, self.points, self.since_start,
+            self.stage_jobs, self.jobs, self.listed, self.queue, self.submits, self.completes, self.times, self.app,
         )
+        self.points = Points(self.times)
 
     def _count(self, t: int) -> None:
         """Take one executor event into the window that began with the application."""
-        s = self.job
+        s = self.held
         s["seen"] += 1
         if s["first"] is None:
             if s["seen"] > 1 and t >= s["start"]:
@@ -187,195 +287,325 @@ class JobEndCollector(Ending):
             s["tie_ms"] += t
         s["last"] = t
 
-    def _stage_ratio(self, points: list[int], start: int, end: int) -> float:
-        skip = 1 if self.job["dropped"] == 0 else 0  # the application's first event never counts
-        inside = [t for t in points[skip:] if start <= t <= end]
-        if not inside:
-            return 0.0
-        tied = sum(end - a for a, b in zip(inside, inside[1:]) if a == b)
-        return _ratio(inside[-1] - inside[0] + tied, end - start)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = ["start", "seen", "dropped", "first", "last", "ties", "tie_ms"]
-        old = self.since_start.get() if self.since_start.exists() else (None, 0, 0, None, None, 0, 0)
-        self.job = dict(zip(names, old))
-        points = [p[0] for p in self.points.get()]
-        submits, completes, out = list(self.submits.get()), list(self.completes.get()), []
+        if self._late(rows) is not None:
+            return
+        old = self.app.get() if self.app.exists() else (None, 0, None, None, 0, 0, 0, 0, 0, 0)
+        self.held = dict(zip(self.APP, old))
+        self.points.begin(self.held["low"], self.held["high"])
+        out = []
         df = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
         for row in df.itertuples():
             if row.kind == APP_START:
-                self.job["start"] = int(row.t_ms)
-                for t in points:
-                    self._count(t)
+                self.held["start"] = int(row.t_ms)
+                for i in range(self.points.low, self.points.high):
+                    self._count(self.points.at(i)[0])
             elif row.kind == EXECUTOR:
-                points.append(int(row.t_ms))
-                if self.job["start"] is not None:
-                    self._count(points[-1])
+                self.points.append(int(row.t_ms))
+                if self.held["start"] is not None:
+                    self._count(int(row.t_ms))
             elif row.kind == JOB_START:
-                self.job_starts.updateValue((int(row.job_id),), (int(row.t_ms),))
-                for stage in row.stage_ids:
-                    self.stage_jobs.updateValue((int(stage),), (int(row.job_id),))
+                self._start(int(row.job_id), int(row.t_ms), [int(i) for i in row.stage_ids])
             elif row.kind in (SUBMIT, COMPLETE):
-                stage = (int(row.stage_id),)
-                if not self.stage_jobs.containsKey(stage):
-                    continue
-                job = self.stage_jobs.getValue(stage)[0]
-                if row.kind == SUBMIT:
-                    submits.append((
-                        job, stage[0], row.stage_name, int(row.num_tasks), list(row.parent_stage_ids),
-                        int(row.submit_ms), int(row.last_known),
-                    ))
-                else:
-                    ratio = self._stage_ratio(points, int(row.submit_ms), int(row.complete_ms))
-                    completes.append((
-                        job, stage[0], int(row.attempt_id), int(row.complete_ms), int(row.last_known), ratio,
-                        row.failure_reason or "", [int(getattr(row, c)) for c in STAGE[8:12]],
-                        [float(getattr(row, c)) for c in STAGE[12:]],
-                    ))
+                self._take(row)
             elif row.kind == JOB_END:
-                mine = sorted((s for s in submits if s[0] == row.job_id), key=lambda s: s[1])
-                done = sorted((c for c in completes if c[0] == row.job_id), key=lambda c: c[1])
-                if len(mine) == len(done):  # other jobs are reported by the count check
-                    out.extend(self._rows(row, dict((s[1], (s, c)) for s, c in zip(mine, done))))
-                submits = [s for s in submits if s[0] != row.job_id]
-                completes = [c for c in completes if c[0] != row.job_id]
-                self._forget(int(row.job_id))
-        self._keep(points, submits, completes, int(df["t_ms"].max()), names)
+                out.extend(self._end(row))
+        self._drop(int(df["t_ms"].max()))
+        self.held |= {"low": self.points.low, "high": self.points.high}
+        self.app.update(tuple(self.held[n] for n in self.APP))
         self._ended(df, timerValues)
         if out:
             frame = pd.DataFrame(out, columns=OUT_STAGE[1:])
             yield frame.assign(app_id=key[0])[OUT_STAGE]
 
-    def _keep(self, points: list, submits: list, completes: list, now: int, names: list[str]) -> None:
-        oldest = min((start for _, (start,) in self.job_starts.iterator()), default=now)
-        if self.job["start"] is not None:
-            kept = [t for t in points if t >= oldest]
-            self.job["dropped"] += len(points) - len(kept)
-            points = kept
-        self._store(self.submits, submits)
-        self._store(self.completes, completes)
-        self._store(self.points, [(t,) for t in points])
-        self.since_start.update(tuple(self.job[n] for n in names))
+    def _start(self, job: int, t_ms: int, stages: list[int]) -> None:
+        if self.jobs.containsKey((job,)):
+            earlier = [int(i) for i in self.listed.getValue((job,))[0]]
+            self.listed.updateValue((job,), ([*earlier, *stages],))
+        else:
+            self.jobs.updateValue((job,), (0, 0))
+            self.listed.updateValue((job,), (stages,))
+            self.queue.updateValue((self.held["tail"],), (job, t_ms))
+            self.held["tail"] += 1
+        for stage in stages:
+            self.stage_jobs.updateValue((stage,), (job,))
+
+    def _take(self, row) -> None:
+        """A submitted or completed stage, held with its job."""
+        stage = int(row.stage_id)
+        if not self.stage_jobs.containsKey((stage,)):
+            return
+        job = int(self.stage_jobs.getValue((stage,))[0])
+        if not self.jobs.containsKey((job,)):
+            return
+        submits, completes = self.jobs.getValue((job,))
+        if row.kind == SUBMIT:
+            self.submits.updateValue((job, submits), (
+                stage, row.stage_name, int(row.num_tasks), [int(i) for i in row.parent_stage_ids], int(row.submit_ms),
+                int(row.last_known),
+            ))
+            submits += 1
+        else:
+            self.completes.updateValue((job, completes), (
+                stage, int(row.attempt_id), int(row.complete_ms), int(row.last_known),
+                self.points.ratio(int(row.submit_ms), int(row.complete_ms)), row.failure_reason or "",
+                [int(getattr(row, c)) for c in STAGE[8:12]], [float(getattr(row, c)) for c in STAGE[12:]],
+            ))
+            completes += 1
+        self.jobs.updateValue((job,), (submits, completes))
+
+    def _end(self, row) -> list[tuple]:
+        job = int(row.job_id)
+        if not self.jobs.containsKey((job,)):
+            return []
+        n_submits, n_completes = self.jobs.getValue((job,))
+        listed = self.listed.getValue((job,))[0]
+        mine, done = [], []
+        for state, n, found in ((self.submits, n_submits, mine), (self.completes, n_completes, done)):
+            for i in range(n):
+                found.append(tuple(state.getValue((job, i))))
+                state.removeKey((job, i))
+        self.jobs.removeKey((job,))
+        self.listed.removeKey((job,))
+        for stage in dict.fromkeys(int(i) for i in listed):
+            if self.stage_jobs.containsKey((stage,)) and self.stage_jobs.getValue((stage,))[0] == job:
+                self.stage_jobs.removeKey((stage,))
+        if len(mine) != len(done):  # such jobs are reported by the count check
+            return []
+        by_stage = lambda x: x[0]
+        return self._rows(row, {b[0]: (b, c) for b, c in zip(sorted(mine, key=by_stage), sorted(done, key=by_stage))})
+
+    def _drop(self, now: int) -> None:
+        """Forget executor events from before the oldest running job."""
+        while self.held["head"] < self.held["tail"]:
+            job, start = self.queue.getValue((self.held["head"],))
+            if self.jobs.containsKey((job,)):
+                now = min(now, start)
+                break
+            self.queue.removeKey((self.held["head"],))
+            self.held["head"] += 1
+        if self.held["start"] is not None:
+            self.points.drop_before(now)
 
     def _rows(self, row, stages) -> list[tuple]:
-        s, end = self.job, int(row.t_ms)
+        s, end = self.held, int(row.t_ms)
         length = 0
         if s["first"] is not None:
             length = s["last"] - s["first"] + s["ties"] * end - s["tie_ms"]
         ratio = _ratio(length, end - s["start"])
         head = (int(row.job_id), end, int(row.num_executors), ratio)
         return [
-            (*head, b[1], c[2], b[2], b[3], b[4], b[5], c[3], c[6], *c[7], *c[8], b[6], c[4], c[5])
+            (*head, b[0], c[1], b[1], b[2], list(b[3]), b[4], c[2], c[5], *c[6], *c[7], b[5], c[3], c[4])
             for b, c in stages.values()
         ]
 
-    def _forget(self, job_id: int) -> None:
-        if self.job_starts.containsKey((job_id,)):
-            self.job_starts.removeKey((job_id,))
-        for (stage,), (job,) in list(self.stage_jobs.iterator()):
-            if job == job_id:
-                self.stage_jobs.removeKey((stage,))
 
-    @staticmethod
-    def _store(state, values: list) -> None:
-        if values:
-            state.put(values)
+class StartComposer(Ending):
+    """An application's start and its settings, from two lines of its log that may arrive apart, in any order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.seen = handle.getValueState("seen", "app_id string, app_time bigint, settings string")
+        self.states = (self.seen,)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self._late(rows) is not None:  # the start was given out, or the application is over
+            return
+        app_id, app_time, settings = self.seen.get() if self.seen.exists() else (None, None, None)
+        for row in pd.concat(list(rows), ignore_index=True).sort_values(PLACE).itertuples():
+            if row.kind == APP_START and app_id is None:
+                app_id, app_time = row.app_id, int(row.t_ms)
+            elif row.kind == APP_END and app_id is not None and settings is None:
+                app_id = None
+                self._forget_all()
+                return
+            elif settings is None and isinstance(row.settings, str):
+                settings = row.settings
+        if app_id is not None and settings is not None:
+            self._forget_all()
+            yield pd.DataFrame([(app_id, app_time, settings)], columns=["app_id", "app_time", "settings"])
+        else:
+            self.seen.update((app_id, app_time, settings))
+
+
+class InOrder(Ending):
+    """Rows of an application given out by their number, each once those before it are out.
+
+    A row waits for its turn, and for what else it needs, until a timer of its own goes off; then it goes with what
+    there is, and those before it that never came are passed over. One that comes after it was passed over is late.
+    The timer counts from when the row was read, so no traffic is needed to set waiting rows free.
+    """
+
+    ROW = ""  # fields of a waiting row, the first its number, the last when it is due
+
+    def __init__(self, wait_ms: int, remembered_ms: int = REMEMBERED_MS) -> None:
+        super().__init__(remembered_ms=remembered_ms)
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "number bigint", self.ROW)
+        self.next = handle.getValueState("next", "number bigint, last bigint")
+        self.states = (self.waiting, self.next)
+
+    def _hold(self, rows: list[tuple], timerValues) -> list[tuple]:
+        """Let rows wait; returns those that were passed over before."""
+        due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+        number, last = self.next.get() if self.next.exists() else (0, -1)
+        late = [r for r in rows if r[0] < number]
+        rows = [r for r in rows if r[0] >= number]
+        for row in rows:
+            self.waiting.updateValue((row[0],), (*row[1:], due))
+        if rows:
+            self.next.update((number, max(last, *(r[0] for r in rows))))
+            self.handle.registerTimer(due)
+        return late
+
+    def _free(self, now: int) -> Iterator[tuple]:
+        """Rows whose turn it is, in order."""
+        if not self.next.exists():
+            return
+        number, last = self.next.get()
+        while number <= last:
+            at = number
+            while not self.waiting.containsKey((at,)):  # not read yet; ``last`` is there
+                at += 1
+            row = (at, *self.waiting.getValue((at,)))
+            if row[-1] > now and (at > number or not self._ready(row)):
+                break
+            self.waiting.removeKey((at,))
+            number = at + 1
+            yield row[:-1]
+        if number > last and self.finished:
+            self._forget_all()
         else:
-            state.clear()
+            self.next.update((number, last))
 
-    def close(self) -> None:
-        pass
+    def _ready(self, row: tuple) -> bool:
+        return True
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        return self._out(key, now, [])
 
 
-class AnswerMatcher(StatefulProcessor):
+class AnswerMatcher(InOrder):
     """Gives each message its first answer in time, and gives messages out in their order.
 
-    A message waits until its answer is there or the application's own clock, the latest time of its messages and
-    answers, has passed the timeout by ``late_ms``; messages behind it wait with it. Other applications do not
-    matter. Repeated answers to one message are taken to arrive in their order. A row of type HEARTBEAT only moves
-    the clock. State goes once the application's end was given out.
+    A message waits for its answer for ``wait_ms`` from when it was read, messages behind it wait with it; then it goes
+    without one. An answer that says it was given later than ``timeout_ms`` after the message sets it free at once.
+    Repeated answers to one message are taken to arrive in their order; answers from before the message are no answers
+    to it. State goes once the application's end was given out.
     """
 
     MESSAGE = ["event_type", "job_id", "t_ms", "seq", "num_executors", "last_known"]
+    ROW = ("event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, last_known int, due bigint")
 
-    def __init__(self, timeout_ms: int, late_ms: int) -> None:
-        self.timeout_ms, self.late_ms = timeout_ms, late_ms
+    def __init__(self, timeout_ms: int, wait_ms: int) -> None:
+        super().__init__(wait_ms)
+        self.timeout_ms = timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getListState(
-            "waiting",
-            "event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, last_known int",
-        )
+        super().init(handle)
         self.answers = handle.getMapState(
             "answers", "event_type string, job_id int", "answered_ms bigint, recommended_scale_out int"
         )
-        self.clock = handle.getValueState("clock", "t_ms bigint")
+        self.states = (self.waiting, self.next, self.answers)
+
+    def _answer(self, row: tuple) -> tuple[int, int] | None:
+        name = (row[1], -1 if row[2] is None else int(row[2]))
+        if not self.answers.containsKey(name):
+            return None
+        found = tuple(self.answers.getValue(name))
+        if found[0] < row[3]:
+            self.answers.removeKey(name)
+            return None
+        return found
+
+    def _ready(self, row: tuple) -> bool:
+        return self._answer(row) is not None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.over.exists():
+            self._late(rows)
+            return iter([])
         df = pd.concat(list(rows), ignore_index=True)
-        now = int(df[["t_ms", "answered_ms"]].max(axis=None))
-        if self.clock.exists():
-            now = max(now, self.clock.get()[0])
-        answered = df[df["answered_ms"].notna()].sort_values("answered_ms")
-        for row in answered.itertuples():
+        for row in df[df["answered_ms"].notna()].sort_values("answered_ms").itertuples():
             name = (row.event_type, -1 if pd.isna(row.job_id) else int(row.job_id))
             if not self.answers.containsKey(name) or row.answered_ms < self.answers.getValue(name)[0]:
                 self.answers.updateValue(name, (int(row.answered_ms), int(row.recommended_scale_out)))
-        sent = df[df["answered_ms"].isna() & (df["event_type"] != "HEARTBEAT")]
+        sent = df[df["answered_ms"].isna()]
         new = [
-            (event_type, *(None if pd.isna(v) else int(v) for v in numbers))
-            for event_type, *numbers in sent[self.MESSAGE].itertuples(index=False)
+            (int(number), event_type, *(None if pd.isna(v) else int(v) for v in numbers))
+            for number, event_type, *numbers in sent[["message_no", *self.MESSAGE]].itertuples(index=False)
         ]
-        waiting = sorted([*self.waiting.get(), *new], key=lambda m: m[3])
-        out = []
-        while waiting:
-            event_type, job_id, t_ms = waiting[0][:3]
-            name = (event_type, -1 if job_id is None else int(job_id))
-            found = self.answers.getValue(name) if self.answers.containsKey(name) else None
-            in_time = found is not None and t_ms <= found[0] <= t_ms + self.timeout_ms
-            if not in_time and now <= t_ms + self.timeout_ms + self.late_ms:
-                break
-            if found is not None:
-                self.answers.removeKey(name)
-            out.append((key[0], *waiting.pop(0), found[1] if in_time else None))
-        if out and out[-1][1] == "APPLICATION_END" and not waiting:
-            for state in (self.waiting, self.answers, self.clock):
-                state.clear()
-        else:
-            self.clock.update((now,))
-            if waiting:
-                self.waiting.put([tuple(m) for m in waiting])
-            else:
-                self.waiting.clear()
+        late = self._hold(new, timerValues)
+        return self._out(key, timerValues.getCurrentProcessingTimeInMs(), late)
+
+    def _out(self, key, now: int, late: list[tuple]) -> Iterator[pd.DataFrame]:
+        self.finished, out = False, []
+        for row in late:
+            out.append((key[0], *row, self._scale(row)))
+        free = self._free(now)
+        for row in free:
+            self.finished = row[1] == "APPLICATION_END"
+            out.append((key[0], *row, self._scale(row)))
         if out:
-            frame = pd.DataFrame(out, columns=["app_id", *self.MESSAGE, "recommended_scale_out"])
+            frame = pd.DataFrame(out, columns=["app_id", "message_no", *self.MESSAGE, "recommended_scale_out"])
             whole = ["job_id", "num_executors", "last_known", "recommended_scale_out"]
             yield frame.astype({c: "Int64" for c in whole})
 
-    def close(self) -> None:
-        pass
+    def _scale(self, row: tuple) -> int | None:
+        found = self._answer(row)
+        if found is None:
+            return None
+        self.answers.removeKey((row[1], -1 if row[2] is None else int(row[2])))
+        return found[1] if found[0] <= row[3] + self.timeout_ms else None
+
 
+class DecisionClock(InOrder):
+    """Grants a candidate if the one before it lies at least the gap behind; messages are taken in their order.
 
-class DecisionClock(StatefulProcessor):
-    """Grants a candidate if the one before it lies at least the gap behind. Rows come in order."""
+    Messages that are no candidates only keep the count. A candidate that comes after it was passed over is ``late``.
+    """
+
+    ROW = "event_type string, job_id int, t_ms bigint, seq bigint, effective_scale_out int, candidate boolean, due bigint"
+    OUT = ["app_id", "event_type", "job_id", "t_ms", "seq", "effective_scale_out", "waited_ms", "decision"]
 
-    def __init__(self, min_gap_ms: int) -> None:
+    def __init__(self, min_gap_ms: int, wait_ms: int) -> None:
+        super().__init__(wait_ms)
         self.min_gap_ms = min_gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.previous = handle.getValueState("previous", "t_ms bigint")
+        self.states = (self.waiting, self.next, self.previous)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-        before = _whole([self.previous.get()[0] if self.previous.exists() else None])
-        times = pd.concat([before, _whole(df["t_ms"])], ignore_index=True)
-        df["waited_ms"] = _whole(df["t_ms"]) - times.iloc[:-1].reset_index(drop=True)
-        df["decision"] = np.where(df["waited_ms"].fillna(0) < self.min_gap_ms, "suppressed", "requested")
-        if df["event_type"].iloc[-1] == "APPLICATION_END":
-            self.previous.clear()
+        df = pd.concat(list(rows), ignore_index=True)
+        taken = []
+        for row in df.itertuples():
+            job, scale = (None if pd.isna(v) else int(v) for v in (row.job_id, row.effective_scale_out))
+            taken.append((int(row.message_no), row.event_type, job, int(row.t_ms), int(row.seq), scale, bool(row.candidate)))
+        if self.over.exists():
+            self.over.update((self.over.get()[0] + len(taken),))
+            late = taken
         else:
-            self.previous.update((int(df["t_ms"].iloc[-1]),))
-        yield df[~df["event_type"].isin(["APPLICATION_START", "APPLICATION_END"])]
-
-    def close(self) -> None:
-        pass
+            late = self._hold(taken, timerValues)
+        return self._out(key, timerValues.getCurrentProcessingTimeInMs(), late)
+
+    def _out(self, key, now: int, late: list[tuple]) -> Iterator[pd.DataFrame]:
+        out = [(key[0], *row[1:-1], None, "late") for row in late if row[-1]]
+        self.finished = False
+        previous = self.previous.get()[0] if self.previous.exists() else None
+        for row in self._free(now):
+            self.finished = row[1] == "APPLICATION_END"
+            if row[-1]:
+                waited = 0 if previous is None else row[3] - previous
+                out.append((key[0], *row[1:-1], waited, "suppressed" if waited < self.min_gap_ms else "requested"))
+            if row[-1] or row[1] == "APPLICATION_START":
+                previous = row[3]
+                self.previous.update((previous,))
+        if out:
+            frame = pd.DataFrame(out, columns=self.OUT)
+            yield frame.astype({c: "Int64" for c in ("job_id", "effective_scale_out", "waited_ms")})

@@ -3,32 +3,39 @@
 Segments are closed files. Each stage of the chain is one streaming query with its own checkpoint,
 and the files it writes are the next one's source:
 
-    log segments -> parsed lines -> tracked events -> stage pairs, job ends, messages
-    messages + answers -> effective recommendations -> decisions
+    log segments -> parsed lines -> tracked events -> stage pairs, job ends
+                                 -> application starts
+    tracked events, job ends, application starts -> messages, each once
+    answer lines -> answers, rejected lines
+    sent messages + answers -> effective recommendations -> decisions
 
 State is kept per log. The rows a micro-batch has of one log are sorted inside the processor, so
-``files_per_trigger`` bounds them; file order within an application decides. There is no clock over applications,
-so that logs may arrive in any order and at any age. An application's state goes an hour after its end was read.
+``files_per_trigger`` bounds them; file order within an application decides. The tracker numbers the messages of a log,
+and what follows it goes by these numbers, so that its files may be read in any order. There is no clock over
+applications: logs may arrive in any order and at any age. An application's state goes an hour after its end was read;
+lines that arrive later are counted.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescale.operators import decisions, messages
+from telescale.operators import decisions, messages, specs
 from telescale.operators.scaleout import (
     APP_END, APP_START, COMPLETE, EXECUTOR, JOB_END, JOB_START, SUBMIT,
 )
 from telescale.operators.stages import metric_ratios
-from telescale.settings import MIN_REQUEST_GAP_MS, RESPONSE_TIMEOUT_MS
-from telescale.sources import event_log
+from telescale.settings import MIN_REQUEST_GAP_MS, OPTIONAL_KEYS, REQUIRED_KEYS, RESPONSE_TIMEOUT_MS
+from telescale.sources import event_log, recommendations
 from telescale.streaming.processors import (
-    PLACE, AnswerMatcher, DecisionClock, JobEndCollector, ScaleOutTracker, StagePairer,
+    LATE, PLACE, AnswerMatcher, DecisionClock, JobEndCollector, ScaleOutTracker, StagePairer, StartComposer,
 )
 
-#: How long answers may trail behind the other messages of their application.
-LATE_ANSWERS_MS = 3_600_000
+#: How long after its time limit an answer may still be on its way, and how long messages may be read out of order.
+LAG_MS = 30_000
 
 KINDS = {
     "EnvironmentUpdate": "environment", "ApplicationStart": APP_START, "ApplicationEnd": APP_END,
@@ -43,10 +50,14 @@ STAGE_FIELDS = (
     "memory_spill_ratio double"
 )
 EVENT_FIELDS = f"kind string, t_ms bigint, job_id int, stage_ids array<int>, {STAGE_FIELDS}"
-TRACKED = f"log_id string, app_id string, seq bigint, num_executors int, last_known int, {EVENT_FIELDS}"
+TRACKED = (
+    f"log_id string, app_id string, seq bigint, message_no bigint, num_executors int, last_known int, {EVENT_FIELDS}"
+)
 MESSAGE = (
-    "app_id string, event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, last_known int"
+    "app_id string, message_no bigint, event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, "
+    "last_known int"
 )
+START = "app_id string, app_time bigint, settings string"
 RESPONSE = "app_id string, event_type string, job_id int, answered_ms bigint, recommended_scale_out int"
 STAGE_OUT = (
     f"job_id int, app_time bigint, num_executors int, rescaling_time_ratio double, {STAGE_FIELDS}, "
@@ -119,12 +130,36 @@ def stream_app_state(events: DataFrame, base: int = 0) -> DataFrame:
 
 def stream_job_end(tracked: DataFrame) -> DataFrame:
     """Rows of ended jobs, one per stage, emitted at the job's end; its state is dropped then."""
-    return tracked.groupBy("app_id").transformWithStateInPandas(
+    return tracked.filter(F.col("kind") != LATE).groupBy("app_id").transformWithStateInPandas(
         JobEndCollector(), outputStructType=f"app_id string, {STAGE_OUT}", outputMode="Append",
         timeMode="ProcessingTime",
     )
 
 
+def late_rows(tracked: DataFrame) -> DataFrame:
+    """How many lines of each log arrived after its state was freed, and the latest time among them."""
+    late = tracked.filter(F.col("kind") == LATE).groupBy("log_id")
+    return late.agg(F.count("*").alias("n_late"), F.max("t_ms").alias("last_ms"))
+
+
+def start_lines(parsed: DataFrame) -> DataFrame:
+    """The lines that make up an application's start, with the settings that specifications read as JSON."""
+    rows = parsed.filter(F.col("event").isin("EnvironmentUpdate", "ApplicationStart", "ApplicationEnd"))
+    known = F.map_filter("e.`Spark Properties`", lambda k, _: k.isin([*REQUIRED_KEYS, *OPTIONAL_KEYS]))
+    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    return rows.select(
+        "log_id", *PLACE, names[F.col("event")].alias("kind"), F.col("e.`App ID`").alias("app_id"),
+        F.col("e.Timestamp").alias("t_ms"), F.to_json(known).alias("settings"),
+    )
+
+
+def stream_app_starts(lines: DataFrame) -> DataFrame:
+    """Start of each application with its settings, once both of its lines have arrived."""
+    return lines.groupBy("log_id").transformWithStateInPandas(
+        StartComposer(), outputStructType=START, outputMode="Append", timeMode="ProcessingTime"
+    )
+
+
 def stream_stage_pairs(tracked: DataFrame) -> DataFrame:
     """Submit and completion of each stage attempt, held per application for as long as it runs."""
     out = "app_id string, stage_id int, attempt_id int, submit_ms bigint, complete_ms bigint"
@@ -138,51 +173,88 @@ def message_rows(tracked: DataFrame) -> DataFrame:
     types = {APP_START: "APPLICATION_START", APP_END: "APPLICATION_END", JOB_START: "JOB_START", JOB_END: "JOB_END"}
     names = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     return tracked.filter(F.col("kind").isin(*types)).select(
-        "app_id", names[F.col("kind")].alias("event_type"), "job_id", "t_ms", "seq", "num_executors", "last_known"
+        "app_id", "message_no", names[F.col("kind")].alias("event_type"), "job_id", "t_ms", "seq", "num_executors",
+        "last_known",
     )
 
 
-def stream_message_lines(tracked: DataFrame) -> DataFrame:
-    """Envelopes of job starts and application ends; job ends follow from ``stream_job_end``."""
-    app = F.col("app_id")
-    starts = messages.message_lines(messages.job_start_records(tracked), "JOB_START", app)
-    return starts.unionByName(messages.message_lines(messages.app_end_records(tracked), "APPLICATION_END", app))
+def start_messages(starts: DataFrame) -> DataFrame:
+    """Envelopes of application starts, with their keys."""
+    records = messages.app_start_records(
+        starts.select("app_id", "app_time"),
+        starts.select("app_id", F.from_json("settings", "map<string, string>").alias("settings")),
+    )
+    return messages.keyed_lines(records, "APPLICATION_START", F.col("application_id"))
+
+
+def tracked_messages(tracked: DataFrame) -> DataFrame:
+    """Envelopes of job starts and application ends, with their keys."""
+    starts = messages.keyed_lines(messages.job_start_records(tracked), "JOB_START", named=True)
+    return starts.unionByName(messages.keyed_lines(messages.app_end_records(tracked), "APPLICATION_END", named=True))
+
+
+def job_end_messages(rows: DataFrame) -> DataFrame:
+    """Envelopes of job ends, with their keys, from rows of ``stream_job_end`` that hold whole jobs."""
+    rows = rows.withColumnsRenamed({"submit_ms": "start_time", "complete_ms": "end_time"})
+    records = messages.job_end_records(rows.withColumn("stage_id", F.col("stage_id").cast("string")), hot=False)
+    return messages.keyed_lines(records, "JOB_END", named=True)
 
 
 def stream_response_timeout(
-    sent: DataFrame, responses: DataFrame, timeout_ms: int = RESPONSE_TIMEOUT_MS, late_ms: int = LATE_ANSWERS_MS
+    sent: DataFrame, responses: DataFrame, timeout_ms: int = RESPONSE_TIMEOUT_MS, wait_ms: int | None = None
 ) -> DataFrame:
     """Messages with their first answer if it was given in time, else with the fallback, in order per application.
 
-    A message is given up once its application's own latest time lies ``late_ms`` behind the timeout.
+    A message is given up ``wait_ms`` after it was read, by a timer of its own; that is the time limit and a lag.
     """
     messages_in = sent.select(
-        "app_id", *AnswerMatcher.MESSAGE, F.lit(None).cast("bigint").alias("answered_ms"),
+        "app_id", "message_no", *AnswerMatcher.MESSAGE, F.lit(None).cast("bigint").alias("answered_ms"),
         F.lit(None).cast("int").alias("recommended_scale_out"),
     )
     rows = messages_in.unionByName(responses.select(
         "app_id", "event_type", "job_id", "answered_ms", "recommended_scale_out"
     ), allowMissingColumns=True)
+    wait_ms = timeout_ms + LAG_MS if wait_ms is None else wait_ms
     matched = rows.groupBy("app_id").transformWithStateInPandas(
-        AnswerMatcher(timeout_ms, late_ms), outputStructType=f"{MESSAGE}, recommended_scale_out int",
-        outputMode="Append", timeMode="None",
+        AnswerMatcher(timeout_ms, wait_ms), outputStructType=f"{MESSAGE}, recommended_scale_out int",
+        outputMode="Append", timeMode="ProcessingTime",
     )
     return decisions.effective_recommendation(matched)
 
 
-def stream_scale_decisions(effective: DataFrame, min_gap_ms: int = MIN_REQUEST_GAP_MS) -> DataFrame:
-    """Decision on each candidate, from the time of the one before it kept in state."""
-    border = F.col("event_type").isin("APPLICATION_START", "APPLICATION_END")
-    rows = effective.filter(border | decisions.is_candidate()).select(
-        "app_id", "event_type", "job_id", "t_ms", "seq", F.col("effective_scale_out").cast("int")
+def stream_scale_decisions(
+    effective: DataFrame, min_gap_ms: int = MIN_REQUEST_GAP_MS, wait_ms: int = LAG_MS
+) -> DataFrame:
+    """Decision on each candidate, from the time of the one before it kept in state.
+
+    Messages are taken by their numbers; one that is missing is waited for up to ``wait_ms``.
+    """
+    rows = effective.select(
+        "app_id", "message_no", "event_type", "job_id", "t_ms", "seq", F.col("effective_scale_out").cast("int"),
+        F.coalesce(decisions.is_candidate(), F.lit(False)).alias("candidate"),
     )
     out = "app_id string, event_type string, job_id int, t_ms bigint, seq bigint, effective_scale_out int, " \
           "waited_ms bigint, decision string"
     return rows.groupBy("app_id").transformWithStateInPandas(
-        DecisionClock(min_gap_ms), outputStructType=out, outputMode="Append", timeMode="None"
+        DecisionClock(min_gap_ms, wait_ms), outputStructType=out, outputMode="Append", timeMode="ProcessingTime"
     )
 
 
+def answer_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a recommender as they arrive, in closed files."""
+    return spark.readStream.option("recursiveFileLookup", "true").text(folder)
+
+
+def stream_answers(lines: DataFrame) -> DataFrame:
+    """Answers that can be read and name their message; the other lines are in ``stream_rejects``."""
+    return recommendations.scan_answers(lines)
+
+
+def stream_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that give no answer to a message, with the reason. Run it under a checkpoint of its own."""
+    return recommendations.rejected_answers(lines)
+
+
 def to_files(rows: DataFrame, out: str, checkpoint: str):
     return rows.writeStream.format("parquet").option("path", out).option(
         "checkpointLocation", checkpoint
@@ -202,3 +274,28 @@ def run_available(spark: SparkSession, writer) -> None:
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(key, before)
+
+
+def run_settled(writer, wait_ms: int, at_most_s: int = 600) -> None:
+    """Process everything that is there and go on until timers of ``wait_ms`` have gone off, then stop.
+
+    In service a query just runs on; this is for those that are started now and then.
+    """
+    query = writer.trigger(processingTime="0 seconds").start()
+    give_up, quiet_since = time.monotonic() + at_most_s, None
+    try:
+        while time.monotonic() < give_up:
+            time.sleep(0.1)
+            if query.exception() is not None:
+                raise query.exception()
+            done = query.lastProgress
+            if done is None or done["numInputRows"]:
+                quiet_since = None
+            elif quiet_since is None:
+                quiet_since = time.monotonic()
+            # A batch that began after the last timer was due has set free what waited.
+            elif time.monotonic() > quiet_since + wait_ms / 1000 + 2 * done["batchDuration"] / 1000 + 1:
+                return
+        raise TimeoutError("rows were still coming")
+    finally:
+        query.stop()

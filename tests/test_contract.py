@@ -59,3 +59,22 @@ def test_one_shuffle_serves_a_chain_of_windows(spark):
     assert text.count("Exchange hashpartitioning") == 1
     assert "PushedFilters: [In(event_type, [error,signup])]" in text
     assert "value" not in text.split("ReadSchema")[1].split(">")[0]
+
+
+@pytest.mark.parametrize("name, scans, exchanges", [
+    ("job_end_records", 6, 8), ("stage_features", 6, 8), ("effective_recommendation", 4, 8), ("scale_decisions", 4, 8),
+])
+def test_events_are_read_few_times(spark, name, scans, exchanges):
+    text = plan(queries()[name](spark, SF))
+    assert text.count("FileScan") <= scans and text.count("Exchange") <= exchanges
+
+
+SF_MORE = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", [
+    "missing_required_config", "app_start_records", "job_end_records", "stage_features", "effective_recommendation",
+    "scale_decisions", "sink_messages", "host_disk_total",
+])
+def test_query_equals_sql_on_more_rows(spark, name):
+    assert differences(spark, duck(SF_MORE), name, SF_MORE) is None
