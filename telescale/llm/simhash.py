@@ -1,25 +1,26 @@
 """SimHash near duplicates through a hierarchical index of fingerprints in Gray order.
 
-Two fingerprints that differ in at most four bits agree in at least two of six blocks of bits. So each fingerprint
-goes to fifteen cells, one for each pair of blocks, and links are searched within cells. In a cell the fingerprints
-are sorted by Gray rank, which brings those with common patterns together. Groups of neighbours become nodes that
-hold the bits all members share (a mask and their values); groups of nodes become upper nodes in the same way. Two
-nodes whose shared bits differ in more than four places hold no link, so the pair is dropped with all below it;
-what is left is compared bit by bit.
-
-A cell gives no more links than its fingerprints need to hang together, and a pair of groups that already hangs
-together is not compared again. Cells of many fingerprints are cut into parts, and each pair of parts is searched
-on its own.
+Fingerprints are sorted by Gray rank, which brings those with common patterns together. Groups of neighbours become
+nodes that hold the bits all members share (a mask and their values); groups of nodes become upper nodes in the same
+way, up to a few top nodes. Nodes are matched against nodes from the top down: if the bits that two share differ in more
+than four places, no fingerprints below them are linked, and the pair is dropped with all below it; what is left is
+compared bit by bit. A pair of nodes that already hangs together is not looked at again.
+
+An index holds at most ``PART`` fingerprints, one task's worth. More of them are dealt to cells first, so that an index
+of some thousands does the search in each: of five blocks of bits, two fingerprints that differ in four bits at most
+agree in one, so each fingerprint goes to five cells, by the hash of a block over as many cells as bring them down to
+size. A cell that is still too large is refined in the same way by its other bits; only what even that leaves crowded is
+cut into parts, and each pair of parts gets an index. Every linked pair meets in a cell, so links are exact at every size.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telescale.llm.graph import components
@@ -28,11 +29,14 @@ from telescale.llm.texts import map_texts, set_checkpoint_dir
 SHINGLE = 4
 SEED = 42
 DISTANCE = 4
-BLOCKS = (11, 11, 11, 11, 10, 10)  # widths, from the lowest bit
-LEAF = 16
-FAN_OUT = 16
-#: Fingerprints of a part of a cell.
-PART = 2048
+#: Fingerprints of a leaf, and nodes below a node.
+LEAF = 2
+FAN_OUT = 4
+#: Fingerprints of an index, at most, and what refining aims at.
+PART = 16_384
+AIM = 6_000
+#: Pairs of nodes that are unfolded at once.
+PAIRS_AT_ONCE = 1 << 14
 
 #: The bits of each byte, lowest first.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -96,37 +100,49 @@ class Forest:
                 self.root = lower
 
 
-def search(fps: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
-    """For distinct fingerprints in Gray order: the place of the first one that each hangs together with."""
+def search(fps: np.ndarray, distance: int = DISTANCE, seen: Counter | None = None) -> np.ndarray:
+    """For distinct fingerprints in Gray order: the place of the first one that each hangs together with.
+
+    ``seen`` counts, for each level, pairs of nodes that were tested, dropped for their differences, and passed over.
+    """
     n = len(fps)
     forest = Forest(n)
     levels = [(np.full(n, ~np.uint64(0)), fps, 1)]
-    for size in (LEAF, FAN_OUT):
+    while len(levels) < 2 or len(levels[-1][1]) > FAN_OUT:
         masks, values, rows = levels[-1]
-        levels.append((*shared_bits(masks, values, size), rows * size))
+        fan = LEAF if len(levels) == 1 else FAN_OUT
+        levels.append((*shared_bits(masks, values, fan), rows * fan))
     top = len(levels[-1][1])
-    for first in range(top):  # pairs of top nodes, those of one node at a time
-        pairs = np.array([[first, other] for other in range(first, top)])
-        for depth in (2, 1, 0):
-            masks, values, rows = levels[depth]
-            a, b = pairs[:, 0], pairs[:, 1]
-            apart = np.bitwise_count((values[a] ^ values[b]) & masks[a] & masks[b])
-            pairs = pairs[apart <= distance]
-            if not len(pairs):
-                break
-            if depth == 0:
-                forest.link(pairs[:, 0], pairs[:, 1])
-            else:
-                pairs = _unfold(pairs, forest, rows, levels[depth - 1], n)
+    a, b = np.triu_indices(top)
+    _descend(np.stack([a, b], axis=1), len(levels) - 1, levels, forest, distance, Counter() if seen is None else seen)
     return forest.root
 
 
-def _unfold(pairs: np.ndarray, forest: Forest, rows: int, below: tuple, n: int) -> np.ndarray:
+def _descend(pairs: np.ndarray, depth: int, levels: list, forest: Forest, distance: int, seen: Counter) -> None:
+    """Match pairs of nodes of one level, then those below the pairs that are left, some at a time."""
+    masks, values, rows = levels[depth]
+    a, b = pairs[:, 0], pairs[:, 1]
+    near = np.bitwise_count((values[a] ^ values[b]) & masks[a] & masks[b]) <= distance
+    seen[depth, "tested"] += len(pairs)
+    seen[depth, "dropped"] += len(pairs) - int(near.sum())
+    pairs = pairs[near]
+    if depth == 0:
+        forest.link(pairs[:, 0], pairs[:, 1])
+        return
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        some = pairs[at:at + PAIRS_AT_ONCE]
+        below = _unfold(some, forest, rows, levels[depth - 1], len(levels[0][1]), seen, depth)
+        if len(below):
+            _descend(below, depth - 1, levels, forest, distance, seen)
+
+
+def _unfold(pairs: np.ndarray, forest: Forest, rows: int, below: tuple, n: int, seen: Counter, depth: int) -> np.ndarray:
     """Pairs of the nodes below; none where all fingerprints of both nodes hang together already."""
     starts = np.arange(0, n, rows)
     low, high = np.minimum.reduceat(forest.root, starts), np.maximum.reduceat(forest.root, starts)
     a, b = pairs[:, 0], pairs[:, 1]
     one = (low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b])
+    seen[depth, "passed"] += int(one.sum())
     a, b = a[~one], b[~one]
     fan = rows // below[2]
     left = (a[:, None] * fan + np.arange(fan))[:, :, None] + np.zeros((1, 1, fan), np.int64)
@@ -139,92 +155,127 @@ def _unfold(pairs: np.ndarray, forest: Forest, rows: int, below: tuple, n: int)
 # --- links ---------------------------------------------------------------------------------------------
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
-    """Each fingerprint once for each pair of blocks, with the cell of the pair and its bits there."""
-    starts = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
-    cells = []
-    for number, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2)):
-        bits = [F.shiftrightunsigned("fp", starts[k]).bitwiseAND((1 << BLOCKS[k]) - 1) for k in (i, j)]
-        cells.append(F.lit(number << 22).cast("long") + F.shiftleft(bits[0], 11) + bits[1])
-    return nodes.select("fp", F.explode(F.array(*cells)).alias("cell"))
+def _block_starts(width: int) -> list[int]:
+    """Where the blocks of a pattern of ``width`` bits start, one block more than fingerprints may differ in, and its end."""
+    return [width * i // (DISTANCE + 1) for i in range(DISTANCE + 2)]
+
+
+def _blocks(pattern: Column, width: int) -> list[Column]:
+    starts = _block_starts(width)
+    return [F.shiftrightunsigned(pattern, a).bitwiseAND((1 << b - a) - 1) for a, b in zip(starts, starts[1:])]
+
+
+def _without(pattern: Column, i: int) -> tuple[Column, int]:
+    """The bits outside block ``i`` of a fingerprint, moved together, and how many they are."""
+    a, b = _block_starts(64)[i:i + 2]
+    high = F.shiftleft(F.shiftrightunsigned(pattern, b), a) if b < 64 else F.lit(0).cast("long")
+    return high.bitwiseOR(pattern.bitwiseAND((1 << a) - 1)), 64 - (b - a)
+
 
+def _buckets(n: Column | int, aim: int):
+    """Over how many cells ``n`` fingerprints of a block are dealt."""
+    return F.greatest(F.lit(1), F.ceil(F.lit(n) / aim) if isinstance(n, int) else F.ceil(n / aim)).cast("long")
 
-def links(nodes: DataFrame, part: int = PART) -> DataFrame:
-    """Links (u, v) between distinct fingerprints ``fp`` that hang together within a cell.
+
+def cells(nodes: DataFrame, part: int = PART, aim: int = AIM) -> DataFrame:
+    """Fingerprints by cell; ``parts`` says into how many a cell is cut at last.
+
+    All are in one cell if they fit into one index. Else a fingerprint is dealt by the hash of each of its five blocks;
+    in a crowded cell of a block, by the hash of that block and of each of five blocks of the other bits.
+    """
+    n = nodes.count()
+    if n <= part:
+        return nodes.select("fp", "id", F.lit("").alias("cell"), F.lit(1).alias("parts"))
+    fp, buckets = F.col("fp"), _buckets(n, aim)
+    copies = [F.struct(F.lit(i).alias("i"), F.pmod(F.xxhash64(F.lit(i), b), buckets).alias("bucket"), b.alias("block"))
+              for i, b in enumerate(_blocks(fp, 64))]
+    placed = nodes.select("fp", "id", F.inline(F.array(*copies)))
+    held = placed.groupBy("i", "bucket").agg(F.count("*").alias("_n")).filter(F.col("_n") > part)
+    placed = placed.join(held, ["i", "bucket"], "left")
+    named = [F.concat_ws("/", "i", "bucket")]
+    again = None
+    for i in range(DISTANCE + 1):
+        rest, width = _without(fp, i)
+        buckets = _buckets(F.col("_n"), aim)
+        finer = F.array(*[F.concat_ws("/", F.lit(i), F.lit(j), F.pmod(F.xxhash64(F.lit(j), "block", b), buckets))
+                          for j, b in enumerate(_blocks(rest, width))])
+        again = F.when(F.col("i") == i, finer) if again is None else again.when(F.col("i") == i, finer)
+    names = F.when(F.col("_n").isNull(), F.array(*named)).otherwise(again)
+    # A bucket of the finer cells may be that of several crowded cells: nothing is lost, they are searched together.
+    placed = placed.select("fp", "id", F.explode(names).alias("cell")).distinct()
+    held = placed.groupBy("cell").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    return placed.join(held.filter("parts > 1"), "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+
+def links(nodes: DataFrame, part: int = PART, aim: int = AIM) -> DataFrame:
+    """Links (u, v) between the ``id`` of distinct fingerprints ``fp`` that hang together within a cell.
 
     Followed from one to the next, they join just the fingerprints that are joined by differences of four bits.
     """
-    cells = _cells(nodes)
-    parts = cells.groupBy("cell").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    crowded = parts.filter("parts > 1")
-    placed = cells.join(crowded, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    placed = cells(nodes, part, aim)
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    placed = placed.select("cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    placed = placed.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    keys = ["cell", "i", "j"]
-    sorted_cells = placed.repartition(*keys).sortWithinPartitions(*keys)
+    placed = placed.select("cell", "fp", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    place = F.concat_ws("/", "cell", F.lit("p"), F.least("own", "other"), F.greatest("own", "other"))
+    placed = placed.select(F.xxhash64(place).alias("h"), place.alias("place"), "fp", "id")
+    sorted_cells = placed.repartition("h").sortWithinPartitions("h", "place").select("place", "fp", "id")
 
     def run(batches):
         for table in _whole_groups(batches):
-            yield from _search_groups(table)
+            yield from _search_group(table)
+
+    return sorted_cells.mapInArrow(run, _LINK).distinct()
 
-    return sorted_cells.mapInArrow(run, "u long, v long").distinct()
+
+#: A node is the smallest id of a fingerprint's documents; one without any is named by the fingerprint and comes last.
+NODE = "struct<no_id: boolean, key: long>"
+_LINK = f"u {NODE}, v {NODE}"
 
 
 def _whole_groups(batches):
-    """Batches cut so that no group of the first three columns lies across two; a group fits into memory."""
-    kept = None
+    """Tables of one group each, by the first column; a group fits into memory."""
+    kept = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch])
-        if kept is not None:
-            table = pa.concat_tables([kept, table])
-        keys = [table.column(c).to_numpy() for c in range(3)]
-        last = np.logical_and.reduce([k == k[-1] for k in keys])
-        border = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
-        if border:
-            yield table.slice(0, border)
-        kept = table.slice(border)
-    if kept is not None and kept.num_rows:
-        yield kept
-
-
-def _search_groups(table: pa.Table):
-    keys = [table.column(c).to_numpy() for c in range(3)]
-    fps = table.column(3).to_numpy().view(np.uint64)
-    borders = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-    starts = np.concatenate([[0], borders])
-    ends = np.append(borders, len(fps))
-    left, right = [], []
-    for size in range(2, LEAF + 1):  # all groups of one size at once: such a group is a leaf
-        of_size = starts[ends - starts == size]
-        if len(of_size):
-            members = fps[of_size[:, None] + np.arange(size)]
-            for i, j in combinations(range(size), 2):
-                near = np.bitwise_count(members[:, i] ^ members[:, j]) <= DISTANCE
-                left.append(members[near, i])
-                right.append(members[near, j])
-    for start, end in zip(starts, ends, strict=True):
-        if end - start > LEAF:
-            group = fps[start:end]
-            group = group[np.argsort(gray_rank(group), kind="stable")]
-            root = search(group)
-            linked = np.flatnonzero(root != np.arange(len(group)))
-            left.append(group[linked])
-            right.append(group[root[linked]])
-    if left:
-        u, v = (np.concatenate(x).view(np.int64) for x in (left, right))
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        names = batch.column(0)
+        coded = names.dictionary_encode()
+        borders = np.flatnonzero(np.diff(coded.indices.to_numpy())) + 1
+        starts = [0, *borders.tolist()]
+        for start, end in zip(starts, [*borders.tolist(), batch.num_rows]):
+            part = batch.slice(start, end - start)
+            if kept and kept[-1].column(0)[0].as_py() != part.column(0)[0].as_py():
+                yield pa.Table.from_batches(kept)
+                kept = []
+            kept.append(part)
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def _search_group(table: pa.Table):
+    fps = table.column("fp").to_numpy().view(np.uint64)
+    if len(fps) < 2:
+        return
+    order = np.argsort(gray_rank(fps), kind="stable")
+    root = search(fps[order])
+    linked = np.flatnonzero(root != np.arange(len(root)))
+    if len(linked):
+        ids = table.column("id").combine_chunks()
+        u, v = ids.take(pa.array(order[linked])), ids.take(pa.array(order[root[linked]]))
+        yield pa.RecordBatch.from_arrays([u, v], ["u", "v"])
 
 
 def groups(marked: DataFrame) -> DataFrame:
-    """(fp, component_id) for rows of (doc_id, fp): the smallest doc_id that a fingerprint is linked with."""
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    trees = components(links(nodes.select("fp"))).withColumnsRenamed({"node": "fp"})
-    rooted = nodes.join(trees, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.select("fp", "root").join(firsts, "root").select("fp", "component_id")
+    """(fp, component_id) for rows of (doc_id, fp): the smallest doc_id that a fingerprint is linked with.
+
+    Fingerprints are known by the smallest id of their documents, so the root of a component is its smallest id, and no
+    step gathers a component.
+    """
+    first = F.min("doc_id").cast("long")
+    nodes = marked.groupBy("fp").agg(F.struct(first.isNull().alias("no_id"), F.coalesce(first, F.col("fp")).alias("key")).alias("id"))
+    nodes = nodes.checkpoint()
+    roots = components(links(nodes)).select(F.col("node").alias("id"), "root")
+    rooted = nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return rooted.select("fp", F.when(~F.col("root.no_id"), F.col("root.key")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -106,18 +107,44 @@ def test_index_of_a_cell(seed, n, flips):
     assert simhash.search(fps).tolist() == plain.joined_places([int(x) for x in fps])
 
 
-def test_links_of_crowded_cells(spark):
-    """Cells cut into parts give the same groups."""
+@pytest.mark.parametrize("part, aim", [(10, 4), (40, 10), (60, 3), (2048, 600)])
+def test_links_of_crowded_cells(spark, part, aim):
+    """One index, cells, refined cells and cells cut into parts give the same groups."""
     rng = random.Random(3)
-    centre = rng.getrandbits(63)
-    fps = sorted({centre ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 5))) for _ in range(300)})
-    nodes = spark.createDataFrame([(x,) for x in fps], "fp long")
-    roots = []
-    for part in (10, 2048):
-        tree = simhash.components(simhash.links(nodes, part)).collect()
-        roots.append({(r.node, r.root) for r in tree})
-    want = plain.joined_places(fps)
-    assert roots[0] == roots[1] == {(fps[i], fps[r]) for i, r in enumerate(want) if i != r}
+    fps = set()
+    for n in (300, 40, 1, 1, 1):
+        centre = rng.getrandbits(64)
+        fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for _ in range(n)}
+    fps = sorted(x - (x >> 63 << 64) for x in fps)
+    nodes = spark.createDataFrame([(x, (False, i)) for i, x in enumerate(fps)], f"fp long, id {simhash.NODE}")
+    tree = simhash.components(simhash.links(nodes, part, aim)).collect()
+    want = plain.joined_places([x % 2**64 for x in fps])
+    assert {(r.node.key, r.root.key) for r in tree} == {(i, r) for i, r in enumerate(want) if i != r}
+
+
+def test_cells_are_refined_before_they_are_cut(spark):
+    """The cell of a block that all fingerprints share is dealt by their other bits, and needs no parts."""
+    rng = random.Random(5)
+    same = rng.getrandbits(13)
+    fps = sorted({(rng.getrandbits(50) << 13) + same for _ in range(2000)})
+    nodes = spark.createDataFrame([(x, (False, i)) for i, x in enumerate(fps)], f"fp long, id {simhash.NODE}")
+    placed = simhash.cells(nodes, 200, 60).groupBy("cell", "parts").count().collect()
+    assert max(r["count"] for r in placed) <= 200 and {r.parts for r in placed} == {1}
+
+
+def test_nodes_prune(spark):
+    """On the test table the search is the index: upper nodes drop pairs, and few fingerprints are compared."""
+    marked = simhash.fingerprints(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    fps = np.array(sorted({r.fp % 2**64 for r in marked.select("fp").distinct().collect()}), np.uint64)
+    nodes = marked.groupBy("fp").agg({"doc_id": "min"}).selectExpr("fp", "struct(false as no_id, `min(doc_id)` as key) as id")
+    assert simhash.cells(nodes).select("cell").distinct().count() == 1
+    order = np.argsort(simhash.gray_rank(fps), kind="stable")
+    seen = Counter()
+    simhash.search(fps[order], seen=seen)
+    n = len(fps)
+    every = n * (n - 1) / 2
+    assert n > 9000 and seen[1, "dropped"] > 0.9 * seen[1, "tested"] and seen[2, "dropped"] > 0.3 * seen[2, "tested"]
+    assert seen[0, "tested"] < 0.01 * every and sum(k for (_, what), k in seen.items() if what == "tested") < 0.2 * every
 
 
 def test_near_copies_leave_one(spark):
