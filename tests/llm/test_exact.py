@@ -165,8 +165,25 @@ def test_decontaminate(spark, rows):
     docs = plain.docs_of(spark, rows)
     want = in_order(plain.contamination(rows, items))
     assert in_order([tuple(r) for r in decontaminate.decontaminate(docs, items_of(spark, items)).collect()]) == want
-    in_blocks = decontaminate.decontaminate(docs, items_of(spark, items), block_windows=2000)
-    assert in_order([tuple(r) for r in in_blocks.collect()]) == want
+    joined = decontaminate.decontaminate(docs, items_of(spark, items), most_windows=100)
+    assert in_order([tuple(r) for r in joined.collect()]) == want
+
+
+def test_a_large_benchmark_stays_on_spark(spark, monkeypatch):
+    """What comes to the driver is a bitmap of fixed size, however many windows the benchmark has."""
+    monkeypatch.setattr(decontaminate, "_collect", None)
+    sizes = []
+    for n in (40, 800):
+        items = items_of(spark, [(i, " ".join(f"w{(i * j) % 9973}" for j in range(1, 60))) for i in range(n)])
+        windows = decontaminate.item_windows(items)
+        bitmap = decontaminate.bitmap_of(windows, 14)
+        sizes.append(bitmap.nbytes)
+        docs = [(i, f"a b {' '.join(f'w{(i * j) % 9973}' for j in range(5, 30))} c") for i in range(0, n, 7)] + [(9000, "x y " * 20)]
+        want = plain.contamination(docs, [(r.item_id, r.text) for r in items.collect()])
+        # A bitmap of few bits lets many windows through; the words decide.
+        got = decontaminate._joined(plain.docs_of(spark, docs * 2), items, ("doc_id",), decontaminate.fields(decontaminate.RESULT), 14)
+        assert in_order([tuple(r) for r in got.collect()]) == in_order(want * 2)
+    assert sizes == [2048, 2048]
 
 
 def test_decontaminate_without_items(spark):
