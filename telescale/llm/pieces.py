@@ -4,11 +4,11 @@ A text is the merge encoding of a sequence of pieces if and only if each adjacen
 merged anew, the pair must come out as it was. So the encoder takes the longest piece at each position (found in
 one pass of an Aho-Corasick automaton), checks it against the piece before it, falls back to the next shorter
 prefix, and steps back where none fits. A bitfield marks positions from which the rest of the text was not
-reached, so that each is left only once and the time stays linear in the text.
+reached, so that each is left only once; it holds one bit for each position, so the time stays linear in the text.
 
 A space and what follows it, up to the next space or the end of a word, form a segment: no piece crosses its border
-(checked when the model is loaded), so segments are encoded alone and recent ones are kept. Runs of several spaces, whose pieces share one score, are merged directly,
-leftmost first.
+(checked when the model is loaded), so segments are encoded alone and recent ones are kept. Runs of several spaces, whose
+pieces share one score, are merged directly, leftmost first, in time n log n: a million spaces take some seconds.
 """
 
 from __future__ import annotations
@@ -69,6 +69,7 @@ class PieceModel:
             self.ids[p]: next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in made), -1) for p in made
         }
         self.lengths = [len(p) for p in self.pieces]
+        self.longest = max(map(len, made))
         self.segments = re.compile(BY_LETTERS if self._letters_apart() else BY_SPACES)
         self.known = frozenset(c for c in self.ids if len(c) == 1)
         # Text of the pieces that decode alone: a byte below 0x80 is a character whatever stands beside it.
@@ -163,13 +164,13 @@ class PieceModel:
         longest = [-1] * (n + 1)
         for end, piece in self.automaton.iter_long(text):  # the longest at 0, the longest behind it, and so on
             longest[end + 1 - lengths[piece]] = piece
-        failed = 0  # bit i: the rest of the text is not reached from position i
+        failed = b""  # once something failed, a bit for each position: the rest of the text is not reached from there
         out: list[int] = []
         at, piece, last = 0, longest[0], -1
         while at < n:
             while piece >= 0:
                 end = at + lengths[piece]
-                if not (failed and failed >> end & 1):
+                if not (failed and failed[end >> 3] >> (end & 7) & 1):
                     if last < 0:
                         break
                     fit = fits.get((last, piece))
@@ -182,10 +183,11 @@ class PieceModel:
                 out.append(piece)
                 last, at = piece, end
                 piece = longest[at]
-                if piece < 0 and at < n and not failed >> at & 1:
-                    piece = longest[at] = next(self.automaton.iter_long(text, at))[1]
+                if piece < 0 and at < n and not (failed and failed[at >> 3] >> (at & 7) & 1):
+                    piece = longest[at] = next(self.automaton.iter_long(text[at:at + self.longest]))[1]
             else:
-                failed |= 1 << at
+                failed = failed or bytearray((n >> 3) + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 at -= lengths[last]
                 piece = shorter[out.pop()]
                 last = out[-1] if out else -1
@@ -221,8 +223,13 @@ class PieceModel:
         if not text:
             return []
         out: list[int] = []
+        recent = self._segments.get
         for segment in self.segments.findall(SPACE + text.replace(" ", SPACE)):
-            out += self.segment(segment)
+            found = recent(segment)
+            if found is None:
+                found = self.segment(segment)
+                recent = self._segments.get  # the store may have been set anew
+            out += found
         return out
 
     # --- decoding -----------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -191,6 +192,22 @@ def test_decontaminate_without_items(spark):
     assert [(r.n_words, r.n_hit, r.contaminated) for r in got] == [(3, 0, False)]
 
 
+def test_pieces_of_unbroken_texts():
+    """A million letters, digits or spaces in a row are encoded exactly, in proportion to their number."""
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    model = pieces.load(pieces.read_model(MODEL))
+    rng = random.Random(2)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "a", " ", "0é", "a ", "日本語ab"):
+        seconds = []
+        for n in (100_000, 1_000_000):
+            text = "".join(rng.choices(alphabet, k=n))
+            start = time.process_time()
+            ids = model.encode(text)
+            seconds.append(time.process_time() - start)
+            assert ids == library.encode(text) and model.decode(ids) == library.decode(ids)
+        assert seconds[1] < 20 * max(seconds[0], 0.05)
+
+
 def test_pieces(spark, rows):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     model = pieces.read_model(MODEL)
