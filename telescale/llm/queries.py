@@ -30,7 +30,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query
 def op1_secrets(spark, sf):
-    return secrets.secret_scan(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    return secrets.secret_scan(docs, identifiers=secrets.learn_identifiers(docs))
 
 
 @query
@@ -166,16 +167,21 @@ windows as (select doc_id, k, array_to_string(w[k:k + 2], ' ') as said from plac
 twice as (select *, count(*) over (partition by doc_id, said) as n from windows),
 repeated as (select doc_id, count(distinct place) as n from (
   select doc_id, unnest(range(k, k + 3)) as place from twice where n > 1) group by doc_id),
+commonest as (
+  select doc_id, max(n) as n from (
+    select doc_id, word, count(*) as n from (select doc_id, unnest(w) as word from d) group by doc_id, word) group by doc_id),
 m as (
   select d.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
          coalesce(r.n, 0) as n_repeat_words, len(lines) as n_lines,
-         len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) as lettered
-  from d left join repeated r using (doc_id)),
+         len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) as lettered,
+         len(regexp_extract_all(text, '[A-Z]')) as n_capitals, coalesce(c.n, 0) as n_commonest
+  from d left join repeated r using (doc_id) left join commonest c using (doc_id)),
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not (base_failed or word_chars not between 2 * n_words and 15 * n_words or 4 * n_symbols > n_words
-            or 10 * n_dup_lines > 3 * n_lines or 5 * lettered < 3 * n_words) as kept
+            or 10 * n_dup_lines > 3 * n_lines or 5 * lettered < 3 * n_words or 2 * n_capitals > word_chars
+            or 3 * n_commonest > n_words) as kept
 from b
 """
 
@@ -234,9 +240,11 @@ placed as (
   select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as n from damaged),
 marked as (
   select *, left(role, 1) as initial,
-         case when not regexp_matches(text, '[^ 	-]') then 'blank'
+         case when not regexp_matches(text, '[^ 	-
+]') then 'blank'
               when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate'
-              when not regexp_matches(text, '[.!?][ 	-]*$') then 'truncated' end as fault,
+              when not regexp_matches(text, '[.!?][ 	-
+]*$') then 'truncated' end as fault,
          lag(left(role, 1)) over (partition by conv_id order by n) || left(role, 1) as two
   from placed),
 counts as (

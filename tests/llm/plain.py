@@ -129,7 +129,9 @@ def quality(text):
     base = n < 50 or 100 * len(inside) > 50 * n
     chars, symbols = sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text))
     lettered = sum(any(c.isalpha() for c in w) for w in words)
-    bad = (base or not 2 * n <= chars <= 15 * n or 4 * symbols > n or 10 * dup > 3 * len(lines) or 5 * lettered < 3 * n)
+    capitals, commonest = len(re.findall("[A-Z]", text)), max(Counter(words).values(), default=0)
+    bad = (base or not 2 * n <= chars <= 15 * n or 4 * symbols > n or 10 * dup > 3 * len(lines) or 5 * lettered < 3 * n
+           or 2 * capitals > chars or 3 * commonest > n)
     return n, chars, symbols, dup, len(inside), base, not bad
 
 

@@ -253,6 +253,38 @@ def test_cascade_order_changes_no_verdict(spark):
     assert kept[0] == kept[1]
 
 
+def test_order_that_pays():
+    """The next rule is the one that rejects most of what is left for what it adds; shared measures cost once."""
+    measures, rules = list(quality.MEASURES), list(quality.RULES)
+    seconds = np.full((100, len(measures)), 1.0)
+    seconds[:, measures.index("n_repeat_words")] = 50.0
+    rejected = np.zeros((100, len(rules)), bool)
+    rejected[:40, rules.index("few_words")] = True  # cheap and frequent
+    rejected[:60, rules.index("repeated_words")] = True  # more, but dear
+    rejected[40:60, rules.index("word_length")] = True
+    rejected[:39, rules.index("symbols")] = True  # nothing that is left once few_words has run
+    order = quality.best_order(seconds, rejected, measures, rules)
+    assert order[:2] == ["few_words", "word_length"] and order[-1] == "repeated_words"
+    assert quality.best_order(seconds[:0], rejected[:0], measures, rules) and sorted(order) == sorted(rules)
+
+
+def test_the_cascade_skips_work(monkeypatch):
+    """Rules behind the first rejection do not run, and measures that only they need are not taken."""
+    ran = []
+    counted = {name: quality.Rule(r.needs, lambda x, name=name, r=r: ran.append(name) or r.rejects(x)) for name, r in quality.RULES.items()}
+    monkeypatch.setattr(quality, "RULES", counted)
+    order = ["few_words", "symbols", "capitals", "one_word", "word_length", "duplicate_lines", "words_without_letters", "repeated_words"]
+    short = quality.Measured(b"only a few words")
+    assert not quality.passes(short, order) and ran == ["few_words"] and set(vars(short)) == {"raw", "words"}
+    ran.clear()
+    loud = quality.Measured(" ".join(f"LOUD{i}" for i in range(80)).encode())
+    assert not quality.passes(loud, order) and ran == order[:3]
+    assert not {"n_commonest", "lines", "n_repeat_words", "n_letter_words"} & set(vars(loud))
+    ran.clear()
+    clean = quality.Measured(" ".join(f"word{i}" for i in range(80)).encode())
+    assert quality.passes(clean, order) and ran == order
+
+
 TURNS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "hello"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "assistant", "hello"),
     (3, 2, "user", "bye"), (4, 0, "user", "hi"), (4, 1, "assistant", "hello"), (4, 2, "user", "bye"), (5, 0, None, "hi"),
