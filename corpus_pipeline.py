@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with marks in place of secrets."""
-    return secrets.redact_secrets(docs)
+    return secrets.redact_secrets(docs, identifiers=secrets.learn_identifiers(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
