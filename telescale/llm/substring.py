@@ -17,14 +17,20 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telescale.llm.texts import covered, set_checkpoint_dir, window_hashes, word_hashes
 
 WINDOW = 13
-#: doc_id, hash of the window; settled: it starts in this batch in a document of a smaller id; shared: in another one.
-ROWS = "doc_id long, hash long, settled boolean, shared boolean"
+#: doc_id, hash of the window and a second one; settled: it starts in this batch in a document of a smaller id; shared:
+#: in another one. Windows are the same if all 96 bits are; candidates, which are looked at again, go by the first 64.
+ROWS = "doc_id long, hash long, check int, settled boolean, shared boolean"
+#: Bytes of the texts whose hashes a task holds at the same time, about.
+BYTES_AT_ONCE = 16 << 20
+CHECK_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def half_of(length: int) -> int:
@@ -40,37 +46,60 @@ def minimizers(halves: np.ndarray, length: int) -> np.ndarray:
     return views.argmin(axis=1) + np.arange(len(views))
 
 
-def batch_rows(ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """One row for each hash of a batch that is not settled, and one for each document where it is."""
-    order = np.lexsort((ids, hashes))
-    ids, hashes = ids[order], hashes[order]
-    first = np.ones(len(ids), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1])
-    ids, hashes = ids[first], hashes[first]
+def check_hashes(words: Sequence[bytes], length: int) -> np.ndarray:
+    """A second hash of each window, of 32 bits, made from other hashes of its words than the first."""
+    hashes = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint64, len(words))
+    mixed = np.zeros(max(0, len(hashes) - length + 1), np.uint64)
+    for i in range(length if len(mixed) else 0):
+        mixed = (mixed + hashes[i:i + len(mixed)] + np.uint64(1)) * CHECK_BASE
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def batch_rows(ids: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> pa.RecordBatch:
+    """One row for each window of a batch that is not settled, and one for each document where it is."""
+    order = np.lexsort((ids, checks, hashes))
+    ids, hashes, checks = ids[order], hashes[order], checks[order]
     new = np.ones(len(ids), bool)
-    new[1:] = hashes[1:] != hashes[:-1]
+    new[1:] = (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])
+    first = new.copy()
+    first[1:] |= ids[1:] != ids[:-1]
+    ids, hashes, checks, new = ids[first], hashes[first], checks[first], new[first]
     alone = new & np.append(new[1:], True)
     back = np.argsort(ids, kind="stable")  # rows of a document together compress better
-    arrays = [pa.array(x[back]) for x in (ids, hashes.view(np.int64), ~new, ~alone)]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "hash", "settled", "shared"])
+    arrays = [pa.array(x[back]) for x in (ids, hashes.view(np.int64), checks, ~new, ~alone)]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "hash", "check", "settled", "shared"])
+
+
+def _parts(batch: pa.RecordBatch):
+    """A batch of (id, text, ...) cut where its texts exceed ``BYTES_AT_ONCE``."""
+    sizes = np.nan_to_num(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(float))
+    part = (np.cumsum(sizes) // BYTES_AT_ONCE).astype(np.int64)
+    borders = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(borders, borders[1:]) if b > a)
 
 
 def _rows_of(docs: DataFrame, columns: Sequence[str], hashes_of) -> DataFrame:
-    """Rows of the hashes that ``hashes_of(words, *other columns)`` gives for each document with all of them."""
+    """Rows of the hashes that ``hashes_of(words, *other columns)`` gives for each document with all of them.
+
+    It gives hashes, and second ones or None. Texts are taken ``BYTES_AT_ONCE`` at a time, or one that is longer.
+    """
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in _parts(b)):
             ids, texts, *others = batch.columns
-            found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            found, seconds, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
             values = zip(ids.to_pylist(), texts.cast(pa.binary()).to_pylist(), *(x.to_pylist() for x in others),
                          strict=True)
             for doc_id, raw, *rest in values:
                 if doc_id is None or raw is None or None in rest:
                     continue
-                h = np.unique(hashes_of(raw.split(), *rest))
-                found.append(h)
-                owners.append(np.full(len(h), doc_id, np.int64))
-            yield batch_rows(np.concatenate(owners), np.concatenate(found))
+                hashes, checks = hashes_of(raw.split(), *rest)
+                hashes, at = np.unique(hashes, return_index=True)
+                found.append(hashes)
+                seconds.append(np.zeros(len(hashes), np.int32) if checks is None else checks[at])
+                owners.append(np.full(len(hashes), doc_id, np.int64))
+            yield batch_rows(np.concatenate(owners), np.concatenate(found), np.concatenate(seconds))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *columns).mapInArrow(run, ROWS)
 
@@ -78,7 +107,7 @@ def _rows_of(docs: DataFrame, columns: Sequence[str], hashes_of) -> DataFrame:
 def repeated(rows: DataFrame) -> DataFrame:
     """(doc_id, hash, later) of windows in two documents or more; ``later``: a smaller id holds it too."""
     # Settled rows need no company; each goes to a key of its own.
-    window = Window.partitionBy("hash", F.when(F.col("settled"), F.col("doc_id")))
+    window = Window.partitionBy("hash", "check", F.when(F.col("settled"), F.col("doc_id")))
     met = rows.select(
         "doc_id", "hash", "settled", F.min("doc_id").over(window).alias("_least"),
         F.max("doc_id").over(window).alias("_most"), F.max("shared").over(window).alias("_shared"),
@@ -113,13 +142,13 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW) -> DataFrame:
 
     def first_level(words):
         halves = window_hashes(word_hashes(words), half)
-        return halves[np.unique(minimizers(halves, length))]
+        return halves[np.unique(minimizers(halves, length))], None
 
     def second_level(words, known):
         hashes = word_hashes(words)
         halves = window_hashes(hashes, half)
         candidate = _among(halves, known)[minimizers(halves, length)]
-        return window_hashes(hashes, length)[candidate]
+        return window_hashes(hashes, length)[candidate], check_hashes(words, length)[candidate]
 
     candidates = repeated(_rows_of(docs, [], first_level))
     return repeated(_rows_of(_joined(docs, candidates, "_known"), ["_known"], second_level))
@@ -142,7 +171,8 @@ def longest_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
             hashes = word_hashes(words)
             survive = _among(window_hashes(hashes, n), known)
             twice = window_hashes(hashes, 2 * n)
-            return twice[survive[:len(twice)] & survive[n:n + len(twice)]]
+            survive = survive[:len(twice)] & survive[n:n + len(twice)]
+            return twice[survive], check_hashes(words, 2 * n)[survive]
 
         found = repeated(_rows_of(_joined(docs, found, "_known"), ["_known"], extend)).checkpoint()
         length *= 2
