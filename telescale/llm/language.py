@@ -23,6 +23,8 @@ DIMENSIONS = 4096
 #: Bound on the texts of a language that its centroids are clustered from.
 SAMPLE = 3000
 CENTROIDS = 4
+#: Languages that are learned, the most frequent ones: a bound on what comes to the driver (64 kB for each).
+MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 #: The share of a language's sampled texts that the threshold of rejection may lie above, halved for safety.
 REJECTED_SHARE = 0.002
@@ -140,13 +142,15 @@ def threshold(points: np.ndarray, centroids: int) -> float:
 def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> LanguageModel:
     """Learn from the rows of ``docs`` with text and lang.
 
-    Frequencies cover all of them. Clustering takes about ``sample`` texts of each language, those lowest by a hash, and
-    all of a language with fewer; repeated rows count once. The driver gets no more than the centroids.
+    Frequencies cover all of them. Clustering takes about ``sample`` texts of each of the ``MOST_LANGUAGES`` most frequent
+    languages, those lowest by a hash, and all of a language with fewer; repeated rows count once. The driver gets no
+    more than the centroids. Without such rows nothing is learned.
     """
     learned = docs.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
     seen, total = document_frequencies(learned)
     idf = np.log((1 + total) / (1 + seen)).astype(np.float32) + np.float32(0.05)
-    sizes = learned.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language, so it may be broadcast
+    sizes = learned.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)  # so it may be broadcast
     some = learned.withColumn("at", F.xxhash64("doc_id", "text")).join(F.broadcast(sizes), "lang")
     some = some.filter(F.col("at").cast("double") / 2.0**64 + 0.5 <= F.lit(float(sample)) / F.col("n"))
     found = some.select("lang", "at", "text").mapInArrow(_sample_vectors(idf), "lang string, at long, v binary")
@@ -193,7 +197,9 @@ def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_
 
     ``lang_pred`` is the nearest language, ``und`` if the text is null or has no letter or if nothing was learned;
     ``score`` is the cosine to the nearest centroid, 0 for ``und``; ``rejected`` says that it is too low to trust.
-    Columns of ``docs`` outside ``keep`` are not read; repeated rows give repeated results.
+    Of equal cosines the first centroid's language counts, by name and number. Texts of any length are counted whole, in
+    memory that their length does not raise but for the text itself. Columns of ``docs`` outside ``keep`` are not read;
+    repeated rows give repeated results, and an empty table gives no rows.
     """
     found = f"{prefix}lang_pred string, {prefix}score double, {prefix}rejected boolean"
     return map_texts(docs, keep, found, lambda: model.predict)

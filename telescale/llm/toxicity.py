@@ -308,8 +308,9 @@ def toxicity(docs: DataFrame, model: ToxicityModel, keep: Sequence[str] = ("doc_
     """Score and prediction of each text, one row for each row of ``docs``.
 
     The score is the probability of label 1 by the most toxic sentence of the whole text. Null and empty texts get
-    the score of an empty sentence. Repeated rows give repeated results; columns of ``docs`` outside ``keep`` are
-    not read.
+    the score of an empty sentence. Texts of any length are scored whole, a stretch at a time; of equal margins it does
+    not matter which sentence gave them. Repeated rows give repeated results; columns of ``docs`` outside ``keep`` are
+    not read; an empty table gives no rows.
     """
 
     def scan(texts):

@@ -186,3 +186,34 @@ def test_pipeline_runs_all_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decodes"]
     assert 0 < got.count() <= spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def folder_of(spark, folder, rows):
+    plain.docs_of(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, "a passage of the benchmark that is long enough to be a window of its own words")],
+                          "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    got = corpus_pipeline.run(spark, folder_of(spark, tmp_path, []))
+    assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decodes"] and got.collect() == []
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Repeated rows, missing ids and texts, clashing columns, one very long text: stage by stage, none is lost unasked."""
+    rng = random.Random(3)
+    words = "the of and in to for with that this from over under river stone light water morning field old town".split()
+
+    def said(n):
+        return " ".join(rng.choice(words) + rng.choice(["", "s", "ing", "ed", "er"]) for _ in range(n))
+
+    long, twice, alone = said(150_000), said(80), said(90)
+    copied = "a passage of the benchmark that is long enough to be a window of its own words"
+    rows = [(1, long), (2, twice), (2, twice), (5, twice), (3, None), (4, ""), (None, alone), (6, copied), (7, said(70) + " token=abcdefgh1"),
+            (8, said(60)), (8, said(61))]
+    got = corpus_pipeline.run(spark, folder_of(spark, tmp_path, rows)).collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in got) == [
+        (False, 0), (True, 1), (True, 2), (True, 2), (True, 7), (True, 8), (True, 8)]
+    assert all(r.decodes and r.n_tokens == len(r.ids) > 0 and r.source == "s" for r in got)
+    assert max(r.n_tokens for r in got) > 150_000
