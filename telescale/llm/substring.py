@@ -26,10 +26,11 @@ from telescale.llm.texts import covered, set_checkpoint_dir, window_hashes, word
 
 WINDOW = 13
 #: doc_id, hash of the window and a second one; settled: it starts in this batch in a document of a smaller id; shared:
-#: in another one. Windows are the same if all 96 bits are; candidates, which are looked at again, go by the first 64.
+#: in another one. Windows are the same if all 88 bits are; candidates, which are looked at again, go by 48 of them.
 ROWS = "doc_id long, hash long, check int, settled boolean, shared boolean"
 #: Bytes of the texts whose hashes a task holds at the same time, about.
 BYTES_AT_ONCE = 16 << 20
+CANDIDATE_SHIFT = np.uint64(16)
 CHECK_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -47,13 +48,13 @@ def minimizers(halves: np.ndarray, length: int) -> np.ndarray:
 
 
 def check_hashes(words: Sequence[bytes], length: int) -> np.ndarray:
-    """A second hash of each window, of 32 bits, made from other hashes of its words than the first."""
+    """A second hash of each window, of 24 bits, made from other hashes of its words than the first."""
     hashes = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint64, len(words))
     mixed = np.zeros(max(0, len(hashes) - length + 1), np.uint64)
     for i in range(length if len(mixed) else 0):
         mixed = (mixed + hashes[i:i + len(mixed)] + np.uint64(1)) * CHECK_BASE
         mixed ^= mixed >> np.uint64(29)
-    return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (mixed >> np.uint64(40)).astype(np.int32)
 
 
 def batch_rows(ids: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> pa.RecordBatch:
@@ -141,12 +142,12 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW) -> DataFrame:
     half = half_of(length)
 
     def first_level(words):
-        halves = window_hashes(word_hashes(words), half)
+        halves = window_hashes(word_hashes(words), half) >> CANDIDATE_SHIFT
         return halves[np.unique(minimizers(halves, length))], None
 
     def second_level(words, known):
         hashes = word_hashes(words)
-        halves = window_hashes(hashes, half)
+        halves = window_hashes(hashes, half) >> CANDIDATE_SHIFT
         candidate = _among(halves, known)[minimizers(halves, length)]
         return window_hashes(hashes, length)[candidate], check_hashes(words, length)[candidate]
 
