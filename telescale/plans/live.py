@@ -66,7 +66,7 @@ class Chain:
             spark,
             tables.stream_events(spark, self.at("logs"), self.at("parsed"), self.at("checkpoints/parsed"))
         )
-        parsed = tables.parsed_stream(spark, self.at("parsed"), files_per_trigger=4)
+        parsed = tables.parsed_stream(spark, self.at("parsed"))
         events = tables.app_events(parsed, F.lit(b.INITIAL))
         self.run(tables.stream_app_state(events, base=b.INITIAL), "tracked")
         tracked = self.stream("tracked", tables.TRACKED)

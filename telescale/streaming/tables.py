@@ -66,30 +66,36 @@ STAGE_OUT = (
 
 
 def stream_events(
-    spark: SparkSession, logs: str, out: str, checkpoint: str, files_per_trigger: int = 1000
+    spark: SparkSession, logs: str, out: str, checkpoint: str, files_per_trigger: int = 1000, archive: str | None = None
 ):
-    """Parse new log segments and append them; a batch that is retried replaces its own folder."""
-    raw = (
-        spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger)
-        .text(logs)
-    )
-    lines = raw.select("value", *event_log.line_origin())
+    """Parse new log segments and append them; a batch that is retried replaces its own folder.
+
+    Each task writes the lines of its own splits, in one pass and in their order: a large log is parsed and written by
+    as many tasks as it has splits. Segments that are done with move to the folder ``archive``, if there is one.
+    """
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    lines = reader.text(logs).select("value", *event_log.line_origin())
 
     def append(batch: DataFrame, batch_id: int) -> None:
         parsed = event_log.parse_lines(batch.withColumn("line_id", F.monotonically_increasing_id()))
-        folder, is_task = f"{out}/batch={batch_id}", F.col("event") == event_log.TASK_END
-        parsed.filter(is_task).write.mode("overwrite").parquet(f"{folder}/is_task=true")
-        # All control lines a log has in this batch go to one file, so readers see them together.
-        control = parsed.filter(~is_task).repartition("log_id").sortWithinPartitions("log_id", *PLACE)
-        control.write.mode("overwrite").parquet(f"{folder}/is_task=false")
+        is_task = (F.col("event") == event_log.TASK_END).alias("is_task")
+        parsed.select("*", is_task).write.partitionBy("is_task").mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
 
 
-def parsed_stream(spark: SparkSession, parsed: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Control lines, oldest files first."""
+def parsed_stream(spark: SparkSession, parsed: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Control lines of the batches parsed so far.
+
+    A micro-batch takes whole parsed batches, since the lines that a log has in one lie in several files; how much that is
+    was bounded when they were parsed. ``files_per_trigger`` is for parsed batches of one file only.
+    """
     schema = spark.read.parquet(parsed).drop("batch", "is_task").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(f"{parsed}/batch=*/is_task=false")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 import pandas as pd
@@ -472,3 +473,35 @@ def test_answer_lines(spark):
         lines[1]: "missing field", "[1]": "missing field", "null": "missing field", lines[6]: "no message", lines[7]: "missing field"}
     with_names = recommendations.scan_answers(frame, spark.createDataFrame([("a", 7)], "app_event_id string, app_id int"))
     assert [r.app_id for r in with_names.select(F.col("app_id")).collect()] == [7]
+
+
+def test_a_large_log_is_parsed_by_many_tasks(spark, tmp_path):
+    """One log of many splits in one batch: several tasks write it, and its events keep their order. Segments are archived."""
+    n = 3000
+    lines = [{"Event": "SparkListenerApplicationStart", "App ID": "a", "App Name": "x", "Timestamp": 1}]
+    for i in range(n):
+        lines.append({"Event": "SparkListenerExecutorAdded", "Timestamp": 2 + i, "Executor ID": str(i), "Executor Info": {"Host": "h"}})
+        lines.append({"Event": "SparkListenerTaskEnd", "Stage ID": 1, "Stage Attempt ID": 0})
+    for job in range(2):
+        lines.append({"Event": "SparkListenerJobStart", "Job ID": job, "Submission Time": n + 5 + job, "Stage Infos": []})
+    lines.append({"Event": "SparkListenerApplicationEnd", "Timestamp": n + 9})
+    for at, part in enumerate((lines[:4000], lines[4000:])):
+        folder = tmp_path / "logs" / "log=a" / f"roll={at}"
+        folder.mkdir(parents=True)
+        (folder / "part").write_text("".join(json.dumps(x) + "\n" for x in part))
+    at = {name: str(tmp_path / name) for name in ("logs", "parsed", "tracked", "c1", "c2", "done")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        tables.run_available(spark, tables.stream_events(spark, at["logs"], at["parsed"], at["c1"], archive=at["done"]))
+        parsed = spark.read.parquet(at["parsed"])
+        files = parsed.filter("not is_task").select(F.input_file_name().alias("f")).distinct().count()
+        assert files > 5 and parsed.select("batch").distinct().count() == 1
+        events = tables.app_events(tables.parsed_stream(spark, at["parsed"]), F.lit(3))
+        tables.run_available(spark, tables.to_files(tables.stream_app_state(events), at["tracked"], at["c2"]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    rows = spark.read.parquet(at["tracked"]).orderBy("seq").collect()
+    assert [r.t_ms for r in rows] == [1, *range(2, 2 + n), n + 5, n + 6, n + 9]
+    assert rows[-2].num_executors == n and rows[n // 2].num_executors == n // 2
