@@ -471,19 +471,34 @@ def environment_versions(spark, sf):
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
-_LOGS: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, sf, name, write) -> str:
+    """The folder that ``write`` filled, once per session."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _WRITTEN:
+        path = shared_dir(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def log_folder(spark, sf) -> str:
+    """Logs written from the events table."""
+    ev, hot = _events(spark, sf)
+    return _once(spark, sf, "logs", lambda path: b.write_log(ev, path, hot))
+
+
+def parse_log(spark, sf) -> DataFrame:
+    """All lines of these logs, read and parsed anew."""
+    return event_log.parse_lines(event_log.read_lines(spark, log_folder(spark, sf)))
 
 
 def _parsed(spark, sf):
-    """Parsed lines of the log written from the events table; log and table are written once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _LOGS:
-        ev, hot = _events(spark, sf)
-        path, parsed = shared_dir(spark, "logs"), shared_dir(spark, "parsed")
-        b.write_log(ev, path, hot)
-        event_log.write_parsed(event_log.parse_lines(event_log.read_lines(spark, path)), parsed)
-        _LOGS[key] = parsed
-    return event_log.read_parsed(spark, _LOGS[key])
+    """The parsed lines as a table."""
+    return event_log.read_parsed(
+        spark, _once(spark, sf, "parsed", lambda path: event_log.write_parsed(parse_log(spark, sf), path)))
 
 
 @query

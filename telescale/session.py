@@ -23,6 +23,8 @@ def build_session(app_name: str = "telescale", master: str | None = None, **conf
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        # Checkpointed tables go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
