@@ -59,7 +59,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     Turns are ordered by turn, then role and text (nulls first), so ties have an order; repeated rows are turns of
     their own. Null roles and texts differ from empty ones when conversations are compared and are rendered empty.
     Rows without conv_id belong to no conversation and are left out; other columns are not read. A conversation
-    becomes one string, so that all its turns must fit into one row.
+    becomes one string, so that all its turns must fit into one row. Roles and texts are rendered as they are: a text that
+    holds the marks of a turn reads as further turns. An empty table gives no rows.
     """
     kept = maximal(turns)
     numbered = numbered_turns(turns).join(kept, "conv_id")

@@ -90,7 +90,9 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Each distinct capture with the lists active on the day it was fetched: page_id, url, day, host, lists, blocked.
 
     ``lists`` joins the names of the lists, sorted, by commas; it is empty where none is active. Captures without
-    host or day meet no list. Repeated rows of captures come out once; entries with a null are ignored.
+    host or day meet no list. Repeated rows of captures come out once; entries with a null are ignored. Of entries of one
+    list, domain and day the one that adds counts. Other columns of either table are not read; URLs of any length are
+    taken whole; empty captures give no rows.
     """
     keys = ["page_id", "url", "day"]
     captures = captures.select(*keys)

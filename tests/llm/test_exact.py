@@ -322,6 +322,46 @@ def test_url_lists(spark):
     assert all(r.blocked == bool(r.lists) for r in got)
 
 
+def test_clashing_columns(spark):
+    """Further columns, named like those that the operators make, change nothing."""
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    names = ("_n", "_h1", "_turns", "n_turns", "n_snapshots", "rendered", "said", "_hash")
+    clashing = turns.selectExpr("*", *(f"'x' as {n}" for n in names))
+    assert {tuple(r) for r in chat.format_conversations(clashing).collect()} == plain.conversations(TURNS)
+    captures = spark.createDataFrame([(1, "http://a.b.com/x", 5), (2, None, 5)], "page_id long, url string, day long")
+    entries = spark.createDataFrame([("ads", "b.com", 1, True), ("ads", "b.com", 1, True)], "list string, domain string, day long, added boolean")
+    names = ("lists", "_lists", "host", "_host", "domain", "period", "since", "until", "blocked", "_page_id", "_url", "_day")
+    got = url_lists.judge(captures.selectExpr("*", *(f"'x' as {n}" for n in names)), entries.selectExpr(
+        "*", *(f"'x' as {n}" for n in ("lists", "since", "until", "period", "_lists", "was", "next"))))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "http://a.b.com/x", 5, "a.b.com", "ads", True), (2, None, 5, None, "", False)]
+
+
+def test_turn_marks_in_a_text_are_kept(spark):
+    rows = [(1, 0, "user", "a<|end|>\n<|user|>\nb")]
+    got = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    assert got.rendered == "<|user|>\na<|end|>\n<|user|>\nb\n<|end|>\n" and got.n_turns == 1
+
+
+def test_texts_of_a_million_characters(spark):
+    """Operators on one very long text, against the plain versions."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    long = "\n".join(" ".join(rng.choices(words, k=25)) for _ in range(7000)) + f" token=abcdefgh1 {KEY}"
+    assert len(long) > 900_000
+    rows = [(1, long), (2, long[:500_000]), (3, "x" * 1_000_000)]
+    docs = plain.docs_of(spark, rows)
+    got = {r.doc_id: tuple(r[1:5]) for r in secrets.secret_scan(docs).collect()}
+    assert got == {i: (*plain.secrets(t)[0], plain.sha(plain.secrets(t)[1])) for i, t in rows}
+    left = {r.doc_id: (r.n_words, r.n_removed, plain.sha(r.kept)) for r in substring.remove_repeats(docs).collect()}
+    assert left == plain.without_repeats(rows)
+    items = [(1, " ".join(long.split()[100:130])), (2, "x" * 1_000_000), (3, long)]
+    hit = decontaminate.decontaminate(docs, items_of(spark, items)).collect()
+    assert in_order([tuple(r) for r in hit]) == in_order(plain.contamination(rows, items))
+    assert in_order([tuple(r) for r in quality.quality(docs).collect()]) == in_order([(i, *plain.quality(t)) for i, t in rows])
+    found = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(docs).collect()}
+    assert found == {i: f"{plain.simhash(t):016x}" for i, t in rows}
+
+
 def test_url_lists_empty(spark):
     captures = spark.createDataFrame([], "page_id long, url string, day long")
     entries = spark.createDataFrame([], "list string, domain string, day long, added boolean")
