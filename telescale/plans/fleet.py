@@ -6,10 +6,10 @@ from the totals a completed stage carries itself, so task lines, by far the most
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telescale.operators import messages, rescaling, scaleout, specs, stages
+from telescale.operators import fused, messages, rescaling, scaleout, specs, stages
 from telescale.operators.ordered import has_hot_keys
 from telescale.sources import event_log as log
 
@@ -27,6 +27,41 @@ def has_hot_logs(parsed: DataFrame) -> bool:
     return has_hot_keys(parsed.filter(F.col("event") != log.TASK_END), ["log_id"], fanout=2)
 
 
+def tagged_rows(parsed: DataFrame, splits: DataFrame, initial: DataFrame) -> DataFrame:
+    """The control lines as one timeline for the fused pass, stages with their job, executors beside the driver uncounted."""
+    kind, app = F.col("kind"), Window.partitionBy("app_id")
+    rows = log.control_rows(parsed)
+    rows = rows.select(*[c for c in rows.columns if c not in stages.COUNTERS], *stages.metric_ratios())
+    timed = F.when(kind == scaleout.SUBMIT, F.col("submit_ms")).when(kind == scaleout.COMPLETE, F.col("complete_ms"))
+    is_stage = kind.isin(scaleout.SUBMIT, scaleout.COMPLETE)
+    rows = log.with_app(rows, splits).withColumn("t_ms", F.coalesce(timed, "t_ms")).filter(~is_stage | timed.isNotNull())
+    rows = rows.join(initial, "app_id", "left").withColumn("initial", F.when(kind == scaleout.APP_START, F.col("initial")))
+    # Each job start gives a row for each of its stages, from which later rows of the stage learn their job.
+    listed = F.concat(F.array(F.lit(None).cast("int")), F.coalesce("stage_ids", F.array().cast("array<int>")))
+    nothing = F.array(F.lit(None).cast("int"))
+    rows = rows.withColumn("_listed", F.explode(F.when(kind == scaleout.JOB_START, listed).otherwise(nothing)))
+    listing = F.col("_listed").isNotNull()
+    rows = rows.withColumn("stage_id", F.coalesce("_listed", "stage_id")).drop("stage_ids")
+    by_stage = Window.partitionBy("app_id", "stage_id").orderBy("seq", F.when(listing, 0).otherwise(1))
+    of_stage = F.last(F.when(listing, F.col("job_id")), ignorenulls=True).over(
+        by_stage.rowsBetween(Window.unboundedPreceding, 0))
+    by_executor = Window.partitionBy("app_id", "executor_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({
+        "job_id": F.when(is_stage, of_stage).otherwise(F.col("job_id")),
+        "host": F.last("host", ignorenulls=True).over(by_executor), "driver_host": F.max("driver_host").over(app),
+    }).filter(~listing)
+    on_driver = (kind == scaleout.EXECUTOR) & F.coalesce(F.col("host") == F.col("driver_host"), F.lit(False))
+    return rows.withColumn("delta", F.when(on_driver, 0).otherwise(F.col("delta"))).drop(
+        "_listed", "host", "driver_host", "executor_id")
+
+
+def job_end_stages(parsed: DataFrame, splits: DataFrame, initial: DataFrame, base: int = 0) -> DataFrame:
+    """Job ends with their stages in one pass over the control lines."""
+    described = fused.described_events(tagged_rows(parsed, splits, initial), scaleout.SEQ, base)
+    in_time = lambda end: F.col("seq") < end["seq"]
+    return fused.job_stages(described, in_time, carried=[*stages.RDD_TOTALS, *stages.RATIOS]).drop("_done_id")
+
+
 def fleet_tables(
     parsed: DataFrame, initial: DataFrame, hot: bool = True, base: int = 0
 ) -> dict[str, DataFrame]:
@@ -94,7 +129,10 @@ def fleet_tables(
     job_ends = messages.ended_jobs(tracked).join(
         job_ratio.select("app_id", "job_id", "rescaling_time_ratio"), ["app_id", "job_id"]
     )
-    rows = messages.job_end_rows(job_ends, features)
+    if hot:
+        rows = messages.job_end_rows(job_ends, features)
+    else:
+        rows = job_end_stages(parsed, splits, initial, base)
     return {
         "app_start": messages.app_start_records(
             starts.select("app_id", F.col("t_ms").alias("app_time")), settings

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telescale.operators.scaleout import (
-    APP_END, APP_START, COMPLETE, JOB_END, JOB_START, SUBMIT,
+    APP_END, APP_START, COMPLETE, EXECUTOR, JOB_END, JOB_START, SUBMIT,
 )
 from telescale.operators.stages import COUNTERS, rdd_array_totals, stage_task_totals
 
@@ -50,6 +50,13 @@ ACCUMULABLES = {
     "peak_mem": ("peakExecutionMemory",),
 }
 
+#: The kind of row that each line other than those of tasks becomes.
+KINDS = {
+    "EnvironmentUpdate": "environment", "ApplicationStart": APP_START, "ApplicationEnd": APP_END,
+    "JobStart": JOB_START, "JobEnd": JOB_END, "StageSubmitted": SUBMIT, "StageCompleted": COMPLETE,
+    "ExecutorAdded": EXECUTOR, "ExecutorRemoved": EXECUTOR,
+}
+
 _HEAD = '{"Event":"'
 _SPLIT = ["file_path", "split_start"]
 
@@ -133,6 +140,21 @@ def _pick(parsed: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return parsed.filter(F.col("event").isin(*kinds)).withColumn("kind", names[F.col("event")])
 
 
+def control_rows(parsed: DataFrame) -> DataFrame:
+    """All lines but those of tasks as rows of one frame: origin, kind and what a line of that kind says."""
+    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    event = F.col("event")
+    return parsed.filter(event.isin(*KINDS)).select(
+        *_SPLIT, "line_id", names[event].alias("kind"), F.col("e.`Job ID`").alias("job_id"),
+        F.col("e.`Stage Infos`.`Stage ID`").alias("stage_ids"), F.col("e.`Executor ID`").alias("executor_id"),
+        F.col("e.`Executor Info`.Host").alias("host"),
+        F.try_element_at("e.`Spark Properties`", F.lit("spark.driver.host")).alias("driver_host"),
+        F.when(event == "ExecutorAdded", 1).when(event == "ExecutorRemoved", -1).alias("delta"),
+        F.coalesce("e.Timestamp", "e.`Submission Time`", "e.`Completion Time`").alias("t_ms"),
+        *stage_columns(), *accumulable_totals(),
+    )
+
+
 def scan_app_events(parsed: DataFrame, splits: DataFrame | None = None) -> DataFrame:
     rows = _pick(parsed, {"ApplicationStart": APP_START, "ApplicationEnd": APP_END})
     rows = rows.select(

@@ -37,11 +37,6 @@ from telescale.streaming.processors import (
 #: How long after its time limit an answer may still be on its way, and how long messages may be read out of order.
 LAG_MS = 30_000
 
-KINDS = {
-    "EnvironmentUpdate": "environment", "ApplicationStart": APP_START, "ApplicationEnd": APP_END,
-    "JobStart": JOB_START, "JobEnd": JOB_END, "StageSubmitted": SUBMIT, "StageCompleted": COMPLETE,
-    "ExecutorAdded": EXECUTOR, "ExecutorRemoved": EXECUTOR,
-}
 STAGE_FIELDS = (
     "stage_id int, attempt_id int, stage_name string, num_tasks int, parent_stage_ids array<int>, "
     "submit_ms bigint, complete_ms bigint, failure_reason string, rdd_num_partitions bigint, "
@@ -106,8 +101,8 @@ def _stage_ratios(rows: DataFrame) -> DataFrame:
 
 def app_events(parsed: DataFrame, initial: Column) -> DataFrame:
     """Parsed lines as the rows the tracker needs; task lines are left out."""
-    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
-    rows = parsed.filter(F.col("event").isin(*KINDS)).withColumn("kind", names[F.col("event")])
+    names = F.create_map(*[F.lit(x) for pair in event_log.KINDS.items() for x in pair])
+    rows = parsed.filter(F.col("event").isin(*event_log.KINDS)).withColumn("kind", names[F.col("event")])
     start = F.col("kind") == APP_START
     rows = _stage_ratios(rows.select("*", *event_log.stage_columns()))
     return rows.select(
@@ -152,7 +147,7 @@ def start_lines(parsed: DataFrame) -> DataFrame:
     """The lines that make up an application's start, with the settings that specifications read as JSON."""
     rows = parsed.filter(F.col("event").isin("EnvironmentUpdate", "ApplicationStart", "ApplicationEnd"))
     known = F.map_filter("e.`Spark Properties`", lambda k, _: k.isin([*REQUIRED_KEYS, *OPTIONAL_KEYS]))
-    names = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    names = F.create_map(*[F.lit(x) for pair in event_log.KINDS.items() for x in pair])
     return rows.select(
         "log_id", *PLACE, names[F.col("event")].alias("kind"), F.col("e.`App ID`").alias("app_id"),
         F.col("e.Timestamp").alias("t_ms"), F.to_json(known).alias("settings"),
