@@ -29,7 +29,10 @@ def test_query_equals_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", [
     "job_start_records", "stage_job_mapping", "stage_pairing", "stage_rescaling_ratio", "job_rescaling_ratio",
-    "alive_executor_count", "scale_out_intervals", "scale_decisions", "latest_attempt_per_stage",
+    "alive_executor_count", "scale_out_intervals", "scale_decisions", "latest_attempt_per_stage", "job_end_records",
+    "stage_features", "sink_messages", "effective_recommendation", "stage_order_in_job", "orphan_stages",
+    "last_known_timeline", "last_known_asof", "interior_intervals", "response_match", "initial_scale_requests",
+    "answers_to_decisions", "job_rescaling_ratio_from_zero", "fleet_job_end_rows", "app_end_records", "interval_clip",
 ])
 def test_query_equals_sql_when_all_applications_are_hot(spark, con, name):
     spark.conf.set(ROWS_KEY, "12")
