@@ -32,7 +32,8 @@ LETTER = re.compile(r"[^\W\d_²³¹]")
 BY_SPACES = f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
 BY_LETTERS = rf"{SPACE}*[^\W\d_²³¹]+|{SPACE}*(?:[^\w{SPACE}]|[\d_²³¹])+|{SPACE}+"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-KEPT_SEGMENTS = 150_000  # bound on the segments that a worker keeps, about 40 MB
+PIECE_BITS = 24  # bits of an id in the key of a pair
+KEPT_SEGMENTS = 200_000  # bound on the segments that a worker keeps, about 45 MB
 
 
 class PieceModel:
@@ -56,9 +57,9 @@ class PieceModel:
                       if p.type == BYTE and (m := BYTE_PIECE.fullmatch(p.piece))}
         if any(SPACE in p[1:] and p.strip(SPACE) for p in self.ids):
             raise ValueError("a piece holds a space behind another character")
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._segments: dict[str, list[int]] = {}
-        self._older: dict[str, list[int]] = {}
+        self._fits: dict[int, bool] = {}  # by the ids of two pieces
+        self._segments: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         # Pieces that merging can make, and for each the next shorter one that starts it.
         made = {p for p in self.ids if self.merge(p) == [self.ids[p]]}
         self.automaton = ahocorasick.Automaton()
@@ -148,12 +149,12 @@ class PieceModel:
                 return True
 
     def fits(self, left: int, right: int) -> bool:
-        known = self._fits.get((left, right))
+        known = self._fits.get(left << PIECE_BITS | right)
         if known is None:
             known = self._remerged(left, right)
             if len(self._fits) >= KEPT_SEGMENTS:
                 self._fits.clear()
-            self._fits[left, right] = known
+            self._fits[left << PIECE_BITS | right] = known
         return known
 
     # --- encoding -----------------------------------------------------------------------------------
@@ -173,7 +174,7 @@ class PieceModel:
                 if not (failed and failed[end >> 3] >> (end & 7) & 1):
                     if last < 0:
                         break
-                    fit = fits.get((last, piece))
+                    fit = fits.get(last << PIECE_BITS | piece)
                     if fit is None:
                         fit = self.fits(last, piece)
                     if fit:
@@ -205,13 +206,13 @@ class PieceModel:
             out += self._backtrack(stretch) if known else self._as_bytes(stretch)
         return out
 
-    def segment(self, text: str) -> list[int]:
+    def segment(self, text: str) -> tuple[int, ...]:
         """The ids of a segment, kept for its next occurrence. Of full stores, the older half goes."""
         found = self._segments.get(text)
         if found is None:
             found = self._older.get(text)
             if found is None:
-                found = self._segment(text)
+                found = tuple(self._segment(text))
             if len(text) <= 64:
                 if len(self._segments) >= KEPT_SEGMENTS // 2:
                     self._segments, self._older = {}, self._segments
