@@ -206,6 +206,11 @@ def conversation_key() -> Column:
     return F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))
 
 
+def digest_of(text: str) -> Column:
+    """128 bits of the SHA-256 of a column."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def lettered(rows: DataFrame) -> DataFrame:
     """Rows (tree, turn, role, said, place, n_tree) with their first fault and their letter; texts are left behind.
 
@@ -213,7 +218,7 @@ def lettered(rows: DataFrame) -> DataFrame:
     """
     body = F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", "     "))
     narrow = rows.select(
-        conversation_key().alias("tree"), F.col("turn").cast("long").alias("turn"), "role", F.sha2("text", 256).alias("said"),
+        conversation_key().alias("tree"), F.col("turn").cast("long").alias("turn"), "role", digest_of("text").alias("said"),
         (body == "").alias("blank"), (~F.right(body, F.lit(1)).isin(".", "!", "?")).alias("cut"))
     placed = numbered(narrow, ["turn", "role", "said"])
     first = placed.groupBy("tree", "role", "said").agg(F.min("place").alias("_first"), F.count("*").alias("_n"))
@@ -328,7 +333,7 @@ def repaired_turns(rows: DataFrame, marked: DataFrame, solutions: DataFrame) ->
     left = edits(solutions)
     stays = marked.filter("letter <> 'd'").select("tree", "place", "role", "said")
     stays = left.filter("place is not null").join(stays, ["tree", "place"])
-    texts = rows.select(conversation_key().alias("tree"), "role", F.sha2("text", 256).alias("said"), "text")
+    texts = rows.select(conversation_key().alias("tree"), "role", digest_of("text").alias("said"), "text")
     texts = texts.groupBy("tree", "role", "said").agg(F.first("text").alias("text"))
     turns = stays.join(texts, ["tree", "role", "said"]).select(
         "tree", "n", "edit", F.coalesce("new_role", "role").alias("role"), "text")
