@@ -7,19 +7,32 @@ from pyspark.sql import functions as F
 
 from telescale.llm.texts import set_checkpoint_dir
 
+#: Over how many keys the links of one node are dealt.
+SALTS = 64
+
+
+def _salted(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (u, v) with a salt; (u, least), the least neighbour of each node; and that for each salt of the node.
+
+    A node of many links is dealt by its salts. What is brought together by node alone has at most a row for each salt.
+    """
+    salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy("u", "salt").agg(F.min("v").alias("part"))
+    least = parts.groupBy("u").agg(F.min("part").alias("least"))
+    return salted, least, parts.select("u", "salt").join(least, "u")
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the smallest of the node and its neighbours."""
-    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("root").alias("v"))
+    salted, _, least = _salted(links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    return salted.filter("v > u").join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.least("least", "u").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of those."""
-    least = links.groupBy("u").agg(F.min("v").alias("root"))
-    moved = links.join(least, "u")
-    return moved.select(F.col("v").alias("u"), F.col("root").alias("v")).filter("u <> v").union(least.toDF("u", "v"))
+    salted, of_node, least = _salted(links)
+    moved = salted.join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v")
+    return moved.union(of_node.toDF("u", "v"))
 
 
 def components(links: DataFrame) -> DataFrame:
