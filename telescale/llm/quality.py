@@ -174,8 +174,9 @@ RESULT = (
 def quality(docs: DataFrame, keep: Sequence[str] = ("doc_id",), order: Sequence[str] | None = None) -> DataFrame:
     """Measures and verdict of each text, one row for each row of ``docs``.
 
-    The cascade comes first; of the measures listed here those that it skipped are then taken, the others are not. A null text counts as an empty one: no words, base_failed, not kept. Repeated rows give repeated results,
-    columns of ``docs`` outside ``keep`` are not read, and an empty table gives no rows.
+    The cascade comes first; of the measures listed here those that it skipped are then taken, the others are not. A null
+    text counts as an empty one: no words, base_failed, not kept. Texts of any length are measured whole. Repeated rows
+    give repeated results, columns of ``docs`` outside ``keep`` are not read, and an empty table gives no rows.
     """
     order = rule_order(docs) if order is None else list(order)
 
