@@ -74,6 +74,15 @@ def test_app_start_record(spark):
     assert messages.app_start_records(apps, settings).first().environment_specs.machine_type is None
 
 
+def test_settings_are_sorted_by_shares_of_the_applications(spark):
+    """No step before the shuffle sorts what a task has read, and no share is put together with others."""
+    settings = specs.app_config_lookup(config(spark, CONFIG).unionByName(config(spark, {"other": "x"}, "app-2")))
+    assert {r.app_id: len(r.settings) for r in settings.collect()} == {"app-1": len(CONFIG), "app-2": 0}
+    assert settings.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = settings._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Aggregate" not in plan[plan.index("Exchange"):]
+
+
 def test_missing_and_unreadable_settings(spark):
     rows = config(spark, CONFIG).unionByName(config(spark, {"other": "x"}, "app-2"))
     apps = spark.createDataFrame([("app-1",), ("app-2",), ("app-3",)], "app_id string")
