@@ -19,6 +19,7 @@ from telescale.operators.ordered import blocked, has_hot_keys, scan
 from telescale.operators.scaleout import (
     APP_END, APP_START, COMPLETE, EXECUTOR, JOB_END, JOB_START, SUBMIT, track_scale_out,
 )
+from telescale.sources import event_log
 
 INITIAL = 5
 
@@ -527,17 +528,20 @@ def log_lines(ev: DataFrame, hot: bool = True) -> DataFrame:
 
 
 def write_log(ev: DataFrame, path: str, hot: bool = True, segments: int = 1, segment: int = 0) -> None:
-    """Write one segment in time of every application's log, below a folder per application.
+    """Write one segment in time of every application's log, as a collector ships them: many logs in a file.
 
-    A segment of a large application spans several files, in the order of their names.
+    Lines of a log lie together, in order. A segment of a large application spans several files, in the order of their
+    names.
     """
-    lines = log_lines(ev, hot).withColumn("log", F.col("app_id")).withColumn("roll", F.lit(segment))
+    lines = log_lines(ev, hot)
     if segments > 1:
         low, high = ev.agg(F.min("t_ms"), F.max("t_ms")).first()
         width = (high - low) // segments + 1
         place = F.least(F.floor((F.col("at_ms") - low) / width), F.lit(segments - 1))
         lines = lines.filter(place == segment)
-    order = ["log", "roll", "at_ms", "place", "seq"]
-    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("log", "roll", "value").write.partitionBy(
-        "log", "roll"
-    ).mode("append").text(path)
+    order = ["app_id", "at_ms", "place", "seq"]
+    log = F.coalesce(F.col("app_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    log_path = F.concat(F.lit("/log="), log, F.lit(f"/roll={segment}"))
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        event_log.shipped(log_path, F.col("value"))
+    ).write.mode("append").text(path)

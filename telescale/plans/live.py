@@ -27,14 +27,14 @@ class Chain:
         # A query keeps its number of state partitions for life: one per core, not one per shuffle block.
         planned = spark.conf.get("spark.sql.shuffle.partitions")
         cores = spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(planned), cores)))
-        try:
-            for segment in range(segments):
-                b.write_log(ev, self.at("logs"), hot, segments, segment)
+        for segment in range(segments):
+            b.write_log(ev, self.at("logs"), hot, segments, segment)
+            spark.conf.set("spark.sql.shuffle.partitions", str(min(int(planned), cores)))
+            try:
                 self.advance()
                 self.answer(segment, last=segment == segments - 1)
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", planned)
+            finally:
+                spark.conf.set("spark.sql.shuffle.partitions", planned)
 
     def at(self, name: str) -> str:
         return f"{self.root}/{name}"

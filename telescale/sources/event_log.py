@@ -3,15 +3,19 @@
 ``parse_lines`` reads each line once with one schema that names only the fields used here; Spark
 prunes it further to what a query asks for. The result can be written as parquet and read back.
 
+Logs are files of their own, or shipped: a collector that gathers lines of many logs into larger files puts
+before each line the path of the log it is from and a tab (``shipped``). A file for each log costs more to
+create, list and open than a short log costs to read.
+
 A log names its application in one line only, and the text reader gives no line numbers. Both are
-resolved per file split: a split has at most ``spark.sql.files.maxPartitionBytes`` of lines, so the
-join on (file, split) is even however large a single log is. A line's ``seq`` orders it in its log:
+resolved per log and file split: a split has at most ``spark.sql.files.maxPartitionBytes`` of lines, so the
+join on (log, split) is even however large a single log is. A line's ``seq`` orders it in its log:
 the line span of all earlier splits plus its place in its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telescale.operators.scaleout import (
@@ -74,12 +78,26 @@ def line_origin() -> list:
     ]
 
 
+def shipped(log_path: Column, line: Column) -> Column:
+    """A line of a log as a collector writes it: the path of the log's file, a tab, the line."""
+    return F.concat(log_path, F.lit("\t"), line)
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """One row per line of a known event: log_id, roll, origin, ``event`` and the parsed line ``e``.
 
-    A rolled log is a folder of numbered files, any other log is one file.
+    A rolled log is a folder of numbered files, any other log is one file. Shipped lines have the path of that file
+    before them, which becomes a part of ``file_path``: a shipped file is one file for each log in it. A line of a log
+    itself is a JSON object and begins with its brace.
     """
-    value, file = F.col("value"), F.col("file_path")
+    tab = F.when(~F.col("value").startswith("{"), F.instr("value", "\t")).otherwise(0)
+    lines = lines.withColumn("_tab", tab).withColumns({
+        "_log": F.when(F.col("_tab") > 1, F.substr("value", F.lit(1), F.col("_tab") - 1)),
+        "value": F.when(F.col("_tab") > 1, F.substr("value", F.col("_tab") + 1)).otherwise(F.col("value")),
+    }).withColumns({
+        "_log": F.coalesce("_log", "file_path"), "file_path": F.concat_ws("#", "file_path", "_log"),
+    })
+    value, file = F.col("value"), F.col("_log")
     # Spark writes the event's name first; other layouts are parsed for it.
     name = F.when(
         value.startswith(_HEAD), F.substring_index(F.substr(value, F.lit(len(_HEAD) + 1)), '"', 1)

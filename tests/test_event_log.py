@@ -11,9 +11,11 @@ import sys
 import pytest
 
 from telescale.operators.stages import COUNTERS
+from telescale.plans import bindings as b
 from telescale.plans.fleet import fleet_tables, has_hot_logs
 from telescale.session import shared_dir
 from telescale.sources import event_log
+from tests.conftest import SF
 from tests.test_rescaling import literal
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -155,3 +157,37 @@ def test_rolled_files_and_other_spellings(spark, tmp_path):
     jobs = event_log.scan_job_events(parsed).orderBy("seq").collect()
     assert [(j.app_id, j.job_id) for j in jobs] == [("app-1", i) for i in range(2, 12)]
     assert event_log.scan_app_events(parsed).count() == 1
+
+
+def test_shipped_lines_are_those_of_the_logs(spark, tmp_path):
+    """Lines of many logs in one file, their paths before them, give what a file for each log gives."""
+    logs = {
+        "log=a/roll=0": ['{"Event":"SparkListenerApplicationStart","App Name":"x\\ty","App ID":"a","Timestamp":1}',
+                         '{"Event":"SparkListenerJobStart","Job ID":0,"Submission Time":2}'],
+        "log=a/roll=1": ['{"Event":"SparkListenerApplicationEnd","Timestamp":9}'],
+        "log=b/roll=0": ['{"Event":"SparkListenerApplicationStart","App Name":"b","App ID":"b","Timestamp":3}',
+                         '{"Event":"SparkListenerApplicationEnd","Timestamp":4}'],
+    }
+    for path, lines in logs.items():
+        (tmp_path / "own" / path).mkdir(parents=True)
+        (tmp_path / "own" / path / "part.txt").write_text("\n".join(lines))
+    (tmp_path / "shipped").mkdir()
+    (tmp_path / "shipped" / "part.txt").write_text("\n".join(f"/{p}\t{x}" for p, lines in logs.items() for x in lines))
+
+    def rows(layout):
+        parsed = event_log.parse_lines(event_log.read_lines(spark, str(tmp_path / layout)))
+        named = event_log.with_app(parsed, event_log.log_splits(parsed))
+        return sorted(tuple(r) for r in named.select("app_id", "seq", "event", "e.App Name", "e.Timestamp").collect())
+
+    assert rows("own") == rows("shipped")
+    assert [r[:3] for r in rows("shipped")][:3] == [
+        ("a", 0, "ApplicationStart"), ("a", 1, "JobStart"), ("a", 2, "ApplicationEnd")]
+
+
+def test_logs_are_written_into_few_files(spark, tmp_path):
+    ev = b.events(spark, SF)
+    b.write_log(ev, str(tmp_path / "logs"), hot=False)
+    parsed = event_log.parse_lines(event_log.read_lines(spark, str(tmp_path / "logs")))
+    n_logs = parsed.select("log_id").distinct().count()
+    assert n_logs == ev.select("app_id").distinct().count()
+    assert len(list((tmp_path / "logs").rglob("part-*.txt"))) <= 8 < n_logs
