@@ -154,3 +154,12 @@ def test_identifiers_are_learned_from_several_texts(spark):
     learned = secrets.learn_identifiers(plain.docs_of(spark, rows))
     assert "ledger_total" in learned and "quarterly" in learned and key not in learned and "w" * 30 not in learned
     assert secrets.learn_identifiers(plain.docs_of(spark, [])) == secrets.IDENTIFIERS
+
+
+def test_identifiers_are_counted_over_all_texts(spark):
+    """Words of three of 20 000 texts are learned wherever they stand; those of copies of one text are not."""
+    rare = {3: "northern", 9_999: "northern", 19_998: "northern"}
+    rows = [(i, f"{rare.get(i, '')} item {i} of many") for i in range(20_000)]
+    copies = [(20_000 + i, "copied_word of one text") for i in range(5)]
+    learned = secrets.learn_identifiers(plain.docs_of(spark, rows + copies)).split()
+    assert {"item", "many", "northern"} <= set(learned) and "copied_word" not in learned
