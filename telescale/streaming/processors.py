@@ -1,11 +1,16 @@
-"""State per application for the streaming tables. Each processor keeps a handful of values per key."""
+"""State per application for the streaming tables. Each processor keeps a handful of values per key.
+
+A processor takes and gives plain tuples (``take``, ``expire``). Spark calls it through ``PerRow``, without a frame for each
+application; called by itself it takes and gives frames. State is read and written once for each value and batch.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import namedtuple
+from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from telescale.operators.scaleout import (
@@ -15,8 +20,13 @@ from telescale.operators.scaleout import (
 PLACE = ["roll", "file_path", "split_start", "line_id"]
 
 
-def _whole(values) -> pd.Series:
-    return pd.Series(values).astype("Int64")
+def _whole(value) -> int | None:
+    return None if value is None else int(value)
+
+
+def _in_place(rows: list) -> list:
+    """Lines in the order of their log; those without a place last."""
+    return sorted(rows, key=lambda r: tuple((v is None, v) for v in r[:len(PLACE)]))
 
 
 def _ratio(length: int, span: int) -> float:
@@ -25,6 +35,44 @@ def _ratio(length: int, span: int) -> float:
     return 1.0 if span == 0 else length / span
 
 
+class Cached:
+    """A map state that is read and written at most once for each of its keys and batch.
+
+    What comes and goes within a batch never reaches the store, and an application without state reads nothing.
+    """
+
+    def __init__(self, state) -> None:
+        self.state = state
+        self.begin(False)
+
+    def begin(self, fresh: bool) -> None:
+        """Forget the batch before; ``fresh`` says that the store holds nothing of this application."""
+        self.fresh, self.values, self.stored, self.changed = fresh, {}, {}, {}
+
+    def get(self, key: tuple, sure: bool = False) -> tuple | None:
+        """The value of a key, None if there is none; ``sure`` that it was put."""
+        if key not in self.values:
+            self.stored[key] = there = not self.fresh and (sure or self.state.containsKey(key))
+            self.values[key] = tuple(self.state.getValue(key)) if there else None
+        return self.values[key]
+
+    def put(self, key: tuple, value: tuple | None, new: bool = False) -> None:
+        """Set a value, None to remove it; ``new`` says that the batch found nothing in the store under this key."""
+        if new:
+            self.stored.setdefault(key, False)
+        self.values[key] = value
+        self.changed[key] = True
+
+    def write(self) -> None:
+        for key in self.changed:
+            value = self.values[key]
+            if value is not None:
+                self.state.updateValue(key, value)
+            elif not self.fresh and (self.stored[key] if key in self.stored else self.state.containsKey(key)):
+                self.state.removeKey(key)
+        self.changed = {}
+
+
 #: How long after an application's end its state is kept, for lines that were logged behind the end.
 FREED_AFTER_MS = 3_600_000
 #: How long it is remembered after that that the application is over.
@@ -38,110 +86,92 @@ class Ending(StatefulProcessor):
     of a new application.
     """
 
+    IN: Sequence[str] = ()  # columns of a row taken
+    OUT: Sequence[str] = ()  # and of one given out
+    cached: Sequence[Cached] = ()
+
     def __init__(self, freed_after_ms: int = FREED_AFTER_MS, remembered_ms: int = REMEMBERED_MS) -> None:
         self.freed_after_ms, self.remembered_ms = freed_after_ms, remembered_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.over = handle.getValueState("over", "late bigint", self.remembered_ms)
+        self.row = namedtuple("Taken", self.IN)
+
+    def take(self, key: tuple, rows: list, timerValues) -> list[tuple]:
+        raise NotImplementedError
+
+    def expire(self, key: tuple, timerValues, expiredTimerInfo) -> list[tuple]:
+        self._begin(False)
+        self._forget_all()
+        return []
 
-    def _late(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
-        """The rows if the application is over; they are counted."""
+    def _begin(self, fresh: bool) -> None:
+        self.fresh = fresh
+        for state in self.cached:
+            state.begin(fresh)
+
+    def _write(self) -> None:
+        for state in self.cached:
+            state.write()
+
+    def _late(self, rows: list) -> bool:
+        """Whether the application is over; its rows are counted then."""
         if not self.over.exists():
-            return None
-        late = pd.concat(list(rows), ignore_index=True)
-        self.over.update((self.over.get()[0] + len(late),))
-        return late
+            return False
+        self.over.update((self.over.get()[0] + len(rows),))
+        return True
 
-    def _ended(self, df: pd.DataFrame, timerValues) -> None:
-        if (df["kind"] == APP_END).any():
+    def _ended(self, rows: list, timerValues) -> None:
+        if any(row.kind == APP_END for row in rows):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.freed_after_ms)
 
     def _forget_all(self) -> None:
-        for state in self.states:
-            state.clear()
+        if not self.fresh:
+            for state in self.states:
+                state.clear()
+        self._begin(True)
         self.over.update((0,))
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        taken = []
+        for frame in rows:
+            frame = frame[list(self.IN)].astype(object)
+            taken += map(self.row._make, frame.where(frame.notna(), None).itertuples(index=False, name=None))
+        return self._frames(self.take(key, taken, timerValues))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._forget_all()
-        return iter([])
+        return self._frames(self.expire(key, timerValues, expiredTimerInfo))
+
+    def _frames(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        return iter([pd.DataFrame(rows, columns=list(self.OUT), dtype=object)] if rows else [])
 
     def close(self) -> None:
         pass
 
 
-class ScaleOutTracker(Ending):
-    """Live executors and the last known scale-out, event by event, and the number of each message in its log.
+class PerRow(StatefulProcessor):
+    """A processor as ``transformWithState`` calls it, with Spark's rows."""
 
-    Rows that arrive after the state went come out as they are, of kind ``late``.
-    """
-
-    def __init__(self, base: int = 0, freed_after_ms: int = FREED_AFTER_MS) -> None:
-        super().__init__(freed_after_ms)
-        self.base = base
+    def __init__(self, processor: Ending) -> None:
+        self.processor = processor
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.app = handle.getValueState(
-            "app",
-            "app_id string, driver_host string, total int, initial int, last_known int, n bigint, messages bigint",
-        )
-        self.hosts = handle.getMapState("hosts", "executor_id string", "host string")
-        self.states = (self.app, self.hosts)
+        self.processor.init(handle)
+        self.out, self.at = Row(*self.processor.OUT), None
 
-    def _host(self, row) -> str | None:
-        if row.delta > 0:
-            self.hosts.updateValue((row.executor_id,), (row.host,))
-            return row.host
-        key = (row.executor_id,)
-        if not self.hosts.containsKey(key):
-            return None
-        host = self.hosts.getValue(key)[0]
-        self.hosts.removeKey(key)
-        return host
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows, make = list(rows), self.processor.row._make
+        if self.at is None:
+            self.at = [rows[0].__fields__.index(name) for name in self.processor.IN]
+        taken = [make([row[i] for i in self.at]) for row in rows]
+        return (self.out(*row) for row in self.processor.take(key, taken, timerValues))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        late = self._late(rows)
-        if late is not None:
-            yield late.assign(log_id=key[0], kind=LATE).reindex(columns=OUT_TRACKED).astype(WHOLE_TRACKED)
-            return
-        old = self.app.get() if self.app.exists() else (None, None, 0, None, None, 0, 0)
-        app_id, driver, total, initial, known, n, n_messages = old
-        df = pd.concat(list(rows), ignore_index=True).sort_values(PLACE, ignore_index=True)
-        app_id = df["app_id"].dropna().iloc[0] if df["app_id"].notna().any() else app_id
-        driver = df["driver_host"].dropna().iloc[0] if df["driver_host"].notna().any() else driver
-
-        delta = df["delta"].to_numpy().copy()
-        if driver is not None:  # executors beside the driver are not counted
-            for row in df[df["kind"] == EXECUTOR].itertuples():
-                if self._host(row) == driver:
-                    delta[row.Index] = 0
-        totals = total + np.cumsum(delta)
-        alive = _whole(np.maximum(0, self.base + totals))
-        kind, first_job = df["kind"], df["job_id"] == 0
-        first = pd.concat([_whole([initial]), _whole(df["initial"])]).ffill().iloc[1:].reset_index(drop=True)
-        counts = ((kind == JOB_START) & ~first_job) | (kind == JOB_END)
-        update = alive.where(counts).mask(kind == APP_START, first)
-        last = pd.concat([_whole([known]), update]).ffill().iloc[1:].reset_index(drop=True)
-        reported = alive.mask((kind == JOB_START) & first_job, first).mask(kind == APP_END, last)
-
-        is_message = kind.isin(MESSAGES)
-        numbers = _whole(n_messages - 1 + is_message.cumsum()).where(is_message)
-
-        def plain(v):
-            return None if pd.isna(v) else int(v)
-
-        self.app.update((
-            app_id, driver, int(totals[-1]), plain(first.iloc[-1]), plain(last.iloc[-1]), n + len(df),
-            n_messages + int(is_message.sum()),
-        ))
-        self._ended(df, timerValues)
-        out = df.drop(columns=[*PLACE, "app_id", "initial", "driver_host", "executor_id", "host", "delta"])
-        out = out.assign(
-            log_id=key[0], app_id=app_id, seq=np.arange(n, n + len(df)), message_no=numbers, num_executors=reported,
-            last_known=last,
-        )
-        yield out[OUT_TRACKED]
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return (self.out(*row) for row in self.processor.expire(key, timerValues, expiredTimerInfo))
+
+    def close(self) -> None:
+        self.processor.close()
 
 
 STAGE = [
@@ -153,7 +183,6 @@ OUT_TRACKED = [
     "log_id", "app_id", "seq", "message_no", "num_executors", "last_known", "kind", "t_ms", "job_id", "stage_ids",
     *STAGE,
 ]
-WHOLE_TRACKED = dict.fromkeys(("seq", "message_no", "num_executors", "last_known"), "Int64")
 MESSAGES = [APP_START, JOB_START, JOB_END, APP_END]
 LATE = "late"
 OUT_STAGE = [
@@ -162,31 +191,120 @@ OUT_STAGE = [
 ]
 
 
+class ScaleOutTracker(Ending):
+    """Live executors and the last known scale-out, event by event, and the number of each message in its log.
+
+    Rows that arrive after the state went come out as they are, of kind ``late``. The columns ``passed`` come out as they
+    went in.
+    """
+
+    def __init__(
+        self, base: int = 0, freed_after_ms: int = FREED_AFTER_MS, passed: Sequence[str] = ("stage_ids", *STAGE)
+    ) -> None:
+        super().__init__(freed_after_ms)
+        self.base = base
+        self.IN = [*PLACE, "app_id", "initial", "driver_host", "executor_id", "host", "delta", "kind", "t_ms", "job_id", *passed]
+        self.OUT = [*OUT_TRACKED[:OUT_TRACKED.index("stage_ids")], *passed]
+        self.n_passed = len(passed)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.app = handle.getValueState(
+            "app",
+            "app_id string, driver_host string, total int, initial int, last_known int, n bigint, messages bigint",
+        )
+        hosts = handle.getMapState("hosts", "executor_id string", "host string")
+        self.states = (self.app, hosts)
+        self.hosts = Cached(hosts)
+        self.cached = (self.hosts,)
+
+    def _host(self, row) -> str | None:
+        key = (row.executor_id,)
+        if row.delta > 0:
+            self.hosts.put(key, (row.host,))
+            return row.host
+        held = self.hosts.get(key)
+        if held is None:
+            return None
+        self.hosts.put(key, None)
+        return held[0]
+
+    def take(self, key, rows, timerValues) -> list[tuple]:
+        at = len(self.IN) - self.n_passed
+        if self._late(rows):
+            empty = (None,) * 4
+            return [(key[0], row.app_id, *empty, LATE, row.t_ms, row.job_id, *row[at:]) for row in rows]
+        fresh = not self.app.exists()
+        self._begin(fresh)
+        app_id, driver, total, initial, known, n, n_messages = (None, None, 0, None, None, 0, 0) if fresh else self.app.get()
+        rows = _in_place(rows)
+        app_id = next((row.app_id for row in rows if row.app_id is not None), app_id)
+        driver = next((row.driver_host for row in rows if row.driver_host is not None), driver)
+
+        out = []
+        for row in rows:
+            kind, number = row.kind, None
+            # Executors beside the driver are not counted.
+            if driver is None or kind != EXECUTOR or self._host(row) != driver:
+                total += int(row.delta)
+            if row.initial is not None:
+                initial = int(row.initial)
+            reported = alive = max(0, self.base + total)
+            if kind == JOB_END or kind == JOB_START and row.job_id != 0:
+                known = alive
+            elif kind == JOB_START:
+                reported = initial
+            elif kind == APP_START:
+                known = known if initial is None else initial
+            elif kind == APP_END:
+                reported = known
+            if kind in MESSAGES:
+                number = n_messages
+                n_messages += 1
+            out.append((key[0], app_id, n, number, reported, known, kind, row.t_ms, row.job_id, *row[at:]))
+            n += 1
+        self._write()
+        self.app.update((app_id, driver, total, initial, known, n, n_messages))
+        self._ended(rows, timerValues)
+        return out
+
+
 class StagePairer(Ending):
     """Holds submitted stage attempts until they complete or the application is over."""
 
+    IN = ["seq", "kind", "stage_id", "attempt_id", "submit_ms", "complete_ms"]
+    OUT = ["app_id", "stage_id", "attempt_id", "submit_ms", "complete_ms"]
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.submitted = handle.getMapState("submitted", "stage_id int, attempt_id int", "submit_ms bigint")
-        self.states = (self.submitted,)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._late(rows) is not None:
-            return
-        df = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
+        submitted = handle.getMapState("submitted", "stage_id int, attempt_id int", "submit_ms bigint")
+        self.begun = handle.getValueState("begun", "yes boolean")
+        self.states = (submitted, self.begun)
+        self.submitted = Cached(submitted)
+        self.cached = (self.submitted,)
+
+    def take(self, key, rows, timerValues) -> list[tuple]:
+        if self._late(rows):
+            return []
+        self._begin(not self.begun.exists())
         pairs = []
-        for row in df[df["kind"].isin([SUBMIT, COMPLETE])].itertuples():
+        for row in sorted(rows, key=lambda r: r.seq):
+            if row.kind not in (SUBMIT, COMPLETE):
+                continue
             attempt = (int(row.stage_id), int(row.attempt_id))
             if row.kind == SUBMIT:
-                self.submitted.updateValue(attempt, (int(row.submit_ms),))
-            elif self.submitted.containsKey(attempt):
-                start = self.submitted.getValue(attempt)[0]
-                self.submitted.removeKey(attempt)
-                if start <= row.complete_ms:
-                    pairs.append((key[0], *attempt, start, int(row.complete_ms)))
-        self._ended(df, timerValues)
-        if pairs:
-            yield pd.DataFrame(pairs, columns=["app_id", "stage_id", "attempt_id", "submit_ms", "complete_ms"])
+                self.submitted.put(attempt, (int(row.submit_ms),))
+                continue
+            held = self.submitted.get(attempt)
+            if held is not None:
+                self.submitted.put(attempt, None)
+                if held[0] <= row.complete_ms:
+                    pairs.append((key[0], *attempt, int(held[0]), int(row.complete_ms)))
+        if self.fresh:
+            self.begun.update((True,))
+        self._write()
+        self._ended(rows, timerValues)
+        return pairs
 
 
 class Points:
@@ -196,24 +314,21 @@ class Points:
     subtraction.
     """
 
-    def __init__(self, state) -> None:
-        self.state, self.seen = state, {}
+    def __init__(self, state: Cached) -> None:
+        self.state = state
 
     def begin(self, low: int, high: int) -> None:
         """Take up events ``low`` to ``high`` (not included) as held."""
-        self.low, self.high, self.seen = low, high, {}
+        self.low, self.high = low, high
 
     def at(self, i: int) -> tuple[int, int, int]:
         """Time of an event, and number and summed times of the ties up to it."""
-        if i not in self.seen:
-            self.seen[i] = tuple(self.state.getValue((i,)))
-        return self.seen[i]
+        return self.state.get((i,), sure=True)
 
     def append(self, t: int) -> None:
         before, ties, tie_ms = self.at(self.high - 1) if self.high > self.low else (None, 0, 0)
         tied = int(before == t)
-        self.seen[self.high] = (t, ties + tied, tie_ms + tied * t)
-        self.state.updateValue((self.high,), self.seen[self.high])
+        self.state.put((self.high,), (t, ties + tied, tie_ms + tied * t), new=True)
         self.high += 1
 
     def first_from(self, t: int, low: int) -> int:
@@ -229,7 +344,7 @@ class Points:
 
     def drop_before(self, t: int) -> None:
         while self.low < self.high and self.at(self.low)[0] < t:
-            self.state.removeKey((self.low,))
+            self.state.put((self.low,), None)
             self.low += 1
 
     def ratio(self, start: int, end: int) -> float:
@@ -251,29 +366,33 @@ class JobEndCollector(Ending):
     job needs just the counters in ``app``.
     """
 
+    IN = ["seq", "kind", "t_ms", "job_id", "stage_ids", "num_executors", "last_known", *STAGE]
+    OUT = OUT_STAGE
     APP = ["start", "seen", "first", "last", "ties", "tie_ms", "low", "high", "head", "tail"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.stage_jobs = handle.getMapState("stage_jobs", "stage_id int", "job_id int")
-        self.jobs = handle.getMapState("jobs", "job_id int", "submits int, completes int")
-        self.listed = handle.getMapState("listed", "job_id int", "stages array<int>")
-        self.queue = handle.getMapState("queue", "place bigint", "job_id int, start_ms bigint")
-        self.submits = handle.getMapState(
-            "submits", "job_id int, n int",
-            "stage_id int, name string, tasks int, parents array<int>, ms bigint, scale int",
-        )
-        self.completes = handle.getMapState(
-            "completes", "job_id int, n int",
-            "stage_id int, attempt int, ms bigint, scale int, ratio double, reason string, sizes array<bigint>, "
-            "metrics array<double>",
+        maps = (
+            handle.getMapState("stage_jobs", "stage_id int", "job_id int"),
+            handle.getMapState("jobs", "job_id int", "submits int, completes int"),
+            handle.getMapState("listed", "job_id int", "stages array<int>"),
+            handle.getMapState("queue", "place bigint", "job_id int, start_ms bigint"),
+            handle.getMapState(
+                "submits", "job_id int, n int",
+                "stage_id int, name string, tasks int, parents array<int>, ms bigint, scale int",
+            ),
+            handle.getMapState(
+                "completes", "job_id int, n int",
+                "stage_id int, attempt int, ms bigint, scale int, ratio double, reason string, sizes array<bigint>, "
+                "metrics array<double>",
+            ),
+            handle.getMapState("times", "place bigint", "ms bigint, ties bigint, tie_ms bigint"),
         )
-        self.times = handle.getMapState("times", "place bigint", "ms bigint, ties bigint, tie_ms bigint")
         self.app = handle.getValueState("app", ", ".join(f"{c} bigint" for c in self.APP))
-        self.states = (
-            self.stage_jobs, self.jobs, self.listed, self.queue, self.submits, self.completes, self.times, self.app,
-        )
-        self.points = Points(self.times)
+        self.states = (*maps, self.app)
+        self.cached = tuple(map(Cached, maps))
+        self.stage_jobs, self.jobs, self.listed, self.queue, self.submits, self.completes, times = self.cached
+        self.points = Points(times)
 
     def _count(self, t: int) -> None:
         """Take one executor event into the window that began with the application."""
@@ -287,15 +406,14 @@ class JobEndCollector(Ending):
             s["tie_ms"] += t
         s["last"] = t
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._late(rows) is not None:
-            return
-        old = self.app.get() if self.app.exists() else (None, 0, None, None, 0, 0, 0, 0, 0, 0)
-        self.held = dict(zip(self.APP, old))
+    def take(self, key, rows, timerValues) -> list[tuple]:
+        if self._late(rows):
+            return []
+        self._begin(not self.app.exists())
+        self.held = dict(zip(self.APP, (None, 0, None, None, 0, 0, 0, 0, 0, 0) if self.fresh else self.app.get()))
         self.points.begin(self.held["low"], self.held["high"])
         out = []
-        df = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-        for row in df.itertuples():
+        for row in sorted(rows, key=lambda r: r.seq):
             if row.kind == APP_START:
                 self.held["start"] = int(row.t_ms)
                 for i in range(self.points.low, self.points.high):
@@ -309,67 +427,67 @@ class JobEndCollector(Ending):
             elif row.kind in (SUBMIT, COMPLETE):
                 self._take(row)
             elif row.kind == JOB_END:
-                out.extend(self._end(row))
-        self._drop(int(df["t_ms"].max()))
+                out += [(key[0], *found) for found in self._end(row)]
+        times = [int(row.t_ms) for row in rows if row.t_ms is not None]
+        if times:
+            self._drop(max(times))
         self.held |= {"low": self.points.low, "high": self.points.high}
+        self._write()
         self.app.update(tuple(self.held[n] for n in self.APP))
-        self._ended(df, timerValues)
-        if out:
-            frame = pd.DataFrame(out, columns=OUT_STAGE[1:])
-            yield frame.assign(app_id=key[0])[OUT_STAGE]
+        self._ended(rows, timerValues)
+        return out
 
     def _start(self, job: int, t_ms: int, stages: list[int]) -> None:
-        if self.jobs.containsKey((job,)):
-            earlier = [int(i) for i in self.listed.getValue((job,))[0]]
-            self.listed.updateValue((job,), ([*earlier, *stages],))
+        if self.jobs.get((job,)) is not None:
+            self.listed.put((job,), ([*self.listed.get((job,))[0], *stages],))
         else:
-            self.jobs.updateValue((job,), (0, 0))
-            self.listed.updateValue((job,), (stages,))
-            self.queue.updateValue((self.held["tail"],), (job, t_ms))
+            self.jobs.put((job,), (0, 0))
+            self.listed.put((job,), (stages,), new=True)
+            self.queue.put((self.held["tail"],), (job, t_ms), new=True)
             self.held["tail"] += 1
         for stage in stages:
-            self.stage_jobs.updateValue((stage,), (job,))
+            self.stage_jobs.put((stage,), (job,))
 
     def _take(self, row) -> None:
         """A submitted or completed stage, held with its job."""
         stage = int(row.stage_id)
-        if not self.stage_jobs.containsKey((stage,)):
+        job = self.stage_jobs.get((stage,))
+        counts = None if job is None else self.jobs.get(job)
+        if counts is None:
             return
-        job = int(self.stage_jobs.getValue((stage,))[0])
-        if not self.jobs.containsKey((job,)):
-            return
-        submits, completes = self.jobs.getValue((job,))
+        submits, completes = counts
         if row.kind == SUBMIT:
-            self.submits.updateValue((job, submits), (
+            self.submits.put((*job, submits), (
                 stage, row.stage_name, int(row.num_tasks), [int(i) for i in row.parent_stage_ids], int(row.submit_ms),
-                int(row.last_known),
-            ))
+                _whole(row.last_known),
+            ), new=True)
             submits += 1
         else:
-            self.completes.updateValue((job, completes), (
-                stage, int(row.attempt_id), int(row.complete_ms), int(row.last_known),
+            metrics = [getattr(row, c) for c in STAGE[12:]]
+            self.completes.put((*job, completes), (
+                stage, int(row.attempt_id), int(row.complete_ms), _whole(row.last_known),
                 self.points.ratio(int(row.submit_ms), int(row.complete_ms)), row.failure_reason or "",
-                [int(getattr(row, c)) for c in STAGE[8:12]], [float(getattr(row, c)) for c in STAGE[12:]],
-            ))
+                [_whole(getattr(row, c)) for c in STAGE[8:12]], [None if v is None else float(v) for v in metrics],
+            ), new=True)
             completes += 1
-        self.jobs.updateValue((job,), (submits, completes))
+        self.jobs.put(job, (submits, completes))
 
     def _end(self, row) -> list[tuple]:
-        job = int(row.job_id)
-        if not self.jobs.containsKey((job,)):
+        job = (int(row.job_id),)
+        counts = self.jobs.get(job)
+        if counts is None:
             return []
-        n_submits, n_completes = self.jobs.getValue((job,))
-        listed = self.listed.getValue((job,))[0]
+        listed = self.listed.get(job)[0]
         mine, done = [], []
-        for state, n, found in ((self.submits, n_submits, mine), (self.completes, n_completes, done)):
+        for state, n, found in zip((self.submits, self.completes), counts, (mine, done)):
             for i in range(n):
-                found.append(tuple(state.getValue((job, i))))
-                state.removeKey((job, i))
-        self.jobs.removeKey((job,))
-        self.listed.removeKey((job,))
-        for stage in dict.fromkeys(int(i) for i in listed):
-            if self.stage_jobs.containsKey((stage,)) and self.stage_jobs.getValue((stage,))[0] == job:
-                self.stage_jobs.removeKey((stage,))
+                found.append(state.get((*job, i), sure=True))
+                state.put((*job, i), None)
+        self.jobs.put(job, None)
+        self.listed.put(job, None)
+        for stage in dict.fromkeys(listed):
+            if self.stage_jobs.get((stage,)) == job:
+                self.stage_jobs.put((stage,), None)
         if len(mine) != len(done):  # such jobs are reported by the count check
             return []
         by_stage = lambda x: x[0]
@@ -378,11 +496,11 @@ class JobEndCollector(Ending):
     def _drop(self, now: int) -> None:
         """Forget executor events from before the oldest running job."""
         while self.held["head"] < self.held["tail"]:
-            job, start = self.queue.getValue((self.held["head"],))
-            if self.jobs.containsKey((job,)):
+            job, start = self.queue.get((self.held["head"],), sure=True)
+            if self.jobs.get((job,)) is not None:
                 now = min(now, start)
                 break
-            self.queue.removeKey((self.held["head"],))
+            self.queue.put((self.held["head"],), None)
             self.held["head"] += 1
         if self.held["start"] is not None:
             self.points.drop_before(now)
@@ -393,7 +511,7 @@ class JobEndCollector(Ending):
         if s["first"] is not None:
             length = s["last"] - s["first"] + s["ties"] * end - s["tie_ms"]
         ratio = _ratio(length, end - s["start"])
-        head = (int(row.job_id), end, int(row.num_executors), ratio)
+        head = (int(row.job_id), end, _whole(row.num_executors), ratio)
         return [
             (*head, b[0], c[1], b[1], b[2], list(b[3]), b[4], c[2], c[5], *c[6], *c[7], b[5], c[3], c[4])
             for b, c in stages.values()
@@ -403,29 +521,32 @@ class JobEndCollector(Ending):
 class StartComposer(Ending):
     """An application's start and its settings, from two lines of its log that may arrive apart, in any order."""
 
+    IN = [*PLACE, "kind", "app_id", "t_ms", "settings"]
+    OUT = ["app_id", "app_time", "settings"]
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.seen = handle.getValueState("seen", "app_id string, app_time bigint, settings string")
         self.states = (self.seen,)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._late(rows) is not None:  # the start was given out, or the application is over
-            return
-        app_id, app_time, settings = self.seen.get() if self.seen.exists() else (None, None, None)
-        for row in pd.concat(list(rows), ignore_index=True).sort_values(PLACE).itertuples():
+    def take(self, key, rows, timerValues) -> list[tuple]:
+        if self._late(rows):  # the start was given out, or the application is over
+            return []
+        self._begin(not self.seen.exists())
+        app_id, app_time, settings = (None, None, None) if self.fresh else self.seen.get()
+        for row in _in_place(rows):
             if row.kind == APP_START and app_id is None:
                 app_id, app_time = row.app_id, int(row.t_ms)
             elif row.kind == APP_END and app_id is not None and settings is None:
-                app_id = None
                 self._forget_all()
-                return
-            elif settings is None and isinstance(row.settings, str):
+                return []
+            elif settings is None and row.settings is not None:
                 settings = row.settings
         if app_id is not None and settings is not None:
             self._forget_all()
-            yield pd.DataFrame([(app_id, app_time, settings)], columns=["app_id", "app_time", "settings"])
-        else:
-            self.seen.update((app_id, app_time, settings))
+            return [(app_id, app_time, settings)]
+        self.seen.update((app_id, app_time, settings))
+        return []
 
 
 class InOrder(Ending):
@@ -444,47 +565,54 @@ class InOrder(Ending):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.waiting = handle.getMapState("waiting", "number bigint", self.ROW)
+        waiting = handle.getMapState("waiting", "number bigint", self.ROW)
         self.next = handle.getValueState("next", "number bigint, last bigint")
-        self.states = (self.waiting, self.next)
+        self.states = (waiting, self.next)
+        self.waiting = Cached(waiting)
+        self.cached = (self.waiting,)
+
+    def _begin_batch(self) -> None:
+        """Take up where the batch before stopped; ``next`` is there as soon as anything is held."""
+        self._begin(not self.next.exists())
+        self.number, self.last = (0, -1) if self.fresh else self.next.get()
 
     def _hold(self, rows: list[tuple], timerValues) -> list[tuple]:
         """Let rows wait; returns those that were passed over before."""
         due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
-        number, last = self.next.get() if self.next.exists() else (0, -1)
-        late = [r for r in rows if r[0] < number]
-        rows = [r for r in rows if r[0] >= number]
+        late = [r for r in rows if r[0] < self.number]
+        rows = [r for r in rows if r[0] >= self.number]
         for row in rows:
-            self.waiting.updateValue((row[0],), (*row[1:], due))
+            self.waiting.put((row[0],), (*row[1:], due))
         if rows:
-            self.next.update((number, max(last, *(r[0] for r in rows))))
+            self.last = max(self.last, *(r[0] for r in rows))
             self.handle.registerTimer(due)
         return late
 
     def _free(self, now: int) -> Iterator[tuple]:
-        """Rows whose turn it is, in order."""
-        if not self.next.exists():
-            return
-        number, last = self.next.get()
-        while number <= last:
-            at = number
-            while not self.waiting.containsKey((at,)):  # not read yet; ``last`` is there
+        """Rows whose turn it is, in order; the state is written behind the last."""
+        while self.number <= self.last:
+            at = self.number
+            while self.waiting.get((at,)) is None:  # not read yet; ``last`` is there
                 at += 1
-            row = (at, *self.waiting.getValue((at,)))
-            if row[-1] > now and (at > number or not self._ready(row)):
+            row = (at, *self.waiting.get((at,)))
+            if row[-1] > now and (at > self.number or not self._ready(row)):
                 break
-            self.waiting.removeKey((at,))
-            number = at + 1
+            self.waiting.put((at,), None)
+            self.number = at + 1
             yield row[:-1]
-        if number > last and self.finished:
+        if self.number > self.last and self.finished:
             self._forget_all()
         else:
-            self.next.update((number, last))
+            self._write()
+            self.next.update((self.number, self.last))
 
     def _ready(self, row: tuple) -> bool:
         return True
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def expire(self, key, timerValues, expiredTimerInfo) -> list[tuple]:
+        self._begin_batch()
+        if self.fresh:
+            return []
         now = max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs())
         return self._out(key, now, [])
 
@@ -499,6 +627,8 @@ class AnswerMatcher(InOrder):
     """
 
     MESSAGE = ["event_type", "job_id", "t_ms", "seq", "num_executors", "last_known"]
+    IN = ["message_no", *MESSAGE, "answered_ms", "recommended_scale_out"]
+    OUT = ["app_id", "message_no", *MESSAGE, "recommended_scale_out"]
     ROW = ("event_type string, job_id int, t_ms bigint, seq bigint, num_executors int, last_known int, due bigint")
 
     def __init__(self, timeout_ms: int, wait_ms: int) -> None:
@@ -507,59 +637,53 @@ class AnswerMatcher(InOrder):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.answers = handle.getMapState(
+        answers = handle.getMapState(
             "answers", "event_type string, job_id int", "answered_ms bigint, recommended_scale_out int"
         )
-        self.states = (self.waiting, self.next, self.answers)
+        self.states = (*self.states, answers)
+        self.answers = Cached(answers)
+        self.cached = (self.waiting, self.answers)
 
     def _answer(self, row: tuple) -> tuple[int, int] | None:
-        name = (row[1], -1 if row[2] is None else int(row[2]))
-        if not self.answers.containsKey(name):
-            return None
-        found = tuple(self.answers.getValue(name))
-        if found[0] < row[3]:
-            self.answers.removeKey(name)
+        name = (row[1], -1 if row[2] is None else row[2])
+        found = self.answers.get(name)
+        if found is not None and found[0] < row[3]:
+            self.answers.put(name, None)
             return None
         return found
 
     def _ready(self, row: tuple) -> bool:
         return self._answer(row) is not None
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.over.exists():
-            self._late(rows)
-            return iter([])
-        df = pd.concat(list(rows), ignore_index=True)
-        for row in df[df["answered_ms"].notna()].sort_values("answered_ms").itertuples():
-            name = (row.event_type, -1 if pd.isna(row.job_id) else int(row.job_id))
-            if not self.answers.containsKey(name) or row.answered_ms < self.answers.getValue(name)[0]:
-                self.answers.updateValue(name, (int(row.answered_ms), int(row.recommended_scale_out)))
-        sent = df[df["answered_ms"].isna()]
+    def take(self, key, rows, timerValues) -> list[tuple]:
+        if self._late(rows):
+            return []
+        self._begin_batch()
+        for row in sorted((r for r in rows if r.answered_ms is not None), key=lambda r: r.answered_ms):
+            name = (row.event_type, -1 if row.job_id is None else int(row.job_id))
+            found = self.answers.get(name)
+            if found is None or row.answered_ms < found[0]:
+                self.answers.put(name, (int(row.answered_ms), int(row.recommended_scale_out)))
         new = [
-            (int(number), event_type, *(None if pd.isna(v) else int(v) for v in numbers))
-            for number, event_type, *numbers in sent[["message_no", *self.MESSAGE]].itertuples(index=False)
+            (int(row.message_no), row.event_type, *map(_whole, row[2:1 + len(self.MESSAGE)]))
+            for row in rows if row.answered_ms is None
         ]
         late = self._hold(new, timerValues)
         return self._out(key, timerValues.getCurrentProcessingTimeInMs(), late)
 
-    def _out(self, key, now: int, late: list[tuple]) -> Iterator[pd.DataFrame]:
-        self.finished, out = False, []
-        for row in late:
-            out.append((key[0], *row, self._scale(row)))
-        free = self._free(now)
-        for row in free:
+    def _out(self, key, now: int, late: list[tuple]) -> list[tuple]:
+        self.finished = False
+        out = [(key[0], *row, self._scale(row)) for row in late]
+        for row in self._free(now):
             self.finished = row[1] == "APPLICATION_END"
             out.append((key[0], *row, self._scale(row)))
-        if out:
-            frame = pd.DataFrame(out, columns=["app_id", "message_no", *self.MESSAGE, "recommended_scale_out"])
-            whole = ["job_id", "num_executors", "last_known", "recommended_scale_out"]
-            yield frame.astype({c: "Int64" for c in whole})
+        return out
 
     def _scale(self, row: tuple) -> int | None:
         found = self._answer(row)
         if found is None:
             return None
-        self.answers.removeKey((row[1], -1 if row[2] is None else int(row[2])))
+        self.answers.put((row[1], -1 if row[2] is None else row[2]), None)
         return found[1] if found[0] <= row[3] + self.timeout_ms else None
 
 
@@ -570,6 +694,7 @@ class DecisionClock(InOrder):
     """
 
     ROW = "event_type string, job_id int, t_ms bigint, seq bigint, effective_scale_out int, candidate boolean, due bigint"
+    IN = ["message_no", "event_type", "job_id", "t_ms", "seq", "effective_scale_out", "candidate"]
     OUT = ["app_id", "event_type", "job_id", "t_ms", "seq", "effective_scale_out", "waited_ms", "decision"]
 
     def __init__(self, min_gap_ms: int, wait_ms: int) -> None:
@@ -579,25 +704,25 @@ class DecisionClock(InOrder):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.previous = handle.getValueState("previous", "t_ms bigint")
-        self.states = (self.waiting, self.next, self.previous)
+        self.states = (*self.states, self.previous)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows), ignore_index=True)
-        taken = []
-        for row in df.itertuples():
-            job, scale = (None if pd.isna(v) else int(v) for v in (row.job_id, row.effective_scale_out))
-            taken.append((int(row.message_no), row.event_type, job, int(row.t_ms), int(row.seq), scale, bool(row.candidate)))
-        if self.over.exists():
-            self.over.update((self.over.get()[0] + len(taken),))
-            late = taken
-        else:
-            late = self._hold(taken, timerValues)
+    def take(self, key, rows, timerValues) -> list[tuple]:
+        taken = [
+            (int(row.message_no), row.event_type, *map(_whole, row[2:6]), bool(row.candidate)) for row in rows
+        ]
+        if self._late(rows):
+            return self._passed_over(key, taken)
+        self._begin_batch()
+        late = self._hold(taken, timerValues)
         return self._out(key, timerValues.getCurrentProcessingTimeInMs(), late)
 
-    def _out(self, key, now: int, late: list[tuple]) -> Iterator[pd.DataFrame]:
-        out = [(key[0], *row[1:-1], None, "late") for row in late if row[-1]]
+    def _passed_over(self, key, late: list[tuple]) -> list[tuple]:
+        return [(key[0], *row[1:-1], None, "late") for row in late if row[-1]]
+
+    def _out(self, key, now: int, late: list[tuple]) -> list[tuple]:
+        out = self._passed_over(key, late)
         self.finished = False
-        previous = self.previous.get()[0] if self.previous.exists() else None
+        before = previous = None if self.fresh or not self.previous.exists() else self.previous.get()[0]
         for row in self._free(now):
             self.finished = row[1] == "APPLICATION_END"
             if row[-1]:
@@ -605,7 +730,6 @@ class DecisionClock(InOrder):
                 out.append((key[0], *row[1:-1], waited, "suppressed" if waited < self.min_gap_ms else "requested"))
             if row[-1] or row[1] == "APPLICATION_START":
                 previous = row[3]
-                self.previous.update((previous,))
-        if out:
-            frame = pd.DataFrame(out, columns=self.OUT)
-            yield frame.astype({c: "Int64" for c in ("job_id", "effective_scale_out", "waited_ms")})
+        if previous != before and not (self.finished and self.number > self.last):  # else all state went
+            self.previous.update((previous,))
+        return out

@@ -31,7 +31,8 @@ from telescale.operators.stages import metric_ratios
 from telescale.settings import MIN_REQUEST_GAP_MS, OPTIONAL_KEYS, REQUIRED_KEYS, RESPONSE_TIMEOUT_MS
 from telescale.sources import event_log, recommendations
 from telescale.streaming.processors import (
-    LATE, PLACE, AnswerMatcher, DecisionClock, JobEndCollector, ScaleOutTracker, StagePairer, StartComposer,
+    LATE, OUT_TRACKED, PLACE, AnswerMatcher, DecisionClock, Ending, JobEndCollector, PerRow, ScaleOutTracker, StagePairer,
+    StartComposer,
 )
 
 #: How long after its time limit an answer may still be on its way, and how long messages may be read out of order.
@@ -60,6 +61,14 @@ STAGE_OUT = (
 )
 
 
+def _kept(rows: DataFrame, key: str, processor: Ending, out: str) -> DataFrame:
+    """What a processor gives for the rows of each key; columns it does not take stay behind."""
+    rows = rows.select(*dict.fromkeys([key, *processor.IN]))
+    return rows.groupBy(key).transformWithState(
+        PerRow(processor), outputStructType=out, outputMode="Append", timeMode="ProcessingTime"
+    )
+
+
 def stream_events(
     spark: SparkSession, logs: str, out: str, checkpoint: str, files_per_trigger: int = 1000, archive: str | None = None
 ):
@@ -123,18 +132,22 @@ def app_events(parsed: DataFrame, initial: Column) -> DataFrame:
 
 
 def stream_app_state(events: DataFrame, base: int = 0) -> DataFrame:
-    """Each event with its number in the log, the live count and the last known scale-out."""
-    return events.groupBy("log_id").transformWithStateInPandas(
-        ScaleOutTracker(base), outputStructType=TRACKED, outputMode="Append", timeMode="ProcessingTime"
+    """Each event with its number in the log, the live count and the last known scale-out.
+
+    What the tracker does not look at passes it as one value of each row.
+    """
+    passed = events.select(*OUT_TRACKED[OUT_TRACKED.index("stage_ids"):]).schema
+    rows = events.withColumn("passed", F.to_json(F.struct(*passed.names)))
+    head = TRACKED[:TRACKED.index("stage_ids")]
+    tracked = _kept(rows, "log_id", ScaleOutTracker(base, passed=["passed"]), f"{head}passed string")
+    return tracked.select("*", F.from_json("passed", passed).alias("p")).select(
+        *[F.col(c if c in tracked.columns else f"p.{c}") for c in OUT_TRACKED]
     )
 
 
 def stream_job_end(tracked: DataFrame) -> DataFrame:
     """Rows of ended jobs, one per stage, emitted at the job's end; its state is dropped then."""
-    return tracked.filter(F.col("kind") != LATE).groupBy("app_id").transformWithStateInPandas(
-        JobEndCollector(), outputStructType=f"app_id string, {STAGE_OUT}", outputMode="Append",
-        timeMode="ProcessingTime",
-    )
+    return _kept(tracked.filter(F.col("kind") != LATE), "app_id", JobEndCollector(), f"app_id string, {STAGE_OUT}")
 
 
 def late_rows(tracked: DataFrame) -> DataFrame:
@@ -156,18 +169,14 @@ def start_lines(parsed: DataFrame) -> DataFrame:
 
 def stream_app_starts(lines: DataFrame) -> DataFrame:
     """Start of each application with its settings, once both of its lines have arrived."""
-    return lines.groupBy("log_id").transformWithStateInPandas(
-        StartComposer(), outputStructType=START, outputMode="Append", timeMode="ProcessingTime"
-    )
+    return _kept(lines, "log_id", StartComposer(), START)
 
 
 def stream_stage_pairs(tracked: DataFrame) -> DataFrame:
     """Submit and completion of each stage attempt, held per application for as long as it runs."""
     out = "app_id string, stage_id int, attempt_id int, submit_ms bigint, complete_ms bigint"
     rows = tracked.filter(F.col("kind").isin(SUBMIT, COMPLETE, APP_END))
-    return rows.select("app_id", "seq", "kind", "stage_id", "attempt_id", "submit_ms", "complete_ms").groupBy(
-        "app_id"
-    ).transformWithStateInPandas(StagePairer(), outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
+    return _kept(rows, "app_id", StagePairer(), out)
 
 
 def message_rows(tracked: DataFrame) -> DataFrame:
@@ -216,10 +225,7 @@ def stream_response_timeout(
         "app_id", "event_type", "job_id", "answered_ms", "recommended_scale_out"
     ), allowMissingColumns=True)
     wait_ms = timeout_ms + LAG_MS if wait_ms is None else wait_ms
-    matched = rows.groupBy("app_id").transformWithStateInPandas(
-        AnswerMatcher(timeout_ms, wait_ms), outputStructType=f"{MESSAGE}, recommended_scale_out int",
-        outputMode="Append", timeMode="ProcessingTime",
-    )
+    matched = _kept(rows, "app_id", AnswerMatcher(timeout_ms, wait_ms), f"{MESSAGE}, recommended_scale_out int")
     return decisions.effective_recommendation(matched)
 
 
@@ -236,9 +242,7 @@ def stream_scale_decisions(
     )
     out = "app_id string, event_type string, job_id int, t_ms bigint, seq bigint, effective_scale_out int, " \
           "waited_ms bigint, decision string"
-    return rows.groupBy("app_id").transformWithStateInPandas(
-        DecisionClock(min_gap_ms, wait_ms), outputStructType=out, outputMode="Append", timeMode="ProcessingTime"
-    )
+    return _kept(rows, "app_id", DecisionClock(min_gap_ms, wait_ms), out)
 
 
 def answer_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,13 +7,15 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from telescale.operators.scaleout import APP_END, APP_START, COMPLETE, EXECUTOR, JOB_END, JOB_START, SUBMIT
 from telescale.sources import message_sink, recommendations
 from telescale.streaming import tables
 from telescale.streaming.processors import (
-    OUT_TRACKED, PLACE, STAGE, AnswerMatcher, DecisionClock, JobEndCollector, ScaleOutTracker, StagePairer, StartComposer,
+    OUT_TRACKED, PLACE, STAGE, AnswerMatcher, DecisionClock, JobEndCollector, PerRow, ScaleOutTracker, StagePairer,
+    StartComposer,
 )
 
 
@@ -505,3 +507,29 @@ def test_a_large_log_is_parsed_by_many_tasks(spark, tmp_path):
     rows = spark.read.parquet(at["tracked"]).orderBy("seq").collect()
     assert [r.t_ms for r in rows] == [1, *range(2, 2 + n), n + 5, n + 6, n + 9]
     assert rows[-2].num_executors == n and rows[n // 2].num_executors == n // 2
+
+
+def test_what_comes_and_goes_in_a_batch_never_reaches_the_state(tracked):
+    """An application that is new in a batch reads no map, and writes only what is left behind the batch."""
+    answered = pd.DataFrame(SHORT + [*ANSWERS[:2], answer("JOB_START", 25_000, 5, 0), *ANSWERS[2:]])
+    left = {"stage_jobs": 1, "jobs": 1, "listed": 1, "queue": 1, "submits": 1, "times": 1}
+    for processor, rows, want in ((JobEndCollector(), tracked, left), (StagePairer(), tracked, {"submitted": 1}),
+                                  (AnswerMatcher(30_000, 60_000), answered, {}), (DecisionClock(15_000, 30_000), candidates(), {})):
+        live, Held.calls = Run(processor), 0
+        live.give(rows)
+        assert live.out and Held.calls == sum(want.values())
+        assert {name: len(state.map) for name, state in live.handle.states.items() if state.map} == want
+
+
+def test_spark_rows_and_frames_give_the_same(tracked):
+    """The processors as Spark calls them, row by row, against frames, on any border."""
+    plain = [tuple(r) for r in tracked[JobEndCollector.IN].astype(object).where(tracked[JobEndCollector.IN].notna(), None).values]
+    names, clock = Row(*JobEndCollector.IN), Clock()
+    want, _ = run(JobEndCollector(), tracked, [])
+    for borders in borders_of(len(plain)):
+        processor, got = PerRow(JobEndCollector()), []
+        processor.init(Handle())
+        for a, b in zip([0, *borders], [*borders, len(plain)]):
+            if a < b:
+                got += processor.handleInputRows(("app",), (names(*r) for r in plain[a:b]), clock)
+        assert [tuple(map(str, r)) for r in got] == want and list(got[0].__fields__) == JobEndCollector.OUT
