@@ -94,15 +94,22 @@ USUAL_PAIR = 0.5
 FOUND = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
 
+def _words_of_texts(docs: DataFrame) -> DataFrame:
+    """The words of each different text, joined by spaces: copies in a task are put together before the shuffle.
+
+    A joined string takes half the shuffle of an array.
+    """
+    words = F.filter(F.array_distinct(F.split(F.col("text"), r"[^A-Za-z_]+")), lambda w: w.rlike("^[A-Za-z]?[a-z_]{3,23}$"))
+    texts = docs.filter("text is not null").select(F.xxhash64("text").alias("h"), F.array_join(words, " ").alias("words"))
+    return texts.dropDuplicates(["h"])
+
+
 def learn_identifiers(docs: DataFrame, most: int = LEARNED) -> str:
     """The fixed identifiers and the ``most`` frequent words of the corpus, lower-case, that several texts hold.
 
     All texts are counted. Copies of a text, found by its hash, count once; a secret is no word, or in one text.
     """
-    words = F.filter(F.array_distinct(F.split(F.col("text"), r"[^A-Za-z_]+")), lambda w: w.rlike("^[A-Za-z]?[a-z_]{3,23}$"))
-    texts = docs.filter("text is not null").select(F.xxhash64("text").alias("h"), words.alias("words"))
-    texts = texts.repartition("h").dropDuplicates(["h"])
-    some = texts.select(F.explode("words").alias("word"))
+    some = _words_of_texts(docs).select(F.explode(F.split("words", " ")).alias("word")).filter("word <> ''")
     found = some.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("n")).filter(F.col("n") >= IN_DOCS)
     found = found.orderBy(F.desc("n"), "word").limit(most).collect()
     # The most frequent last: a compressor reaches near history more cheaply.

@@ -163,3 +163,15 @@ def test_identifiers_are_counted_over_all_texts(spark):
     copies = [(20_000 + i, "copied_word of one text") for i in range(5)]
     learned = secrets.learn_identifiers(plain.docs_of(spark, rows + copies)).split()
     assert {"item", "many", "northern"} <= set(learned) and "copied_word" not in learned
+
+
+def test_words_are_shuffled_once_for_each_text(spark):
+    """Copies meet before the shuffle, words go as one string, and each different text counts once."""
+    rows = [(i, "one Text of Many text words") for i in range(40)] + [(50, "other words"), (51, "12 34"), (52, ""), (53, None)]
+    found = secrets._words_of_texts(plain.docs_of(spark, rows).coalesce(1))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_first" in plan and "REPARTITION" not in plan
+    assert sorted(r.words for r in found.collect()) == ["", "", "one Text Many text words", "other words"]
+    three = [(i, f"Alpha alpha beta {i}") for i in range(3)] + [(9, "gamma 7")] * 5
+    learned = secrets.learn_identifiers(plain.docs_of(spark, three)).removesuffix(secrets.IDENTIFIERS)
+    assert learned == "beta alpha"
