@@ -1,11 +1,14 @@
 """State per application for the streaming tables. Each processor keeps a handful of values per key.
 
-A processor takes and gives plain tuples (``take``, ``expire``). Spark calls it through ``PerRow``, without a frame for each
-application; called by itself it takes and gives frames. State is read and written once for each value and batch.
+A processor takes and gives plain tuples (``take``, ``expire``). Spark calls it through ``Together``, for many applications
+under one key, or through ``PerRow`` for one; called by itself it takes and gives frames. State is read and written once for
+each value and batch.
 """
 
 from __future__ import annotations
 
+import json
+import pickle
 from collections import namedtuple
 from collections.abc import Iterator, Sequence
 
@@ -174,6 +177,196 @@ class PerRow(StatefulProcessor):
         self.processor.close()
 
 
+#: The field of a row's text that names its application.
+KEY = "key"
+#: How many entries of its maps an application's state holds as one value; with more of them each entry is a value.
+LARGE = 200
+#: How many rows out make one text.
+ROWS_IN_TEXT = 1000
+_text = json.JSONEncoder(check_circular=False, separators=(",", ":")).encode
+_UNREAD = object()
+
+
+class Together(StatefulProcessor):
+    """A processor as ``transformWithState`` calls it, with rows of many applications under one key, as JSON.
+
+    To Spark each key costs a batch of rows out, and each call to the state a message; so an application's state is one value,
+    read and written once a batch, and a key has one timer for all its applications of a batch. The state of an application
+    with more than ``LARGE`` entries in its maps goes entry by entry, so that a batch touches those it needs only.
+    """
+
+    def __init__(self, processor: Ending) -> None:
+        self.processor = processor
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "app string", "state binary")
+        self.entries = handle.getMapState("entries", "app string, map string, entry string", "value binary")
+        self.due = handle.getMapState("due", "at bigint", "apps array<string>")
+        self.over = handle.getMapState("over", "app string", "late bigint", self.processor.remembered_ms)
+        self.timers: dict[int, dict[str, None]] = {}
+        self.at, self.out = None, Row("rows")
+        self.processor.init(self)
+
+    # What the processor takes for its handle.
+
+    def getValueState(self, name: str, schema: str, ttl_ms: int | None = None) -> _Value | _Note:
+        return _Value(self, name) if ttl_ms is None else _Note(self)
+
+    def getMapState(self, name: str, key: str, value: str) -> _Map:
+        return _Map(self, name)
+
+    def registerTimer(self, at: int) -> None:
+        self.timers.setdefault(at, {})[self.app] = None
+
+    # What Spark calls.
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        names, make, taken = self.processor.IN, self.processor.row._make, {}
+        for row in rows:
+            if self.at is None:
+                self.at = row.__fields__.index("row")
+            fields = json.loads(row[self.at])
+            taken.setdefault(fields.get(KEY), []).append(make(map(fields.get, names)))
+        out = []
+        for app, of_app in taken.items():
+            self._load("" if app is None else f"={app}")
+            out += self._texts(self.processor.take((app,), of_app, timerValues))
+            self._store()
+        self._set_timers()
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        at, out = (expiredTimerInfo.getExpiryTimeInMs(),), []
+        due = self.due.getValue(at)
+        self.due.removeKey(at)
+        for app in [] if due is None else due[0]:
+            self._load(app)
+            out += self._texts(self.processor.expire((app[1:] if app else None,), timerValues, expiredTimerInfo))
+            self._store()
+        self._set_timers()
+        return iter(out)
+
+    def close(self) -> None:
+        self.processor.close()
+
+    def _texts(self, rows: list[tuple]) -> list[Row]:
+        named = [{n: v for n, v in zip(self.processor.OUT, row) if v is not None} for row in rows]
+        return [self.out(_text(named[i:i + ROWS_IN_TEXT])) for i in range(0, len(named), ROWS_IN_TEXT)]
+
+    def _load(self, app: str) -> None:
+        self.app, self.changed, self.note = app, False, _UNREAD
+        held = self.held.getValue((app,))
+        self.there = held is not None
+        self.large, self.values, self.maps = pickle.loads(bytes(held[0])) if self.there else (False, {}, {})
+        if self.there:  # an application with state is not over
+            self.note = None
+
+    def _store(self) -> None:
+        if not self.changed:
+            return
+        if not self.large and sum(map(len, self.maps.values())) > LARGE:
+            for name, entries in self.maps.items():
+                for key, value in entries.items():
+                    self.entries.updateValue((self.app, name, _text(key)), (pickle.dumps(value),))
+            self.large, self.maps = True, {}
+        if self.values or any(self.maps.values()):
+            self.held.updateValue((self.app,), (pickle.dumps((self.large, self.values, self.maps)),))
+        elif self.there:
+            self.held.removeKey((self.app,))
+
+    def _set_timers(self) -> None:
+        for at, apps in self.timers.items():
+            due = self.due.getValue((at,))
+            self.due.updateValue((at,), (list(dict.fromkeys([*([] if due is None else due[0]), *apps])),))
+            if due is None:
+                self.handle.registerTimer(at)
+        self.timers = {}
+
+
+class _Value:
+    """A value state of the application at hand."""
+
+    def __init__(self, together: Together, name: str) -> None:
+        self.together, self.name = together, name
+
+    def exists(self) -> bool:
+        return self.name in self.together.values
+
+    def get(self) -> tuple:
+        return self.together.values[self.name]
+
+    def update(self, value: tuple) -> None:
+        self.together.values[self.name] = value
+        self.together.changed = True
+
+    def clear(self) -> None:
+        self.together.values.pop(self.name, None)
+        self.together.changed = True
+
+
+class _Note:
+    """The note that the application at hand is over, which outlives its state."""
+
+    def __init__(self, together: Together) -> None:
+        self.together = together
+
+    def exists(self) -> bool:
+        return self.get() is not None
+
+    def get(self) -> tuple | None:
+        t = self.together
+        if t.note is _UNREAD:
+            t.note = t.over.getValue((t.app,))
+        return t.note
+
+    def update(self, value: tuple) -> None:
+        self.together.over.updateValue((self.together.app,), value)
+        self.together.note = value
+
+
+class _Map:
+    """A map state of the application at hand."""
+
+    def __init__(self, together: Together, name: str) -> None:
+        self.together, self.name = together, name
+
+    def _entry(self, key: tuple) -> tuple[str, str, str]:
+        return self.together.app, self.name, _text(key)
+
+    def containsKey(self, key: tuple) -> bool:
+        if self.together.large:
+            return self.together.entries.containsKey(self._entry(key))
+        return key in self.together.maps.get(self.name, ())
+
+    def getValue(self, key: tuple) -> tuple:
+        if self.together.large:
+            return pickle.loads(bytes(self.together.entries.getValue(self._entry(key))[0]))
+        return self.together.maps[self.name][key]
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        if self.together.large:
+            self.together.entries.updateValue(self._entry(key), (pickle.dumps(value),))
+        else:
+            self.together.maps.setdefault(self.name, {})[key] = value
+        self.together.changed = True
+
+    def removeKey(self, key: tuple) -> None:
+        if self.together.large:
+            self.together.entries.removeKey(self._entry(key))
+        else:
+            del self.together.maps[self.name][key]
+        self.together.changed = True
+
+    def clear(self) -> None:
+        t = self.together
+        if t.large:
+            for entry in [tuple(e) for e in t.entries.keys() if tuple(e)[:2] == (t.app, self.name)]:
+                t.entries.removeKey(entry)
+        t.maps.pop(self.name, None)
+        t.changed = True
+
+
 STAGE = [
     "stage_id", "attempt_id", "stage_name", "num_tasks", "parent_stage_ids", "submit_ms", "complete_ms",
     "failure_reason", "rdd_num_partitions", "rdd_num_cached_partitions", "rdd_mem_size", "rdd_disk_size",
@@ -194,18 +387,17 @@ OUT_STAGE = [
 class ScaleOutTracker(Ending):
     """Live executors and the last known scale-out, event by event, and the number of each message in its log.
 
-    Rows that arrive after the state went come out as they are, of kind ``late``. The columns ``passed`` come out as they
+    Rows that arrive after the state went come out as they are, of kind ``late``. What it does not look at comes out as it
     went in.
     """
 
-    def __init__(
-        self, base: int = 0, freed_after_ms: int = FREED_AFTER_MS, passed: Sequence[str] = ("stage_ids", *STAGE)
-    ) -> None:
+    PASSED = ["stage_ids", *STAGE]
+    IN = [*PLACE, "app_id", "initial", "driver_host", "executor_id", "host", "delta", "kind", "t_ms", "job_id", *PASSED]
+    OUT = OUT_TRACKED
+
+    def __init__(self, base: int = 0, freed_after_ms: int = FREED_AFTER_MS) -> None:
         super().__init__(freed_after_ms)
         self.base = base
-        self.IN = [*PLACE, "app_id", "initial", "driver_host", "executor_id", "host", "delta", "kind", "t_ms", "job_id", *passed]
-        self.OUT = [*OUT_TRACKED[:OUT_TRACKED.index("stage_ids")], *passed]
-        self.n_passed = len(passed)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -230,7 +422,7 @@ class ScaleOutTracker(Ending):
         return held[0]
 
     def take(self, key, rows, timerValues) -> list[tuple]:
-        at = len(self.IN) - self.n_passed
+        at = len(self.IN) - len(self.PASSED)
         if self._late(rows):
             empty = (None,) * 4
             return [(key[0], row.app_id, *empty, LATE, row.t_ms, row.job_id, *row[at:]) for row in rows]
@@ -578,14 +770,13 @@ class InOrder(Ending):
 
     def _hold(self, rows: list[tuple], timerValues) -> list[tuple]:
         """Let rows wait; returns those that were passed over before."""
-        due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+        due, self.timer = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms, None
         late = [r for r in rows if r[0] < self.number]
         rows = [r for r in rows if r[0] >= self.number]
         for row in rows:
             self.waiting.put((row[0],), (*row[1:], due))
         if rows:
-            self.last = max(self.last, *(r[0] for r in rows))
-            self.handle.registerTimer(due)
+            self.last, self.timer = max(self.last, *(r[0] for r in rows)), due
         return late
 
     def _free(self, now: int) -> Iterator[tuple]:
@@ -605,6 +796,8 @@ class InOrder(Ending):
         else:
             self._write()
             self.next.update((self.number, self.last))
+            if self.timer is not None and self.number <= self.last:
+                self.handle.registerTimer(self.timer)
 
     def _ready(self, row: tuple) -> bool:
         return True
@@ -614,6 +807,7 @@ class InOrder(Ending):
         if self.fresh:
             return []
         now = max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        self.timer = None
         return self._out(key, now, [])
 
 

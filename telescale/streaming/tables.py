@@ -31,12 +31,14 @@ from telescale.operators.stages import metric_ratios
 from telescale.settings import MIN_REQUEST_GAP_MS, OPTIONAL_KEYS, REQUIRED_KEYS, RESPONSE_TIMEOUT_MS
 from telescale.sources import event_log, recommendations
 from telescale.streaming.processors import (
-    LATE, OUT_TRACKED, PLACE, AnswerMatcher, DecisionClock, Ending, JobEndCollector, PerRow, ScaleOutTracker, StagePairer,
-    StartComposer,
+    KEY, LATE, PLACE, AnswerMatcher, DecisionClock, Ending, JobEndCollector, ScaleOutTracker, StagePairer, StartComposer,
+    Together,
 )
 
 #: How long after its time limit an answer may still be on its way, and how long messages may be read out of order.
 LAG_MS = 30_000
+#: How many keys applications are dealt to; a checkpoint keeps them for life, as it does its state partitions.
+KEYS = 4096
 
 STAGE_FIELDS = (
     "stage_id int, attempt_id int, stage_name string, num_tasks int, parent_stage_ids array<int>, "
@@ -62,11 +64,18 @@ STAGE_OUT = (
 
 
 def _kept(rows: DataFrame, key: str, processor: Ending, out: str) -> DataFrame:
-    """What a processor gives for the rows of each key; columns it does not take stay behind."""
-    rows = rows.select(*dict.fromkeys([key, *processor.IN]))
-    return rows.groupBy(key).transformWithState(
-        PerRow(processor), outputStructType=out, outputMode="Append", timeMode="ProcessingTime"
+    """What a processor gives for the rows of each application or log ``key``; columns it does not take stay behind.
+
+    Rows go as JSON both ways, since Spark takes longer over the cells of a row than over the row.
+    """
+    dealt = rows.select(
+        F.pmod(F.xxhash64(key), F.lit(KEYS)).cast("int").alias("dealt_to"),
+        F.to_json(F.struct(F.col(key).alias(KEY), *processor.IN)).alias("row"),
+    )
+    found = dealt.groupBy("dealt_to").transformWithState(
+        Together(processor), outputStructType="rows string", outputMode="Append", timeMode="ProcessingTime"
     )
+    return found.select(F.inline(F.from_json("rows", f"array<struct<{out}>>", {"mode": "FAILFAST"})))
 
 
 def stream_events(
@@ -132,17 +141,8 @@ def app_events(parsed: DataFrame, initial: Column) -> DataFrame:
 
 
 def stream_app_state(events: DataFrame, base: int = 0) -> DataFrame:
-    """Each event with its number in the log, the live count and the last known scale-out.
-
-    What the tracker does not look at passes it as one value of each row.
-    """
-    passed = events.select(*OUT_TRACKED[OUT_TRACKED.index("stage_ids"):]).schema
-    rows = events.withColumn("passed", F.to_json(F.struct(*passed.names)))
-    head = TRACKED[:TRACKED.index("stage_ids")]
-    tracked = _kept(rows, "log_id", ScaleOutTracker(base, passed=["passed"]), f"{head}passed string")
-    return tracked.select("*", F.from_json("passed", passed).alias("p")).select(
-        *[F.col(c if c in tracked.columns else f"p.{c}") for c in OUT_TRACKED]
-    )
+    """Each event with its number in the log, the live count and the last known scale-out."""
+    return _kept(events, "log_id", ScaleOutTracker(base), TRACKED)
 
 
 def stream_job_end(tracked: DataFrame) -> DataFrame:
